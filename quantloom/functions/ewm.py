@@ -29,14 +29,18 @@ def alpha_from(span: float | None = None, com: float | None = None) -> float:
 
 @dataclass(frozen=True)
 class Ewm:
-    """One mean to compute. ``dense`` says the column has no null after its first value."""
+    """One mean to compute.
+
+    ``starts`` names a boolean column that is true on the first value of a key. Give it for a column without later
+    nulls: gaps and counts then need no window of their own.
+    """
 
     col: str
     out: str
     alpha: float
     adjust: bool
     min_periods: int = 0
-    dense: bool = False
+    starts: str | None = None
 
     @property
     def q(self) -> float:
@@ -63,19 +67,19 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
 
     # how many values came before, and how far back the last one is
     seen = {}
-    for c in dict.fromkeys(s.col for s in specs):
+    for c in dict.fromkeys(s.col for s in specs if not s.starts):
         known = F.col(c).isNotNull()
         seen[f"_cnt_{c}"] = F.count(c).over(so_far)
-        if any(s.col == c and not s.adjust and not s.dense for s in specs):
+        if any(s.col == c and not s.adjust for s in specs):
             seen[f"_gap_{c}"] = F.when(
                 known, F.col("_pos") - F.last(F.when(known, F.col("_pos")), ignorenulls=True).over(earlier)
             )
-    df = df.withColumns(seen)
+    df = df.withColumns(seen) if seen else df
 
     # log of the renormalising divisor, only where nulls can open a gap
     renorm = {}
     for s in specs:
-        if not s.adjust and not s.dense:
+        if not s.adjust and not s.starts:
             gap = F.col(f"_gap_{s.col}")
             log_div = F.when(gap > 1, F.ln(_power(s.q, gap) + F.lit(s.alpha))).otherwise(F.lit(0.0))
             renorm[f"_c_{s.out}"] = F.sum(log_div).over(in_block)
@@ -92,13 +96,14 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
             sums[f"_num_{s.out}"] = F.sum(F.when(known, x * grow).otherwise(F.lit(0.0))).over(in_block)
             sums[f"_den_{s.out}"] = F.sum(F.when(known, grow).otherwise(F.lit(0.0))).over(in_block)
         else:
-            if s.dense:
+            if s.starts:
                 gain = F.lit(s.alpha)
             else:
                 gap = F.col(f"_gap_{s.col}")
                 gain = F.when(gap == 1, F.lit(s.alpha)).otherwise(s.alpha / (_power(s.q, gap) + F.lit(s.alpha)))
                 grow = grow * F.exp(F.col(f"_c_{s.out}"))
-            weight = F.when(F.col(f"_cnt_{s.col}") == 1, F.lit(1.0)).otherwise(gain)
+            first = F.col(s.starts) if s.starts else F.col(f"_cnt_{s.col}") == 1
+            weight = F.when(first, F.lit(1.0)).otherwise(gain)
             sums[f"_sum_{s.out}"] = F.sum(F.when(known, x * weight * grow)).over(in_block)
             sums[f"_at_{s.out}"] = F.max(F.when(known, p)).over(in_block)
     df = df.withColumns(sums)
@@ -112,7 +117,7 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
                 carry[f"_from{name}"] = F.last(F.when(block_end, F.col(name)), ignorenulls=True).over(earlier)
         else:
             shrink = _power(s.q, F.col(f"_at_{s.out}"))
-            if not s.dense:
+            if not s.starts:
                 shrink = shrink * F.exp(-F.col(f"_c_{s.out}"))
             local[f"_shrink_{s.out}"] = shrink
             closing = F.when(block_end, F.col(f"_shrink_{s.out}") * F.col(f"_sum_{s.out}"))
@@ -136,7 +141,7 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
             value = F.when(F.col(f"_at_{s.out}").isNull(), F.col(f"_from_{s.out}")).otherwise(
                 F.col(f"_shrink_{s.out}") * (F.col(f"_sum_{s.out}") + carried)
             )
-        enough = F.col(f"_cnt_{s.col}") >= max(s.min_periods, 1)
+        enough = F.col(s.col).isNotNull() if s.starts else F.col(f"_cnt_{s.col}") >= max(s.min_periods, 1)
         out[s.out] = F.when(enough, value)
     new = [s.out for s in specs]
     return df.withColumns(out).select(*[c for c in kept if c not in new], *new)
@@ -144,7 +149,7 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
 
 def add_blocks(df: DataFrame, block: int) -> DataFrame:
     """Add the block number and the position inside the block."""
-    return df.withColumn("_blk", F.floor(F.col("_pos") / block)).withColumn("_p", F.pmod(F.col("_pos"), F.lit(block)))
+    return df.withColumns({"_blk": F.expr(f"_pos div {block}"), "_p": F.col("_pos") % block})
 
 
 def ewm_mean(

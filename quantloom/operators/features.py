@@ -20,30 +20,37 @@ _FIRST_PASS = [
     Ewm("_loss", "_avg_loss", alpha_from(com=_PERIOD - 1), adjust=True, min_periods=_PERIOD),
     Ewm("_range", "atr_14", alpha_from(com=_PERIOD - 1), adjust=True, min_periods=_PERIOD),
 ]
-_SECOND_PASS = [Ewm("macd", "macd_signal", alpha_from(span=_SIGNAL), adjust=False, dense=True)]
+_SECOND_PASS = [Ewm("macd", "macd_signal", alpha_from(span=_SIGNAL), adjust=False, starts="_starts")]
 _BLOCK = block_rows(_FIRST_PASS + _SECOND_PASS)
 
 
+def smoothing_inputs(df: DataFrame) -> DataFrame:
+    """Gain, loss and true range, from the previous close in ``_before``."""
+    delta = F.col("close") - F.col("_before")
+    return df.withColumns(
+        {
+            "_gain": F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))),
+            "_loss": F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0))),
+            "_range": F.greatest(
+                F.col("high") - F.col("low"),
+                F.abs(F.col("high") - F.col("_before")),
+                F.abs(F.col("low") - F.col("_before")),
+            ),
+        }
+    ).drop("_before")
+
+
 def window_features(df: DataFrame, ordered) -> DataFrame:
     """All features made of lags, leads and rolling frames: one window group, one sort."""
-    sma = {f"sma_{n}": full_frame(F.avg, "close", ordered, n) for n in SMA_WINDOWS}
-    changes = {f"returns_{n}d": change("close", ordered, n) for n in (1, 5, 10)}
-    lags = {f"close_lag_{n}": F.lag("close", n).over(ordered) for n in LAGS}
-    lagged_changes = {f"return_lag_{n}": change("close", ordered, n, skip=1) for n in LAGS}
     next_close = F.lead("close", 1).over(ordered)
-    before = F.lag("close", 1).over(ordered)
     return df.withColumns(
         {
-            **sma,
-            **changes,
-            **lags,
-            **lagged_changes,
+            **{f"sma_{n}": full_frame(F.avg, "close", ordered, n) for n in SMA_WINDOWS},
+            **{f"returns_{n}d": change("close", ordered, n) for n in (1, 5, 10)},
+            **{f"close_lag_{n}": F.lag("close", n).over(ordered) for n in LAGS},
+            **{f"return_lag_{n}": change("close", ordered, n, skip=1) for n in LAGS},
             "_std": full_frame(F.stddev_samp, "close", ordered, 20),
             "volume_sma_10": full_frame(F.avg, "volume", ordered, 10),
-            "_delta": F.col("close") - before,
-            "_range": F.greatest(
-                F.col("high") - F.col("low"), F.abs(F.col("high") - before), F.abs(F.col("low") - before)
-            ),
             "target_next_close": next_close,
             "target_next_return": F.try_divide(next_close, F.col("close")) - 1,
         }
@@ -67,8 +74,8 @@ def row_features(df: DataFrame) -> DataFrame:
             "bb_pos": F.try_divide(c("close") - lower, upper - lower + _TINY),
             "volume_ratio": F.try_divide(c("volume"), c("volume_sma_10") + _TINY),
             "log_volume": F.log1p(c("volume")),
-            "_gain": F.when(c("_delta").isNotNull(), F.greatest(c("_delta"), F.lit(0.0))),
-            "_loss": F.when(c("_delta").isNotNull(), F.greatest(-c("_delta"), F.lit(0.0))),
+            "macd_hist": c("macd") - c("macd_signal"),
+            "rsi_14": 100 - 100 / (1 + c("_avg_gain") / (c("_avg_loss") + _TINY)),
         }
     )
 
@@ -88,14 +95,15 @@ def compute_features(
     layout = lay_out(bars.select(key, order, *BAR_VALUES), series, before=_BLOCK, after=1)
     df = add_blocks(layout.df, _BLOCK)
     ordered = Window.partitionBy(*layout.part).orderBy("_blk", order)
-    df = row_features(window_features(df, ordered))
-    df = add_ewm(df, _FIRST_PASS, layout.part, order, _BLOCK)
+    by_row = series.window if series.per_key else ordered
+    # smoothing first, on narrow rows; the wide rolling and lag features come last
+    so_far = by_row.rowsBetween(Window.unboundedPreceding, 0)
+    first_close = F.col("close").isNotNull() & (F.count("close").over(so_far) == 1)
+    df = smoothing_inputs(df.withColumns({"_before": F.lag("close", 1).over(by_row), "_starts": first_close}))
+    df = add_ewm(df, _FIRST_PASS, layout.part, order, _BLOCK).drop("_gain", "_loss", "_range")
     df = df.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
     df = add_ewm(df, _SECOND_PASS, layout.part, order, _BLOCK)
-    strength = F.col("_avg_gain") / (F.col("_avg_loss") + _TINY)
-    df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal")).withColumn(
-        "rsi_14", 100 - 100 / (1 + strength)
-    )
+    df = row_features(window_features(df, ordered))
     df = layout.finish(df)
     if drop_warmup:
         needed = WARMUP_COLUMNS + (["target_next_close"] if require_target else [])

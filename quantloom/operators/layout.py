@@ -100,11 +100,9 @@ def lay_out(df: DataFrame, series: Series = DAILY, before: int = 0, after: int =
     """Prepare ``df`` for windows that look at most ``before`` rows back and ``after`` rows ahead."""
     if series.per_key:
         return Layout(df.withColumn("_pos", F.row_number().over(series.window).cast("long") - 1), [series.key], None)
-    rows = F.lit(series.segment_rows)
+    rows = series.segment_rows
     placed = with_positions(df, series)
-    first = F.greatest(F.col("_pos") - after, F.lit(0))
-    last = F.least(F.col("_pos") + before, F.col("_n") - 1)
-    copies = placed.withColumn(
-        "_seg", F.explode(F.sequence(F.floor(first / rows), F.floor(last / rows)))
-    ).drop("_n")
-    return Layout(copies, [series.key, "_seg"], F.floor(F.col("_pos") / rows) == F.col("_seg"))
+    first = F.expr(f"greatest(_pos - {after}, 0) div {rows}")
+    last = F.expr(f"least(_pos + {before}, _n - 1) div {rows}")
+    copies = placed.withColumn("_seg", F.explode(F.sequence(first, last))).drop("_n")
+    return Layout(copies, [series.key, "_seg"], F.expr(f"_pos div {rows} = _seg"))

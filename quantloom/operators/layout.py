@@ -96,8 +96,12 @@ def with_positions(df: DataFrame, series: Series = DAILY) -> DataFrame:
     )
 
 
-def lay_out(df: DataFrame, series: Series = DAILY, before: int = 0, after: int = 0) -> Layout:
+def lay_out(
+    df: DataFrame, series: Series = DAILY, before: int = 0, after: int = 0, positions: bool = True
+) -> Layout:
     """Prepare ``df`` for windows that look at most ``before`` rows back and ``after`` rows ahead."""
+    if series.per_key and not positions:
+        return Layout(df, [series.key], None)
     if series.per_key:
         return Layout(df.withColumn("_pos", F.row_number().over(series.window).cast("long") - 1), [series.key], None)
     rows = series.segment_rows

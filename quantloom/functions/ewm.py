@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.operators.layout import DAILY, Series, lay_out
@@ -52,104 +52,104 @@ def block_rows(specs: list[Ewm]) -> int:
     return max(1, min(int(_MAX_EXPONENT / -math.log(s.q)) if s.q > 0 else 1 for s in specs))
 
 
-def _power(q: float, exponent: Column) -> Column:
-    return F.pow(F.lit(q), exponent)
+def _num(x: float) -> str:
+    return f"{x!r}D"
+
+
+def _power(q: float, exponent: str) -> str:
+    return f"power({_num(q)}, {exponent})"
+
+
+def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS `{name}`" for name, sql in columns.items()]) if columns else df
 
 
 def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block: int) -> DataFrame:
     """Add every mean in ``specs``. ``df`` needs ``_pos``, ``_blk`` and ``_p`` as made by ``add_blocks``."""
-    ordered = Window.partitionBy(*part).orderBy("_blk", order)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    in_block = Window.partitionBy(*part, "_blk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    block_end = F.col("_p") == block - 1
+    group = ", ".join(part)
+    up_to_here = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    so_far = f"OVER (PARTITION BY {group} ORDER BY _blk, {order} {up_to_here})"
+    earlier = f"OVER (PARTITION BY {group} ORDER BY _blk, {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    in_block = f"OVER (PARTITION BY {group}, _blk ORDER BY {order} {up_to_here})"
+    block_end = f"_p = {block - 1}"
     kept = list(df.columns)
 
+    def gap_of(s: Ewm) -> str | None:
+        return None if s.adjust or s.starts else f"_gap_{s.col}"
+
     # how many values came before, and how far back the last one is
     seen = {}
-    for c in dict.fromkeys(s.col for s in specs if not s.starts):
-        known = F.col(c).isNotNull()
-        seen[f"_cnt_{c}"] = F.count(c).over(so_far)
-        if any(s.col == c and not s.adjust for s in specs):
-            seen[f"_gap_{c}"] = F.when(
-                known, F.col("_pos") - F.last(F.when(known, F.col("_pos")), ignorenulls=True).over(earlier)
-            )
-    df = df.withColumns(seen) if seen else df
+    for s in specs:
+        if not s.starts:
+            seen[f"_cnt_{s.col}"] = f"count({s.col}) {so_far}"
+        if gap_of(s):
+            last_known = f"last(CASE WHEN {s.col} IS NOT NULL THEN _pos END, true) {earlier}"
+            seen[gap_of(s)] = f"CASE WHEN {s.col} IS NOT NULL THEN _pos - {last_known} END"
+    df = _add(df, seen)
 
     # log of the renormalising divisor, only where nulls can open a gap
     renorm = {}
     for s in specs:
-        if not s.adjust and not s.starts:
-            gap = F.col(f"_gap_{s.col}")
-            log_div = F.when(gap > 1, F.ln(_power(s.q, gap) + F.lit(s.alpha))).otherwise(F.lit(0.0))
-            renorm[f"_c_{s.out}"] = F.sum(log_div).over(in_block)
-    if renorm:
-        df = df.withColumns(renorm)
+        gap = gap_of(s)
+        if gap:
+            divisor = f"{_power(s.q, gap)} + {_num(s.alpha)}"
+            renorm[f"_c_{s.out}"] = f"sum(CASE WHEN {gap} > 1 THEN ln({divisor}) ELSE 0D END) {in_block}"
+    df = _add(df, renorm)
 
     # running sums inside the block
     sums = {}
     for s in specs:
-        x, p = F.col(s.col), F.col("_p")
-        known = x.isNotNull()
-        grow = _power(s.q, -p)
+        grow, known = _power(s.q, "-_p"), f"{s.col} IS NOT NULL"
         if s.adjust:
-            sums[f"_num_{s.out}"] = F.sum(F.when(known, x * grow).otherwise(F.lit(0.0))).over(in_block)
-            sums[f"_den_{s.out}"] = F.sum(F.when(known, grow).otherwise(F.lit(0.0))).over(in_block)
-        else:
-            if s.starts:
-                gain = F.lit(s.alpha)
-            else:
-                gap = F.col(f"_gap_{s.col}")
-                gain = F.when(gap == 1, F.lit(s.alpha)).otherwise(s.alpha / (_power(s.q, gap) + F.lit(s.alpha)))
-                grow = grow * F.exp(F.col(f"_c_{s.out}"))
-            first = F.col(s.starts) if s.starts else F.col(f"_cnt_{s.col}") == 1
-            weight = F.when(first, F.lit(1.0)).otherwise(gain)
-            sums[f"_sum_{s.out}"] = F.sum(F.when(known, x * weight * grow)).over(in_block)
-            sums[f"_at_{s.out}"] = F.max(F.when(known, p)).over(in_block)
-    df = df.withColumns(sums)
+            sums[f"_num_{s.out}"] = f"sum(CASE WHEN {known} THEN {s.col} * {grow} ELSE 0D END) {in_block}"
+            sums[f"_den_{s.out}"] = f"sum(CASE WHEN {known} THEN {grow} ELSE 0D END) {in_block}"
+            continue
+        gain, first = _num(s.alpha), s.starts
+        gap = gap_of(s)
+        if gap:
+            gain = f"CASE WHEN {gap} = 1 THEN {gain} ELSE {gain} / ({_power(s.q, gap)} + {gain}) END"
+            grow = f"{grow} * exp(_c_{s.out})"
+            first = f"_cnt_{s.col} = 1"
+        weight = f"(CASE WHEN {first} THEN 1D ELSE {gain} END)"
+        sums[f"_sum_{s.out}"] = f"sum(CASE WHEN {known} THEN {s.col} * {weight} * {grow} END) {in_block}"
+        sums[f"_at_{s.out}"] = f"max(CASE WHEN {known} THEN _p END) {in_block}"
+    df = _add(df, sums)
 
     # what the previous block hands over
-    local, carry = {}, {}
+    shrink, carry = {}, {}
     for s in specs:
         if s.adjust:
-            for part_name in ("num", "den"):
-                name = f"_{part_name}_{s.out}"
-                carry[f"_from{name}"] = F.last(F.when(block_end, F.col(name)), ignorenulls=True).over(earlier)
-        else:
-            shrink = _power(s.q, F.col(f"_at_{s.out}"))
-            if not s.starts:
-                shrink = shrink * F.exp(-F.col(f"_c_{s.out}"))
-            local[f"_shrink_{s.out}"] = shrink
-            closing = F.when(block_end, F.col(f"_shrink_{s.out}") * F.col(f"_sum_{s.out}"))
-            value_pos = F.when(block_end, F.col("_blk") * block + F.col(f"_at_{s.out}"))
-            carry[f"_from_{s.out}"] = F.last(closing, ignorenulls=True).over(earlier)
-            carry[f"_frompos_{s.out}"] = F.last(value_pos, ignorenulls=True).over(earlier)
-    df = df.withColumns(local) if local else df
-    df = df.withColumns(carry)
+            for n in ("num", "den"):
+                carry[f"_from_{n}_{s.out}"] = f"last(CASE WHEN {block_end} THEN _{n}_{s.out} END, true) {earlier}"
+            continue
+        fade = _power(s.q, f"_at_{s.out}")
+        shrink[f"_shrink_{s.out}"] = f"{fade} * exp(-_c_{s.out})" if gap_of(s) else fade
+        closing = f"CASE WHEN {block_end} THEN _shrink_{s.out} * _sum_{s.out} END"
+        closing_pos = f"CASE WHEN {block_end} THEN _blk * {block} + _at_{s.out} END"
+        carry[f"_from_{s.out}"] = f"last({closing}, true) {earlier}"
+        carry[f"_frompos_{s.out}"] = f"last({closing_pos}, true) {earlier}"
+    df = _add(_add(df, shrink), carry)
 
     out = {}
     for s in specs:
         if s.adjust:
-            fade = F.lit(s.q**block)
-            num, den = (
-                F.col(f"_{n}_{s.out}") + F.coalesce(F.col(f"_from_{n}_{s.out}") * fade, F.lit(0.0)) for n in ("num", "den")
-            )
-            value = F.try_divide(num, den)
+            fade = _num(s.q**block)
+            num, den = (f"_{n}_{s.out} + coalesce(_from_{n}_{s.out} * {fade}, 0D)" for n in ("num", "den"))
+            value = f"try_divide({num}, {den})"
         else:
-            distance = F.col("_blk") * block - F.col(f"_frompos_{s.out}")
-            carried = F.coalesce(_power(s.q, distance) * F.col(f"_from_{s.out}"), F.lit(0.0))
-            value = F.when(F.col(f"_at_{s.out}").isNull(), F.col(f"_from_{s.out}")).otherwise(
-                F.col(f"_shrink_{s.out}") * (F.col(f"_sum_{s.out}") + carried)
+            fade = _power(s.q, f"_blk * {block} - _frompos_{s.out}")
+            carried = f"coalesce({fade} * _from_{s.out}, 0D)"
+            value = (
+                f"CASE WHEN _at_{s.out} IS NULL THEN _from_{s.out} ELSE _shrink_{s.out} * (_sum_{s.out} + {carried}) END"
             )
-        enough = F.col(s.col).isNotNull() if s.starts else F.col(f"_cnt_{s.col}") >= max(s.min_periods, 1)
-        out[s.out] = F.when(enough, value)
-    new = [s.out for s in specs]
-    return df.withColumns(out).select(*[c for c in kept if c not in new], *new)
+        enough = f"{s.col} IS NOT NULL" if s.starts else f"_cnt_{s.col} >= {max(s.min_periods, 1)}"
+        out[s.out] = f"CASE WHEN {enough} THEN {value} END"
+    return df.selectExpr(*[f"`{c}`" for c in kept if c not in out], *[f"{sql} AS `{n}`" for n, sql in out.items()])
 
 
 def add_blocks(df: DataFrame, block: int) -> DataFrame:
     """Add the block number and the position inside the block."""
-    return df.withColumns({"_blk": F.expr(f"_pos div {block}"), "_p": F.col("_pos") % block})
+    return df.selectExpr("*", f"_pos div {block} AS _blk", f"_pos % {block} AS _p")
 
 
 def ewm_mean(

@@ -1,18 +1,18 @@
-"""Rolling row windows with pandas' rule that a frame must be full."""
+"""Rolling row windows, as SQL text, with pandas' rule that a frame must be full."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def full_frame(agg, col: str, ordered, rows: int) -> Column:
+def full_frame(agg: str, col: str, over: str, rows: int) -> str:
     """``agg`` over the last ``rows`` rows; null until the frame has that many values."""
-    frame = ordered.rowsBetween(-(rows - 1), 0)
-    return F.when(F.count(col).over(frame) == rows, agg(col).over(frame))
+    frame = f"OVER ({over} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+    return f"CASE WHEN count({col}) {frame} = {rows} THEN {agg}({col}) {frame} END"
+
+
+def lag(col: str, over: str, rows: int) -> str:
+    return f"lag({col}, {rows}) OVER ({over})"
 
 
-def change(col: str, ordered, rows: int, skip: int = 0) -> Column:
-    """Relative change over ``rows`` rows, seen ``skip`` rows ago."""
-    now = F.lag(col, skip).over(ordered) if skip else F.col(col)
-    return F.try_divide(now, F.lag(col, rows + skip).over(ordered)) - 1
+def change(now: str, then: str) -> str:
+    """Relative change between two values."""
+    return f"try_divide({now}, {then}) - 1"

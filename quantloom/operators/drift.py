@@ -25,30 +25,49 @@ def numeric_columns(reference: DataFrame, current: DataFrame, features: Sequence
     return cols if all(c in current.columns for c in cols) else []
 
 
-def ecdf_pair(reference: DataFrame, current: DataFrame, cols: Sequence[str], series: Series = DAILY) -> DataFrame:
-    """Both empirical distribution functions on the union of values.
+ROWS = "__rows__"  # pseudo feature that counts the rows of both sides
 
-    ``ticker, feature, value, next_value, n_ref, n_cur, f_ref, f_cur``; only groups with values on both sides.
-    """
-    key = series.key
+
+def _both_sides(
+    reference: DataFrame, current: DataFrame, cols: Sequence[str], series: Series, count_rows: bool = False
+) -> DataFrame:
+    """Distinct values per key and feature with running counts of both sides; either table is read once."""
     zero, one = F.lit(0), F.lit(1)
-    tall = long_values(reference, cols, key, {"n_ref": one, "n_cur": zero}).unionByName(
-        long_values(current, cols, key, {"n_ref": zero, "n_cur": one})
-    )
-    ranked = running_counts(tall, ["n_ref", "n_cur"], key, sliced=not series.per_key)
-    both = ranked.filter((F.col("n_ref_all") > 0) & (F.col("n_cur_all") > 0))
-    return both.select(
+    names = [*cols, ROWS] if count_rows else list(cols)
+
+    def side(df: DataFrame, counts) -> DataFrame:
+        df = df.select(series.key, *cols)
+        return long_values(df.withColumn(ROWS, F.lit(0.0)) if count_rows else df, names, series.key, counts)
+
+    tall = side(reference, {"n_ref": one, "n_cur": zero}).unionByName(side(current, {"n_ref": zero, "n_cur": one}))
+    return running_counts(tall, ["n_ref", "n_cur"], series.key, sliced=not series.per_key)
+
+
+def _functions(ranked: DataFrame, key: str) -> DataFrame:
+    """Both distribution functions; null on a side without values."""
+    return ranked.select(
         F.col(key).alias(KEY),
         "feature",
         "value",
         "next_value",
+        "least",
+        F.col("n_ref").alias("_here"),
         F.col("n_ref_all").alias("n_ref"),
         F.col("n_cur_all").alias("n_cur"),
-        (F.col("n_ref_upto") / F.col("n_ref_all")).alias("f_ref"),
-        (F.col("n_cur_upto") / F.col("n_cur_all")).alias("f_cur"),
+        F.try_divide("n_ref_upto", "n_ref_all").alias("f_ref"),
+        F.try_divide("n_cur_upto", "n_cur_all").alias("f_cur"),
     )
 
 
+def ecdf_pair(reference: DataFrame, current: DataFrame, cols: Sequence[str], series: Series = DAILY) -> DataFrame:
+    """Both empirical distribution functions on the union of values.
+
+    ``ticker, feature, value, next_value, n_ref, n_cur, f_ref, f_cur``; only groups with values on both sides.
+    """
+    both = _functions(_both_sides(reference, current, cols, series), series.key)
+    return both.filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).drop("_here", "least")
+
+
 def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     """Two-sided p-value of the Kolmogorov-Smirnov statistic from the limiting distribution.
 
@@ -67,24 +86,73 @@ def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
 
 
-def two_sample(ecdf: DataFrame) -> DataFrame:
-    """``ticker, feature, n_ref, n_cur, ks, wasserstein``: largest gap and area between both functions."""
-    gap = F.abs(F.col("f_ref") - F.col("f_cur"))
+def _gap() -> Column:
+    return F.abs(F.col("f_ref") - F.col("f_cur"))
+
+
+def _statistics() -> list[Column]:
     width = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
-    return ecdf.groupBy(KEY, "feature").agg(
+    return [
         F.max("n_ref").alias("n_ref"),
         F.max("n_cur").alias("n_cur"),
-        F.max(gap).alias("ks"),
-        F.sum(gap * width).alias("wasserstein"),
+        F.max(_gap()).alias("ks"),
+        F.sum(_gap() * width).alias("wasserstein"),
+    ]
+
+
+def two_sample(ecdf: DataFrame) -> DataFrame:
+    """``ticker, feature, n_ref, n_cur, ks, wasserstein``: largest gap and area between both functions."""
+    return ecdf.groupBy(KEY, "feature").agg(*_statistics())
+
+
+def sample_statistics(
+    reference: DataFrame, current: DataFrame, cols: Sequence[str], series: Series = DAILY
+) -> DataFrame:
+    """``two_sample`` of every feature with the reference's spread, and a ``ROWS`` row per key with the row counts.
+
+    A feature without values on one side keeps its counts and has null statistics. The spread is the population
+    standard deviation, at least the fixed minimum. It is summed from distances to the smallest value.
+    """
+    functions = _functions(_both_sides(reference, current, cols, series, count_rows=True), series.key)
+    distance = F.col("value") - F.col("least")
+    mean, mean_square = (
+        F.try_divide(F.sum(F.col("_here") * x), F.sum("_here")) for x in (distance, distance * distance)
+    )
+    spread = F.sqrt(F.greatest(mean_square - mean * mean, F.lit(0.0)))
+    return functions.groupBy(KEY, "feature").agg(
+        *_statistics(), F.greatest(spread, F.lit(S.MIN_REFERENCE_STD)).alias("spread")
     )
 
 
-def reference_spread(reference: DataFrame, cols: Sequence[str], key: str = KEY) -> DataFrame:
-    """``ticker, feature, spread``: population standard deviation, at least the fixed minimum."""
-    wide = reference.groupBy(F.col(key).alias(KEY)).agg(
-        *[F.greatest(F.stddev_pop(F.col(c).cast("double")), F.lit(S.MIN_REFERENCE_STD)).alias(c) for c in cols]
+def _comparable() -> Column:
+    return (F.col("feature") != ROWS) & (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+
+
+def _drifted() -> Column:
+    by_rank = ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur")) < S.KS_ALPHA
+    by_distance = F.col("wasserstein") / F.col("spread") >= S.WASSERSTEIN_LIMIT
+    return F.when(F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS, by_rank).otherwise(by_distance)
+
+
+def _verdicts(statistics: DataFrame) -> DataFrame:
+    small = F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS
+    return (
+        statistics.filter(_comparable())
+        .withColumn("ks_pvalue", ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+        .withColumn("wasserstein_normed", F.col("wasserstein") / F.col("spread"))
+        .select(
+            KEY,
+            "feature",
+            "n_ref",
+            "n_cur",
+            "ks",
+            "ks_pvalue",
+            "wasserstein_normed",
+            F.when(small, F.lit("ks")).otherwise(F.lit("wasserstein")).alias("test"),
+            F.when(small, F.col("ks_pvalue")).otherwise(F.col("wasserstein_normed")).alias("score"),
+            _drifted().alias("drifted"),
+        )
     )
-    return wide.unpivot([KEY], list(cols), "feature", "spread")
 
 
 def column_drift(
@@ -96,28 +164,7 @@ def column_drift(
     of the reference's standard deviation.
     """
     cols = list(numeric_columns(reference, current) if cols is None else cols)
-    stats = two_sample(ecdf_pair(reference, current, cols, series))
-    joined = stats.join(reference_spread(reference, cols, series.key), [KEY, "feature"])
-    small = F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS
-    return joined.withColumns(
-        {
-            "ks_pvalue": ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur")),
-            "wasserstein_normed": F.col("wasserstein") / F.col("spread"),
-        }
-    ).select(
-        KEY,
-        "feature",
-        "n_ref",
-        "n_cur",
-        "ks",
-        "ks_pvalue",
-        "wasserstein_normed",
-        F.when(small, F.lit("ks")).otherwise(F.lit("wasserstein")).alias("test"),
-        F.when(small, F.col("ks_pvalue")).otherwise(F.col("wasserstein_normed")).alias("score"),
-        F.when(small, F.col("ks_pvalue") < S.KS_ALPHA)
-        .otherwise(F.col("wasserstein_normed") >= S.WASSERSTEIN_LIMIT)
-        .alias("drifted"),
-    )
+    return _verdicts(sample_statistics(reference, current, cols, series))
 
 
 def data_drift(
@@ -127,40 +174,34 @@ def data_drift(
     threshold: float = S.DRIFT_THRESHOLD,
     cols: Sequence[str] | None = None,
     series: Series = DAILY,
-    columns: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key: share of drifted features, whether it exceeds ``threshold``, and their names.
 
     A key without current rows or without comparable features shows no drift, score 0 and the reason in ``error``.
-    ``columns`` passes in a stored result of ``column_drift``.
+    Without ``keys`` every key of the reference is reported. Each table is read once.
     """
-    key = series.key
     cols = list(numeric_columns(reference, current) if cols is None else cols)
-    if keys is None:
-        keys = reference.select(F.col(key).alias(KEY)).distinct()
-    present = current.select(F.col(key).alias(KEY)).distinct().withColumn("_present", F.lit(True))
-    if columns is None:
-        columns = column_drift(reference, current, cols, series) if cols else None
-    result = keys.select(KEY).join(present, KEY, "left")
-    if columns is None:
-        result = result.withColumns(
-            {"_share": F.lit(None).cast("double"), "_names": F.lit(None).cast("array<string>"), "_total": F.lit(None).cast("long")}
-        )
-    else:
-        per_key = columns.groupBy(KEY).agg(
-            F.avg(F.col("drifted").cast("double")).alias("_share"),
-            F.sort_array(F.collect_list(F.when(F.col("drifted"), F.col("feature")))).alias("_names"),
-            F.count(F.lit(1)).alias("_total"),
-        )
-        result = result.join(per_key, KEY, "left")
+    statistics = sample_statistics(reference, current, cols, series)
+    drifted = _drifted()
+    feature = _comparable()
+    rows = F.col("feature") == ROWS
+    per_key = statistics.groupBy(KEY).agg(
+        F.avg(F.when(feature, drifted.cast("double"))).alias("_share"),
+        F.sort_array(F.collect_list(F.when(feature & drifted, F.col("feature")))).alias("_names"),
+        F.count_if(feature).alias("_total"),
+        F.max(F.when(rows, F.col("n_ref"))).alias("_ref"),
+        F.max(F.when(rows, F.col("n_cur"))).alias("_cur"),
+    )
+    result = keys.select(KEY).join(per_key, KEY, "left") if keys is not None else per_key.filter("_ref > 0")
+    none = F.coalesce("_total", F.lit(0)) == 0
     return result.select(
         KEY,
         F.coalesce(F.col("_share") > threshold, F.lit(False)).alias("drift_detected"),
         F.round(F.coalesce("_share", F.lit(0.0)), 4).alias("drift_score"),
         F.coalesce("_names", F.array().cast("array<string>")).alias("drifted_features"),
         F.coalesce("_total", F.lit(0)).cast("long").alias("total_features"),
-        F.when(F.col("_present").isNull(), F.lit("Empty current DataFrame"))
-        .when(F.col("_total").isNull(), F.lit("Empty feature DataFrame after filtering"))
+        F.when(F.coalesce("_cur", F.lit(0)) == 0, F.lit("Empty current DataFrame"))
+        .when(none, F.lit("Empty feature DataFrame after filtering"))
         .alias("error"),
     )
 

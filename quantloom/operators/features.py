@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from quantloom.functions.ewm import Ewm, add_blocks, add_ewm, alpha_from, block_rows
-from quantloom.functions.rolling import change, full_frame
+from quantloom.functions.rolling import change, full_frame, lag
 from quantloom.operators.layout import DAILY, Series, lay_out
 from quantloom.schema import BAR_VALUES, FEATURES, LAGS, SMA_WINDOWS, TARGETS, WARMUP_COLUMNS
 
-# Smoothing lengths and the guard against a zero divisor.
-_FAST, _SLOW, _SIGNAL, _PERIOD, _TINY = 12, 26, 9, 14, 1e-9
+# Smoothing lengths, and the guard against a zero divisor.
+_FAST, _SLOW, _SIGNAL, _PERIOD = 12, 26, 9, 14
+_TINY = "1e-9D"
 
 _FIRST_PASS = [
     Ewm("close", "ema_12", alpha_from(span=_FAST), adjust=False),
@@ -23,61 +23,51 @@ _FIRST_PASS = [
 _SECOND_PASS = [Ewm("macd", "macd_signal", alpha_from(span=_SIGNAL), adjust=False, starts="_starts")]
 _BLOCK = block_rows(_FIRST_PASS + _SECOND_PASS)
 
+# features of one row only, in terms of the columns before them
+_ROW_FEATURES = {
+    "high_low_range": "try_divide(high - low, close)",
+    "close_open_spread": "try_divide(close - open, open)",
+    "close_to_sma20": "try_divide(close, sma_20) - 1",
+    "close_to_sma50": "try_divide(close, sma_50) - 1",
+    "sma10_sma20_cross": "try_divide(sma_10, sma_20) - 1",
+    "bb_width": "try_divide(bb_upper - bb_lower, sma_20)",
+    "bb_pos": f"try_divide(close - bb_lower, bb_upper - bb_lower + {_TINY})",
+    "volume_ratio": f"try_divide(volume, volume_sma_10 + {_TINY})",
+    "log_volume": "log1p(volume)",
+    "macd_hist": "macd - macd_signal",
+    "rsi_14": f"100 - 100 / (1 + _avg_gain / (_avg_loss + {_TINY}))",
+}
 
-def smoothing_inputs(df: DataFrame) -> DataFrame:
-    """Gain, loss and true range, from the previous close in ``_before``."""
-    delta = F.col("close") - F.col("_before")
-    return df.withColumns(
-        {
-            "_gain": F.when(delta.isNotNull(), F.greatest(delta, F.lit(0.0))),
-            "_loss": F.when(delta.isNotNull(), F.greatest(-delta, F.lit(0.0))),
-            "_range": F.greatest(
-                F.col("high") - F.col("low"),
-                F.abs(F.col("high") - F.col("_before")),
-                F.abs(F.col("low") - F.col("_before")),
-            ),
-        }
-    ).drop("_before")
-
-
-def window_features(df: DataFrame, ordered) -> DataFrame:
-    """All features made of lags, leads and rolling frames: one window group, one sort."""
-    next_close = F.lead("close", 1).over(ordered)
-    return df.withColumns(
-        {
-            **{f"sma_{n}": full_frame(F.avg, "close", ordered, n) for n in SMA_WINDOWS},
-            **{f"returns_{n}d": change("close", ordered, n) for n in (1, 5, 10)},
-            **{f"close_lag_{n}": F.lag("close", n).over(ordered) for n in LAGS},
-            **{f"return_lag_{n}": change("close", ordered, n, skip=1) for n in LAGS},
-            "_std": full_frame(F.stddev_samp, "close", ordered, 20),
-            "volume_sma_10": full_frame(F.avg, "volume", ordered, 10),
-            "target_next_close": next_close,
-            "target_next_return": F.try_divide(next_close, F.col("close")) - 1,
-        }
-    )
 
+def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
 
-def row_features(df: DataFrame) -> DataFrame:
-    """Features that need only columns of their own row."""
-    c = F.col
-    upper, lower = c("sma_20") + 2 * c("_std"), c("sma_20") - 2 * c("_std")
-    return df.withColumns(
-        {
-            "high_low_range": F.try_divide(c("high") - c("low"), c("close")),
-            "close_open_spread": F.try_divide(c("close") - c("open"), c("open")),
-            "close_to_sma20": F.try_divide(c("close"), c("sma_20")) - 1,
-            "close_to_sma50": F.try_divide(c("close"), c("sma_50")) - 1,
-            "sma10_sma20_cross": F.try_divide(c("sma_10"), c("sma_20")) - 1,
-            "bb_upper": upper,
-            "bb_lower": lower,
-            "bb_width": F.try_divide(upper - lower, c("sma_20")),
-            "bb_pos": F.try_divide(c("close") - lower, upper - lower + _TINY),
-            "volume_ratio": F.try_divide(c("volume"), c("volume_sma_10") + _TINY),
-            "log_volume": F.log1p(c("volume")),
-            "macd_hist": c("macd") - c("macd_signal"),
-            "rsi_14": 100 - 100 / (1 + c("_avg_gain") / (c("_avg_loss") + _TINY)),
-        }
-    )
+
+_CHANGES = [1, 5, 10]
+_LAGS_USED = sorted({1, *_CHANGES, *LAGS, *(n + 1 for n in LAGS)})
+
+
+def _window_features(over: str) -> dict[str, str]:
+    """Lags, the next close and rolling frames: one window group, one sort. Each lag is read once."""
+    return {
+        **{f"_back_{n}": lag("close", over, n) for n in _LAGS_USED},
+        **{f"sma_{n}": full_frame("avg", "close", over, n) for n in SMA_WINDOWS},
+        "_std": full_frame("stddev_samp", "close", over, 20),
+        "volume_sma_10": full_frame("avg", "volume", over, 10),
+        "target_next_close": f"lead(close, 1) OVER ({over})",
+    }
+
+
+def _lag_features() -> dict[str, str]:
+    """Changes over some rows, and the same changes as seen one row ago."""
+    return {
+        **{f"returns_{n}d": change("close", f"_back_{n}") for n in _CHANGES},
+        **{f"close_lag_{n}": f"_back_{n}" for n in LAGS},
+        **{f"return_lag_{n}": change("_back_1", f"_back_{n + 1}") for n in LAGS},
+        "target_next_return": change("target_next_close", "close"),
+        "bb_upper": "sma_20 + 2 * _std",
+        "bb_lower": "sma_20 - 2 * _std",
+    }
 
 
 def compute_features(
@@ -93,18 +83,25 @@ def compute_features(
     """
     key, order = series.key, series.order
     layout = lay_out(bars.select(key, order, *BAR_VALUES), series, before=_BLOCK, after=1)
+    group = f"PARTITION BY {', '.join(layout.part)}"
+    by_block = f"{group} ORDER BY _blk, {order}"
+    by_row = f"{group} ORDER BY {order}" if series.per_key else by_block
     df = add_blocks(layout.df, _BLOCK)
-    ordered = Window.partitionBy(*layout.part).orderBy("_blk", order)
-    by_row = series.window if series.per_key else ordered
     # smoothing first, on narrow rows; the wide rolling and lag features come last
-    so_far = by_row.rowsBetween(Window.unboundedPreceding, 0)
-    first_close = F.col("close").isNotNull() & (F.count("close").over(so_far) == 1)
-    df = smoothing_inputs(df.withColumns({"_before": F.lag("close", 1).over(by_row), "_starts": first_close}))
-    df = add_ewm(df, _FIRST_PASS, layout.part, order, _BLOCK).drop("_gain", "_loss", "_range")
-    df = df.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
-    df = add_ewm(df, _SECOND_PASS, layout.part, order, _BLOCK)
-    df = row_features(window_features(df, ordered))
-    df = layout.finish(df)
+    seen = f"count(close) OVER ({by_row} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    df = _with(df, {"_before": lag("close", by_row, 1), "_starts": f"close IS NOT NULL AND {seen} = 1"})
+    df = _with(
+        df,
+        {
+            "_gain": "CASE WHEN close - _before IS NOT NULL THEN greatest(close - _before, 0D) END",
+            "_loss": "CASE WHEN close - _before IS NOT NULL THEN greatest(_before - close, 0D) END",
+            "_range": "greatest(high - low, abs(high - _before), abs(low - _before))",
+        },
+    )
+    df = add_ewm(df, _FIRST_PASS, layout.part, order, _BLOCK)
+    df = add_ewm(_with(df, {"macd": "ema_12 - ema_26"}), _SECOND_PASS, layout.part, order, _BLOCK)
+    df = _with(_with(df, _window_features(by_block)), _lag_features())
+    df = layout.finish(_with(df, _ROW_FEATURES))
     if drop_warmup:
         needed = WARMUP_COLUMNS + (["target_next_close"] if require_target else [])
         df = df.na.drop(subset=needed)

@@ -54,7 +54,7 @@ def fit_robust_scaler(
     train = split_df.filter("split = 'train'")
     if exact_groups if exact_groups is not None else series.per_key:
         points = train.groupBy(key).agg(
-            *[F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(c) for c in cols]
+            *[F.expr(f"percentile({c}, array(0.25D, 0.5D, 0.75D)) AS {c}") for c in cols]
         )
         stacked = points.unpivot([key], cols, "feature", "_q")
         low, mid, high = (F.element_at("_q", i) for i in (1, 2, 3))
@@ -88,8 +88,9 @@ def apply_scaler(df: DataFrame, scaler: DataFrame, cols: Sequence[str] | None =
     cols = list(cols or feature_columns(df))
     wide = wide_scaler(scaler, cols).withColumnRenamed(KEY, key)
     joined = df.join(wide, key)
-    scaled = {c: (F.col(c) - F.col(f"{c}_center")) / F.col(f"{c}_scale") for c in cols}
-    return joined.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
+    return joined.selectExpr(
+        *[f"(`{c}` - `{c}_center`) / `{c}_scale` AS `{c}`" if c in cols else f"`{c}`" for c in df.columns]
+    )
 
 
 def make_sequences(
@@ -109,7 +110,7 @@ def make_sequences(
     ordered = Window.partitionBy(*layout.part, "split").orderBy(order)
     last = 0 if include_current else -1
     frame = ordered.rowsBetween(last - seq_len + 1, last)
-    row = F.array(*[F.col(c).cast("float") for c in cols])
+    row = F.expr(f"array({', '.join(f'float(`{c}`)' for c in cols)})")
     framed = layout.df.withColumn("_row", row).withColumns(
         {"X": F.collect_list("_row").over(frame), "_back": F.count(F.lit(1)).over(frame)}
     )

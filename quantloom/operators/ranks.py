@@ -19,7 +19,7 @@ SLICES = 64
 
 def long_values(df: DataFrame, cols: Sequence[str], key: str, counts: Mapping[str, Column]) -> DataFrame:
     """``key, feature, value`` plus one column per entry of ``counts``; nulls are left out."""
-    wide = df.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
+    wide = df.selectExpr(key, *[f"double(`{c}`) AS `{c}`" for c in cols])
     tall = wide.unpivot([key], list(cols), "feature", "value")
     return tall.filter("value IS NOT NULL").withColumns({n: c.cast("long") for n, c in counts.items()})
 
@@ -37,7 +37,7 @@ def running_counts(
     tall: DataFrame, counts: Sequence[str], key: str, sliced: bool = False, slices: int = SLICES
 ) -> DataFrame:
     """One row per distinct value with ``<c>_upto`` (rows at or below it), ``<c>_all`` (rows of the group) for each
-    count column, and ``next_value`` (null on the last)."""
+    count column, ``next_value`` (null on the last) and ``least`` (the smallest value of the group)."""
     group = [key, "feature"]
     if not sliced:
         merged = tall.groupBy(*group, "value").agg(*[F.sum(c).alias(c) for c in counts])
@@ -48,6 +48,7 @@ def running_counts(
                 **{f"{c}_upto": F.sum(c).over(by_value.rowsBetween(Window.unboundedPreceding, 0)) for c in counts},
                 **{f"{c}_all": F.sum(c).over(whole) for c in counts},
                 "next_value": F.lead("value", 1).over(by_value),
+                "least": F.min("value").over(whole),
             }
         )
     merged = (
@@ -62,6 +63,7 @@ def running_counts(
         *group,
         "_slice",
         F.lead("_first", 1).over(by_slice).alias("_next_first"),
+        F.min("_first").over(Window.partitionBy(*group)).alias("least"),
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_{c}_before") for c in counts],
         *[F.sum(c).over(Window.partitionBy(*group)).alias(f"{c}_all") for c in counts],
     )

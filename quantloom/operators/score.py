@@ -21,7 +21,7 @@ MIN_LOOKBACK, MAX_LOOKBACK = 60, 365  # fixed values
 def latest_features(features: DataFrame, key: str = KEY, order: str = ORDER) -> DataFrame:
     """The newest feature row of every key. Partial aggregates keep one row per task and key."""
     values = [c for c in features.columns if c not in (key, order)]
-    newest = features.groupBy(key).agg(F.max(order).alias(order), *[F.max_by(c, order).alias(c) for c in values])
+    newest = features.groupBy(key).agg(F.max(order).alias(order), *[F.expr(f"max_by(`{c}`, `{order}`) AS `{c}`") for c in values])
     return newest.select(*features.columns)
 
 
@@ -50,7 +50,7 @@ def last_sequence(
     scaled: DataFrame, cols: Sequence[str], seq_len: int = SEQ_LEN, tiled: bool = False, key: str = KEY, order: str = ORDER
 ) -> DataFrame:
     """``ticker, date, X``: the last ``seq_len`` rows of every key, or the newest row repeated when ``tiled``."""
-    row = F.array(*[F.col(c).cast("float") for c in cols])
+    row = F.expr(f"array({', '.join(f'float(`{c}`)' for c in cols)})")
     if tiled:
         newest = latest_features(scaled.select(key, order, *cols))
         return newest.select(key, order, F.array_repeat(row, seq_len).alias("X"))

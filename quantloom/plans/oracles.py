@@ -20,15 +20,13 @@ SELECT o_orderpriority AS ticker, date_trunc('day', o_orderdate)::TIMESTAMP AS d
   last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS close, count(*)::DOUBLE AS volume
 FROM orders GROUP BY ALL"""
 
-_LINE_PRICE = "(l_extendedprice / l_quantity)"
-_LINE_RANK = f"l_shipdate, l_orderkey, l_linenumber, {_LINE_PRICE}"
 
-
-def line_bars(key: str) -> str:
+def line_bars(key: str, price: str = "(l_extendedprice / l_quantity)") -> str:
+    rank = f"l_shipdate, l_orderkey, l_linenumber, {price}"
     return f"""
 SELECT {key}::VARCHAR AS ticker, date_trunc('day', l_shipdate)::TIMESTAMP AS date,
-  first({_LINE_PRICE} ORDER BY {_LINE_RANK}) AS open, max({_LINE_PRICE}) AS high, min({_LINE_PRICE}) AS low,
-  last({_LINE_PRICE} ORDER BY {_LINE_RANK}) AS close, sum(l_quantity) AS volume
+  first({price} ORDER BY {rank}) AS open, max({price}) AS high, min({price}) AS low,
+  last({price} ORDER BY {rank}) AS close, sum(l_quantity) AS volume
 FROM lineitem GROUP BY ALL"""
 
 
@@ -50,7 +48,7 @@ FROM (SELECT *, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS price FR
 DIRTY_BARS = """
 SELECT l_suppkey::VARCHAR AS ticker, l_shipdate AS date,
   l_extendedprice / l_quantity AS open,
-  l_extendedprice / l_quantity * (1 + l_discount) AS high,
+  CASE WHEN l_discount = 0 AND l_tax = 0 AND l_quantity = 1 THEN 0.5 ELSE 1.1 END::DOUBLE * (l_extendedprice / l_quantity) AS high,
   CASE WHEN l_discount = 0 AND l_tax = 0 AND l_quantity = 1 THEN 0 ELSE l_extendedprice / l_quantity * (1 - l_tax) END::DOUBLE AS low,
   CASE WHEN l_linenumber = 1 AND l_returnflag = 'R' THEN NULL ELSE l_extendedprice / l_quantity * (1 + l_tax) END::DOUBLE AS close,
   greatest(l_quantity - 5, 0)::DOUBLE AS volume
@@ -76,40 +74,44 @@ def _ewm(alpha: str, col: str, adjust: bool) -> str:
     return f"sum(CASE WHEN e.i = 0 THEN {weight} ELSE {alpha} * {weight} END * e.{col})"
 
 
-def features_cte(bars: str, smoothing: bool = True) -> str:
-    """``WITH`` list ending in ``f``: all rows with features and targets. The bars must have no nulls."""
+def features_cte(bars: str, smoothing: bool = True, prefix: str = "") -> str:
+    """``WITH`` list ending in ``f``: all rows with features and targets. The bars must have no nulls.
+
+    ``prefix`` goes before each name, so two sets of bars fit into one statement.
+    """
     lags = ", ".join(f"{_lag(n)} AS close_lag_{n}" for n in (1, 2, 3, 5, 10))
     changes = ", ".join(f"close / nullif({_lag(n)}, 0) - 1 AS returns_{n}d" for n in (1, 5, 10))
     lagged = ", ".join(f"{_lag(1)} / nullif({_lag(n + 1)}, 0) - 1 AS return_lag_{n}" for n in (1, 2, 3, 5, 10))
     base = f"""
-b AS ({bars}),
-p AS (SELECT *, row_number() OVER ({_W}) - 1 AS i, {_lag(1)} AS prev, lead(close, 1) OVER ({_W}) AS target_next_close FROM b),
-s AS (SELECT *, CASE WHEN prev IS NOT NULL THEN greatest(close - prev, 0) END AS gain,
+@b AS ({bars}),
+@p AS (SELECT *, row_number() OVER ({_W}) - 1 AS i, {_lag(1)} AS prev, lead(close, 1) OVER ({_W}) AS target_next_close FROM @b),
+@s AS (SELECT *, CASE WHEN prev IS NOT NULL THEN greatest(close - prev, 0) END AS gain,
   CASE WHEN prev IS NOT NULL THEN greatest(prev - close, 0) END AS loss,
-  greatest(high - low, coalesce(abs(high - prev), 0), coalesce(abs(low - prev), 0)) AS tr FROM p),
-w AS (SELECT *, {changes}, {lags}, {lagged},
+  greatest(high - low, coalesce(abs(high - prev), 0), coalesce(abs(low - prev), 0)) AS tr FROM @p),
+@w AS (SELECT *, {changes}, {lags}, {lagged},
   (high - low) / nullif(close, 0) AS high_low_range, (close - open) / nullif(open, 0) AS close_open_spread,
   {_rolling('avg', 'close', 10)} AS sma_10, {_rolling('avg', 'close', 20)} AS sma_20, {_rolling('avg', 'close', 50)} AS sma_50,
   {_rolling('stddev_samp', 'close', 20)} AS std, {_rolling('avg', 'volume', 10)} AS volume_sma_10,
-  ln(1 + volume) AS log_volume, target_next_close / nullif(close, 0) - 1 AS target_next_return FROM s),
-x AS (SELECT *, close / nullif(sma_20, 0) - 1 AS close_to_sma20, close / nullif(sma_50, 0) - 1 AS close_to_sma50,
+  ln(1 + volume) AS log_volume, target_next_close / nullif(close, 0) - 1 AS target_next_return FROM @s),
+@x AS (SELECT *, close / nullif(sma_20, 0) - 1 AS close_to_sma20, close / nullif(sma_50, 0) - 1 AS close_to_sma50,
   sma_10 / nullif(sma_20, 0) - 1 AS sma10_sma20_cross, sma_20 + 2 * std AS bb_upper, sma_20 - 2 * std AS bb_lower,
   (sma_20 + 2 * std - (sma_20 - 2 * std)) / nullif(sma_20, 0) AS bb_width,
   (close - (sma_20 - 2 * std)) / ((sma_20 + 2 * std) - (sma_20 - 2 * std) + 1e-9) AS bb_pos,
-  volume / (volume_sma_10 + 1e-9) AS volume_ratio FROM w)"""
+  volume / (volume_sma_10 + 1e-9) AS volume_ratio FROM @w)"""
     if not smoothing:
-        return base + ",\nf AS (SELECT * FROM x)"
-    return base + f""",
-m AS (SELECT t.ticker, t.i, {_ewm('(2.0::DOUBLE / 13)', 'close', False)} AS ema_12, {_ewm('(2.0::DOUBLE / 27)', 'close', False)} AS ema_26,
+        return (base + ",\n@f AS (SELECT * FROM @x)").replace("@", prefix)
+    out = base + f""",
+@m AS (SELECT t.ticker, t.i, {_ewm('(2.0::DOUBLE / 13)', 'close', False)} AS ema_12, {_ewm('(2.0::DOUBLE / 27)', 'close', False)} AS ema_26,
   {_ewm('(1.0::DOUBLE / 14)', 'gain', True)} AS ag, {_ewm('(1.0::DOUBLE / 14)', 'loss', True)} AS al,
   {_ewm('(1.0::DOUBLE / 14)', 'tr', True)} AS at
-  FROM s t JOIN s e ON t.ticker = e.ticker AND e.i <= t.i GROUP BY t.ticker, t.i),
-c AS (SELECT *, ema_12 - ema_26 AS macd FROM m),
-g AS (SELECT t.ticker, t.i, {_ewm('(2.0::DOUBLE / 10)', 'macd', False)} AS macd_signal
-  FROM c t JOIN c e ON t.ticker = e.ticker AND e.i <= t.i GROUP BY t.ticker, t.i),
-f AS (SELECT x.*, c.ema_12, c.ema_26, c.macd, g.macd_signal, c.macd - g.macd_signal AS macd_hist,
+  FROM @s t JOIN @s e ON t.ticker = e.ticker AND e.i <= t.i GROUP BY t.ticker, t.i),
+@c AS (SELECT *, ema_12 - ema_26 AS macd FROM @m),
+@g AS (SELECT t.ticker, t.i, {_ewm('(2.0::DOUBLE / 10)', 'macd', False)} AS macd_signal
+  FROM @c t JOIN @c e ON t.ticker = e.ticker AND e.i <= t.i GROUP BY t.ticker, t.i),
+@f AS (SELECT x.*, c.ema_12, c.ema_26, c.macd, g.macd_signal, c.macd - g.macd_signal AS macd_hist,
   CASE WHEN x.i >= 14 THEN 100 - 100 / (1 + c.ag / (c.al + 1e-9)) END AS rsi_14, CASE WHEN x.i >= 13 THEN c.at END AS atr_14
-  FROM x JOIN c USING (ticker, i) JOIN g USING (ticker, i))"""
+  FROM @x x JOIN @c c USING (ticker, i) JOIN @g g USING (ticker, i))"""
+    return out.replace("@", prefix)
 
 
 WARM = "sma_50 IS NOT NULL AND i >= 14 AND close_lag_10 IS NOT NULL AND target_next_close IS NOT NULL"

@@ -15,6 +15,7 @@ from quantloom.plans import oracles as Q
 from quantloom.plans.oracles import DIGITS, r, rounded
 from quantloom.schema import FEATURES, KEY, ORDER, TARGETS
 from quantloom.sources import bars as B
+from quantloom.sources.stage import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,8 +46,8 @@ def order_bars(spark, sf, bucket="day"):
     )
 
 
-def line_bars(spark, sf, key="l_returnflag"):
-    price = F.col("l_extendedprice") / F.col("l_quantity")
+def line_bars(spark, sf, key="l_returnflag", per_unit=True):
+    price = F.col("l_extendedprice") / F.col("l_quantity") if per_unit else F.col("l_extendedprice")
     rank = ["l_shipdate", "l_orderkey", "l_linenumber", price]
     return B.bars_from_ticks(table(spark, sf, "lineitem"), key, "l_shipdate", price, "l_quantity", order_by=rank)
 
@@ -70,7 +71,7 @@ def dirty_bars(spark, sf):
         F.col("l_suppkey").cast("string").alias(KEY),
         F.col("l_shipdate").alias(ORDER),
         price.alias("open"),
-        (price * (1 + F.col("l_discount"))).alias("high"),
+        (F.when(free, F.lit(0.5)).otherwise(F.lit(1.1)) * price).alias("high"),
         F.when(free, F.lit(0.0)).otherwise(price * (1 - F.col("l_tax"))).alias("low"),
         F.when(~unknown, price * (1 + F.col("l_tax"))).alias("close"),
         F.greatest(F.col("l_quantity") - 5, F.lit(0.0)).alias("volume"),
@@ -84,7 +85,7 @@ def keys_of(bars: DataFrame) -> DataFrame:
 def show(df: DataFrame, cols, digits=None, keys=(KEY, ORDER)) -> DataFrame:
     """Round the given columns as the SQL does."""
     digits = digits or DIGITS
-    return df.select(*keys, *[F.round(c, digits[c]).alias(c) for c in cols])
+    return df.selectExpr(*keys, *[f"round({c}, {digits[c]}) AS {c}" for c in cols])
 
 
 # --- sources, sinks, cleaning ---------------------------------------------------------------------------------------
@@ -95,13 +96,14 @@ def _(spark, sf):
     return order_bars(spark, sf)
 
 
-@query(
-    "bars_from_ticks_lineitem",
-    f"WITH b AS ({Q.line_bars('l_returnflag')}) SELECT ticker, date, {r('open', 6, 'open')}, {r('high', 6, 'high')}, "
-    f"{r('low', 6, 'low')}, {r('close', 6, 'close')}, volume FROM b",
-)
+@query("bars_from_ticks_lineitem", f"SELECT {BAR_COLS} FROM ({Q.line_bars('l_returnflag')})")
 def _(spark, sf):
-    return show(line_bars(spark, sf), ["open", "high", "low", "close", "volume"], dict.fromkeys(["open", "high", "low", "close", "volume"], 6))
+    return line_bars(spark, sf)
+
+
+@query("bars_from_ticks_many_keys", f"SELECT {BAR_COLS} FROM ({Q.line_bars('l_suppkey')})")
+def _(spark, sf):
+    return line_bars(spark, sf, "l_suppkey")
 
 
 @query("bars_from_ticks_events_hour", f"SELECT {BAR_COLS} FROM ({Q.event_bars('hour')})")
@@ -298,19 +300,19 @@ def _(spark, sf):
 
 
 @query("route_valid", _report_sql(Q.DIRTY_BARS) + """
-SELECT ticker, date, round(open, 6) AS open, volume FROM b WHERE ticker IN (SELECT ticker FROM rep WHERE passed)""")
+SELECT ticker, date, open, volume FROM b WHERE ticker IN (SELECT ticker FROM rep WHERE passed)""")
 def _(spark, sf):
     bars = dirty_bars(spark, sf)
     good, _bad = validate.route_valid(bars, validate.validate_bars(bars))
-    return good.select(KEY, ORDER, F.round("open", 6).alias("open"), "volume")
+    return good.select(KEY, ORDER, "open", "volume")
 
 
 @query("route_invalid", _report_sql(Q.DIRTY_BARS) + """
-SELECT ticker, date, round(open, 6) AS open, volume FROM b WHERE ticker IN (SELECT ticker FROM rep WHERE NOT passed)""")
+SELECT ticker, date, open, volume FROM b WHERE ticker IN (SELECT ticker FROM rep WHERE NOT passed)""")
 def _(spark, sf):
     bars = dirty_bars(spark, sf)
     _good, bad = validate.route_valid(bars, validate.validate_bars(bars))
-    return bad.select(KEY, ORDER, F.round("open", 6).alias("open"), "volume")
+    return bad.select(KEY, ORDER, "open", "volume")
 
 
 _STATUS = """, st AS (SELECT ticker, CASE WHEN passed THEN 'success' ELSE 'failed' END AS status,
@@ -412,18 +414,17 @@ def _(spark, sf):
     return show(compute_features(order_bars(spark, sf), require_target=False), FEATURES)
 
 
-# prices per unit are no whole cents, so averages are compared at 3 digits
-_UNIT_DIGITS = {**DIGITS, **{f: 3 for f in FEATURES if DIGITS[f] in (2, 4) and "volume" not in f}, "rsi_14": 4}
+_LINE_TOTALS = Q.line_bars("l_returnflag", "l_extendedprice")
 
 
 @query(
     "compute_features_segmented",
-    f"WITH {Q.features_cte(Q.line_bars('l_returnflag'))} SELECT ticker, date, {rounded(FEATURES, _UNIT_DIGITS)} FROM f WHERE {Q.WARM}",
+    f"WITH {Q.features_cte(_LINE_TOTALS)} SELECT ticker, date, {rounded(FEATURES)} FROM f WHERE {Q.WARM}",
 )
 def _(spark, sf):
     # keys cut into segments of 1024 rows, as for bars too fine for one task per key
     cut = Series(bucket="day", segment_rows=1024, force_segments=True)
-    return show(compute_features(line_bars(spark, sf), cut), FEATURES, _UNIT_DIGITS)
+    return show(compute_features(line_bars(spark, sf, per_unit=False), cut), FEATURES)
 
 
 @query(
@@ -485,10 +486,10 @@ def _(spark, sf):
 
 @query(
     "fit_robust_scaler",
-    f"WITH {Q.split_cte(Q.ORDER_BARS)}{Q.scaler_cte(FEATURES)} SELECT ticker, feature, {r('center', 4, 'center')}, {r('scale', 4, 'scale')} FROM sc",
+    f"WITH {Q.split_cte(Q.ORDER_BARS)}{Q.scaler_cte(FEATURES)} SELECT ticker, feature, {r('center', 6, 'center')}, {r('scale', 6, 'scale')} FROM sc",
 )
 def _(spark, sf):
-    return show(prep.fit_robust_scaler(_split(spark, sf)), ["center", "scale"], {"center": 4, "scale": 4}, (KEY, "feature"))
+    return show(prep.fit_robust_scaler(_split(spark, sf)), ["center", "scale"], {"center": 6, "scale": 6}, (KEY, "feature"))
 
 
 @query(
@@ -519,7 +520,8 @@ _SCALED_SQL = f"WITH {Q.split_cte(Q.ORDER_BARS)}{Q.scaler_cte(FEATURES)}{_scaled
 
 
 def _scaled(spark, sf):
-    split = _split(spark, sf)
+    # fitting and applying both read the split table
+    split = stage(_split(spark, sf), "split")
     return prep.apply_scaler(split, prep.fit_robust_scaler(split))
 
 
@@ -538,7 +540,7 @@ FROM {Q.tall("(SELECT * FROM x2 WHERE split = 'train')", FEATURES)} GROUP BY ALL
 )
 def _(spark, sf):
     # the training part has median 0 after scaling
-    scaled = _scaled(spark, sf)
+    scaled = stage(_scaled(spark, sf), "scaled")
     return prep.fit_robust_scaler(scaled).select(KEY, "feature", F.round("center", 6).alias("center"))
 
 
@@ -650,7 +652,7 @@ def _(spark, sf):
 
 
 def _registry(spark, sf):
-    scored = metrics.forecast_metrics(_forecasts(spark, sf))
+    scored = stage(metrics.forecast_metrics(_forecasts(spark, sf)), "metrics")
     paths = scored.select(KEY, "model").distinct().withColumn("model_path", F.concat(F.lit("registry/"), "model", F.lit("/"), KEY))
     return metrics.build_registry(scored, paths, "run-1")
 
@@ -709,7 +711,7 @@ SELECT ticker, date, {', '.join(r(c, 5, c) for c in FEATURES)} FROM n2""",
 )
 def _(spark, sf):
     # the newest bar whose next close is known, scaled with the stored scaler
-    features = compute_features(order_bars(spark, sf))
+    features = stage(compute_features(order_bars(spark, sf)), "features")
     newest = score.latest_features(features)
     scaler = prep.fit_robust_scaler(prep.chrono_split(features))
     return show(prep.apply_scaler(newest, scaler), FEATURES, dict.fromkeys(FEATURES, 5))
@@ -755,7 +757,7 @@ _EVENT_PAIR_SQL = f"WITH {Q.split_cte(Q.event_bars('hour'))}, rf AS (SELECT * FR
 
 
 def _pair(spark, sf, bars=order_bars, series=DAILY):
-    split = prep.chrono_split(compute_features(bars(spark, sf), series), series=series)
+    split = stage(prep.chrono_split(compute_features(bars(spark, sf), series), series=series), "split")
     return split.filter("split = 'train'"), split.filter("split <> 'train'")
 
 
@@ -827,21 +829,9 @@ def _(spark, sf):
 _CURRENT_BARS = f"SELECT * FROM ({Q.ORDER_BARS}) WHERE date >= DATE '{ORDERS_ASOF}' - INTERVAL 180 DAY AND date < TIMESTAMP '{ORDERS_ASOF}' AND ticker <> '5-LOW'"
 
 
-def _renamed(cte: str, prefix: str) -> str:
-    """The same feature list under other names, so two sets of bars fit into one statement."""
-    import re
-
-    names = ["b", "p", "s", "w", "x", "m", "c", "g", "f"]
-    out = cte
-    for n in names:
-        out = re.sub(rf"(?m)^{n} AS \(", f"{prefix}{n} AS (", out)
-        out = re.sub(rf"\b(FROM|JOIN) {n}\b", rf"\1 {prefix}{n} {n}" if n not in ("s", "c") else rf"\1 {prefix}{n}", out)
-    return out
-
-
-_TWO_SETS = f"""WITH {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'){{glue}}
-{_renamed(Q.features_cte(_CURRENT_BARS), 'q')},
-cu AS (SELECT * FROM qf f WHERE {Q.WARM})""".replace("{glue}", ",")
+_TWO_SETS = f"""WITH {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'),
+{Q.features_cte(_CURRENT_BARS, prefix='q')},
+cu AS (SELECT * FROM qf WHERE {Q.WARM})"""
 
 _DATA_DRIFT = """, ks AS (SELECT DISTINCT ticker FROM b UNION ALL SELECT 'NONE'),
 dk AS (SELECT ticker, avg(drifted::INT) AS share, string_agg(CASE WHEN drifted THEN feature END, ',' ORDER BY feature) AS names, count(*) AS total FROM cd GROUP BY ticker),
@@ -851,19 +841,22 @@ dd AS (SELECT ks.ticker, coalesce(share > 0.1::DOUBLE, false) AS drift_detected,
        WHEN total IS NULL THEN 'Empty feature DataFrame after filtering' END AS error FROM ks LEFT JOIN dk ON ks.ticker = dk.ticker)"""
 
 
-def _reference_and_current(spark, sf):
-    """Training slice of the history against the last 120 days; one key has no current bars, one no bars at all."""
-    bars = order_bars(spark, sf)
-    reference = prep.reference_slice(compute_features(bars))
+def _sides(spark, sf):
+    """Split history, features of the last 120 days, and the keys to report.
+
+    One key has no current bars and one no bars at all. Bars and features are stored first, as later steps share them.
+    """
+    bars = stage(order_bars(spark, sf), "bars")
+    history = stage(prep.chrono_split(compute_features(bars)), "split")
     recent = B.lookback(bars, 120, ORDERS_ASOF).filter(F.col(KEY) != "5-LOW")
-    current = compute_features(recent)
-    keys = keys_of(bars).union(validate.requested_keys(bars, ["NONE"]))
-    return reference, current, keys
+    current = stage(compute_features(recent), "current")
+    return history, current, keys_of(bars).union(validate.requested_keys(bars, ["NONE"]))
 
 
 @query("data_drift", _TWO_SETS + Q.column_drift_cte("rf", "cu", FEATURES) + _DATA_DRIFT + " SELECT * FROM dd")
 def _(spark, sf):
-    reference, current, keys = _reference_and_current(spark, sf)
+    history, current, keys = _sides(spark, sf)
+    reference = history.filter("split = 'train'")
     return drift.data_drift(reference, current, keys).withColumn("drifted_features", F.array_join("drifted_features", ","))
 
 
@@ -875,28 +868,27 @@ pe AS (SELECT ticker, sum(nr) OVER t AS n1, sum(nc) OVER t AS n2, sum(nr) OVER o
 pk AS (SELECT ticker, max(abs(ur::DOUBLE / n1 - uc::DOUBLE / n2)) AS ks, max(n1) AS n1, max(n2) AS n2 FROM pe WHERE n1 > 0 AND n2 > 0 GROUP BY ticker),
 pd AS (SELECT q.ticker, coalesce(ks > 0.1::DOUBLE, false) AS drift_detected, round(coalesce(ks, 0), 4) AS drift_score,
   CASE WHEN ks > 0.1::DOUBLE THEN 'predictions' ELSE '' END AS drifted_features, 1::BIGINT AS total_features,
-  """ + r(Q.pvalue("ks", "n1", "n2"), 6, "p_value") + """, CASE WHEN ks IS NULL THEN 'No predictions on one side' END AS error
+  CASE WHEN ks IS NOT NULL THEN """ + r(Q.pvalue("ks", "n1", "n2"), 6) + """ END AS p_value, CASE WHEN ks IS NULL THEN 'No predictions on one side' END AS error
   FROM (SELECT DISTINCT ticker FROM b UNION ALL SELECT 'NONE') q LEFT JOIN pk ON q.ticker = pk.ticker)"""
 
 
-def _prediction_sides(spark, sf):
+def _predictions(history, current):
     """The smoothed close as a stand-in forecast, on the validation split and on the current rows."""
-    bars = order_bars(spark, sf)
-    val = prep.chrono_split(compute_features(bars)).filter("split = 'val'")
-    _ref, current, keys = _reference_and_current(spark, sf)
-    return val.select(KEY, F.col("ema_12").alias("predictions")), current.select(KEY, F.col("ema_12").alias("predictions")), keys
+    forecast = F.col("ema_12").alias("predictions")
+    return history.filter("split = 'val'").select(KEY, forecast), current.select(KEY, forecast)
 
 
 @query("prediction_drift", _TWO_SETS + _PREDICTED + _PREDICTION_DRIFT + " SELECT * FROM pd")
 def _(spark, sf):
-    out = drift.prediction_drift(*_prediction_sides(spark, sf))
+    history, current, keys = _sides(spark, sf)
+    out = drift.prediction_drift(*_predictions(history, current), keys)
     return out.withColumn("drifted_features", F.array_join("drifted_features", ",")).withColumn("p_value", F.round("p_value", 6))
 
 
 def _monitored(spark, sf):
-    reference, current, keys = _reference_and_current(spark, sf)
-    data = drift.data_drift(reference, current, keys)
-    return drift.monitor(keys, data, drift.prediction_drift(*_prediction_sides(spark, sf)))
+    history, current, keys = _sides(spark, sf)
+    data = drift.data_drift(history.filter("split = 'train'"), current, keys)
+    return drift.monitor(keys, data, drift.prediction_drift(*_predictions(history, current), keys))
 
 
 _MONITOR_SQL = _TWO_SETS + Q.column_drift_cte("rf", "cu", FEATURES) + _DATA_DRIFT + _PREDICTED + _PREDICTION_DRIFT + """,

@@ -22,10 +22,3 @@ def local_session(cpus: int | str = "*", app: str = "quantloom") -> SparkSession
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``; ``fallback`` only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder

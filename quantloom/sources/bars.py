@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ def _packed_order(high: Column, low: Column) -> Column:
     """
     digits = "decimal(20,0)"
     return (
-        high.cast(digits) * F.lit(10**19).cast(digits) + F.coalesce(low, F.lit(0)).cast(digits)
+        high.cast(digits) * F.lit(Decimal(10**19)).cast(digits) + F.coalesce(low, F.lit(0)).cast(digits)
     ).cast("decimal(38,0)")
 
 

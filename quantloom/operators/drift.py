@@ -134,7 +134,8 @@ def _drifted() -> Column:
     return F.when(F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS, by_rank).otherwise(by_distance)
 
 
-def _verdicts(statistics: DataFrame) -> DataFrame:
+def column_verdicts(statistics: DataFrame) -> DataFrame:
+    """``column_drift`` from a result of ``sample_statistics``."""
     small = F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS
     return (
         statistics.filter(_comparable())
@@ -164,7 +165,7 @@ def column_drift(
     of the reference's standard deviation.
     """
     cols = list(numeric_columns(reference, current) if cols is None else cols)
-    return _verdicts(sample_statistics(reference, current, cols, series))
+    return column_verdicts(sample_statistics(reference, current, cols, series))
 
 
 def data_drift(
@@ -181,7 +182,13 @@ def data_drift(
     Without ``keys`` every key of the reference is reported. Each table is read once.
     """
     cols = list(numeric_columns(reference, current) if cols is None else cols)
-    statistics = sample_statistics(reference, current, cols, series)
+    return key_verdicts(sample_statistics(reference, current, cols, series), keys, threshold)
+
+
+def key_verdicts(
+    statistics: DataFrame, keys: DataFrame | None = None, threshold: float = S.DRIFT_THRESHOLD
+) -> DataFrame:
+    """``data_drift`` from a result of ``sample_statistics``."""
     drifted = _drifted()
     feature = _comparable()
     rows = F.col("feature") == ROWS

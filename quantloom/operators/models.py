@@ -102,7 +102,7 @@ def train_all(
     mode: str = "auto",
     scaler: DataFrame | None = None,
     seq_len: int = SEQ_LEN,
-    parallelism: int = 2,
+    parallelism: int = 4,
     series: Series = DAILY,
 ) -> TrainResult:
     """Fit every model, save it under ``root`` and predict all splits.

@@ -14,6 +14,7 @@ from quantloom.operators.models import MAX_PER_KEY_FITS, POOLED, label_scale, lo
 from quantloom.operators.prep import apply_scaler, feature_columns
 from quantloom.schema import FEATURES, KEY, ORDER, SCORE_LOOKBACK_DAYS, SEQ_LEN
 from quantloom.sources.bars import lookback
+from quantloom.sources.stage import stage
 
 MIN_LOOKBACK, MAX_LOOKBACK = 60, 365  # fixed values
 
@@ -70,7 +71,8 @@ def predict_rows(
 ) -> DataFrame:
     """``ticker, date, model, yhat`` of the best model of each key.
 
-    The registry says which saved model serves which keys. One transform runs per saved model: a handful of pooled
+    ``scaled`` should be a stored table: assemblers filter on all features at once, and Catalyst multiplies such a filter
+    with every computed column below it. The registry says which saved model serves which keys. One transform runs per saved model: a handful of pooled
     models, or at most ``MAX_PER_KEY_FITS`` keys with own models for each kind.
     """
     paths = registry.select("best_model", "model_path").distinct().limit(3 * MAX_PER_KEY_FITS + 1).collect()
@@ -119,7 +121,7 @@ def score_latest(
     sequence model instead of using the true last rows. ``calendar_date`` dates the forecast one day ahead, not one
     weekday.
     """
-    scaled = scoring_rows(bars, scaler, asof, lookback_days, require_target=not newest_bar, series=series)
+    scaled = stage(scoring_rows(bars, scaler, asof, lookback_days, not newest_bar, series), "scoring")
     cols = feature_columns(scaled, FEATURES)
     newest = latest_features(scaled.select(KEY, ORDER, *cols))
     sequences = last_sequence(scaled, cols, tiled=tiled)

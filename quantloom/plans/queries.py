@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.functions.ewm import ewm_mean
-from quantloom.operators import drift, gates, metrics, prep, score, validate
+from quantloom.operators import drift, gates, metrics, models, prep, score, validate
 from quantloom.operators.features import compute_features
 from quantloom.operators.layout import DAILY, HOURLY, Series
 from quantloom.plans import oracles as Q
+from quantloom.plans import pipeline
 from quantloom.plans.oracles import DIGITS, r, rounded
 from quantloom.schema import FEATURES, KEY, ORDER, TARGETS
 from quantloom.sources import bars as B
-from quantloom.sources.stage import stage
+from quantloom.sources.stage import stage, stage_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -498,7 +500,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     # hourly bars have no proven row bound: quantiles from ranked counts in slices
-    split = prep.chrono_split(compute_features(event_bars(spark, sf), HOURLY), series=HOURLY)
+    split = stage(prep.chrono_split(compute_features(event_bars(spark, sf), HOURLY), series=HOURLY), "split")
     return show(prep.fit_robust_scaler(split, series=HOURLY), ["center", "scale"], {"center": 5, "scale": 5}, (KEY, "feature"))
 
 
@@ -957,3 +959,135 @@ SELECT ticker, split, first, last, coalesce(lag(last) OVER (PARTITION BY ticker
 )
 def _(spark, sf):
     return gates.check_no_leakage(_split(spark, sf))
+
+
+# --- stored tables --------------------------------------------------------------------------------------------------
+
+
+def _new_root(spark, name: str) -> str:
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    "write_read_bars",
+    f"""SELECT ticker, date, open, high, low, close, CASE WHEN date >= TIMESTAMP '2000-01-01' THEN volume * 2 ELSE volume END AS volume
+FROM ({Q.ORDER_BARS}) WHERE ticker IN ('1-URGENT', '5-LOW') AND date >= TIMESTAMP '1997-01-01' AND date < TIMESTAMP '2001-01-01'""",
+)
+def _(spark, sf):
+    # a second run delivers the later bars again with other volumes; writing it twice replaces it
+    bars = stage(order_bars(spark, sf), "bars")
+    path = _new_root(spark, "written")
+    later = B.date_range(bars, "2000-01-01").withColumn("volume", F.col("volume") * 2)
+    B.write_bars(bars, path, "2002-01-01")
+    B.write_bars(later.withColumn("close", F.lit(0.0)), path, "2002-01-02")
+    B.write_bars(later, path, "2002-01-02")
+    return B.read_bars(spark, path, ["1-URGENT", "5-LOW"], "1997-01-01", "2001-01-01")
+
+
+@query("write_read_features", f"WITH {Q.features_cte(Q.ORDER_BARS)} SELECT ticker, date, {rounded(FEATURES)} FROM f WHERE {Q.WARM}")
+def _(spark, sf):
+    path = _new_root(spark, "features")
+    B.write_features(compute_features(order_bars(spark, sf)), path)
+    return show(spark.read.parquet(path), FEATURES)
+
+
+@query(
+    "etl_split_report",
+    f"""WITH {Q.split_cte(Q.ORDER_BARS)} SELECT ticker, (count(*) FILTER (WHERE split = 'train'))::BIGINT AS train_rows,
+  (count(*) FILTER (WHERE split = 'val'))::BIGINT AS val_rows, (count(*) FILTER (WHERE split = 'test'))::BIGINT AS test_rows,
+  40::BIGINT AS feature_count FROM k GROUP BY ticker""",
+)
+def _(spark, sf):
+    return spark.read.parquet(f"{_trained(spark, sf)}/split_report")
+
+
+@query(
+    "etl_missing_outputs",
+    "SELECT 'NONE' AS ticker, unnest(['train', 'val', 'test', 'scaler', 'train_sequences']) AS output",
+)
+def _(spark, sf):
+    return spark.read.parquet(f"{_trained(spark, sf)}/missing")
+
+
+@query(
+    "validate_missing_column",
+    f"""SELECT ticker, false AS passed, 'Missing required columns: [''Volume'']' AS errors,
+  'DatetimeIndex is timezone-aware; expected tz-naive UTC' AS warnings, count(*)::BIGINT AS row_count FROM ({Q.ORDER_BARS}) GROUP BY ticker""",
+)
+def _(spark, sf):
+    bars = order_bars(spark, sf).drop("volume").withColumn(ORDER, F.col(ORDER).cast("timestamp"))
+    return _flat(validate.validate_bars(bars))
+
+
+@query(
+    "last_sequence_tiled",
+    f"""{_SCALED_SQL}, o AS (SELECT * FROM x2 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)
+SELECT ticker, date, 30::BIGINT AS steps, {r('close::FLOAT::DOUBLE', 3, 'close_first')}, {r('close::FLOAT::DOUBLE', 3, 'close_last')} FROM o""",
+)
+def _(spark, sf):
+    rows = score.last_sequence(_scaled(spark, sf), ["close", "volume"], tiled=True)
+    first, last = (F.element_at(F.element_at("X", i), 1).cast("double") for i in (1, -1))
+    return rows.select(
+        KEY, ORDER, F.size("X").cast("long").alias("steps"), F.round(first, 3).alias("close_first"), F.round(last, 3).alias("close_last")
+    )
+
+
+# --- models: no SQL says the same, so these check rows only ---------------------------------------------------------
+
+_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def _trained(spark, sf) -> str:
+    """Folder of one whole run over the order bars: stored bars to trained models, made once per session and table."""
+    run = (spark.sparkContext.applicationId, sf)
+    if run not in _ROOTS:
+        root = _new_root(spark, "run")
+        bars = order_bars(spark, sf)
+        keys = keys_of(bars).union(validate.requested_keys(bars, ["NONE"]))
+        pipeline.ingest(bars, keys, root, "2002-01-01")
+        report, missing = pipeline.prepare(spark, root, keys)
+        report.write.parquet(f"{root}/split_report")
+        missing.write.parquet(f"{root}/missing")
+        # fewer trees than the library's default settings: three fits in a minute on one machine
+        specs = [models.random_forest(numTrees=50), models.boosted_trees(maxIter=10), models.sequence_model()]
+        pipeline.train(spark, root, "run-1", specs=specs, mode="pooled")
+        _ROOTS[run] = root
+    return _ROOTS[run]
+
+
+@query("train_registry")
+def _(spark, sf):
+    return _flat_registry(spark.read.parquet(f"{_trained(spark, sf)}/registry")).drop("model_path")
+
+
+@query("train_run_log")
+def _(spark, sf):
+    return spark.read.parquet(f"{_trained(spark, sf)}/run_log")
+
+
+@query("train_per_key")
+def _(spark, sf):
+    root = _trained(spark, sf)
+    specs = [models.random_forest(numTrees=10, maxDepth=5)]
+    result = models.train_all(pipeline.read_splits(spark, root), f"{root}/per_key", specs=specs, mode="per_key")
+    return metrics.forecast_metrics(result.predictions)
+
+
+@query("score_latest")
+def _(spark, sf):
+    return pipeline.score_keys(spark, _trained(spark, sf))
+
+
+@query("score_latest_known_target")
+def _(spark, sf):
+    # the second newest bar, dated one calendar day ahead, sequence model on a tiled row
+    return pipeline.score_keys(
+        spark, _trained(spark, sf), ORDERS_ASOF, newest_bar=False, tiled=True, calendar_date=True
+    )
+
+
+@query("monitor_models")
+def _(spark, sf):
+    bars = order_bars(spark, sf)
+    keys = keys_of(bars).union(validate.requested_keys(bars, ["NONE"]))
+    return pipeline.monitor(spark, _trained(spark, sf), keys, ORDERS_ASOF, "2002-01-02")

@@ -147,14 +147,17 @@ def drop_empty_prices(bars: DataFrame) -> DataFrame:
 
 
 def clean_bars(df: DataFrame, ticker: Column | str, date: str, columns: dict[str, str] | None = None) -> DataFrame:
-    """Keep the bar columns under their standard names and add the key. ``columns`` maps standard to source names."""
-    names = columns or {c: c for c in BAR_VALUES}
-    present = [c for c in BAR_VALUES if names.get(c, c) in df.columns]
+    """Keep the bar columns under their standard names and add the key.
+
+    ``columns`` maps standard to source names; case does not matter. A column the source lacks is left out.
+    """
+    names = {c: (columns or {}).get(c, c).lower() for c in BAR_VALUES}
+    have = {c.lower() for c in df.columns}
     key = F.col(ticker) if isinstance(ticker, str) else ticker
     return df.select(
         key.cast("string").alias(KEY),
         F.col(date).alias(ORDER),
-        *[F.col(names.get(c, c)).cast("double").alias(c) for c in present],
+        *[F.col(names[c]).cast("double").alias(c) for c in BAR_VALUES if names[c] in have],
     )
 
 

@@ -17,7 +17,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 def stage_folder(spark: SparkSession) -> str:
     """The shared folder of the session; on a local master a fresh folder where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

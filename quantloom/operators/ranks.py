@@ -4,7 +4,8 @@ These are the shared steps of exact quantiles and of two-sample statistics. The
 combines on the map side. The running sum then needs the distinct values of a (key, feature) group in order. For keys
 with a proven row bound one window does that. Otherwise each group is cut into slices of neighbouring values, bounded by
 approximate quantiles; the slices are summed on their own, and the few slice totals are added as offsets. The slice
-bounds only steer the work: the counts are exact whatever they are.
+bounds only steer the work: the counts are exact whatever they are. This second form runs a job when it is called, as it
+stores the counts.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quantloom.sources.stage import stage
+
 SLICES = 64
 
 
@@ -51,10 +54,10 @@ def running_counts(
                 "least": F.min("value").over(whole),
             }
         )
-    merged = (
-        _with_slices(tall, key, slices)
-        .groupBy(*group, "_slice", "value")
-        .agg(*[F.sum(c).alias(c) for c in counts])
+    # two steps read the counts: a stage table spares them a second pass over the tall rows
+    merged = stage(
+        _with_slices(tall, key, slices).groupBy(*group, "_slice", "value").agg(*[F.sum(c).alias(c) for c in counts]),
+        "counts",
     )
     by_slice = Window.partitionBy(*group).orderBy("_slice")
     totals = merged.groupBy(*group, "_slice").agg(F.min("value").alias("_first"), *[F.sum(c).alias(c) for c in counts])

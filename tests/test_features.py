@@ -7,7 +7,7 @@ import pytest
 from helpers import pandas_features, random_walk, to_bars
 from quantloom.functions.ewm import ewm_mean
 from quantloom.operators.features import compute_features
-from quantloom.operators.layout import DAILY, HOURLY, Series
+from quantloom.operators.layout import DAILY, HOURLY, Series, lay_out
 from quantloom.schema import FEATURES, TARGETS
 
 
@@ -109,3 +109,14 @@ def test_segmented_ewm(spark):
     cut = dataclasses.replace(HOURLY, segment_rows=1000)
     got = sorted_frame(ewm_mean(to_bars(spark, frame), "close", "y", span=26, adjust=False, series=cut))
     np.testing.assert_allclose(got.y.astype(float).values, want.values, rtol=1e-11)
+
+
+def test_hot_key_is_spread_over_segments(spark):
+    # one key holds two thirds of all rows
+    frame = pd.concat([random_walk(6000, 1, "HOT", freq="min"), random_walk(3000, 2, "COLD", freq="min")])
+    cut = Series(bucket="minute", segment_rows=500)
+    layout = lay_out(to_bars(spark, frame), cut, before=50, after=1)
+    sizes = layout.df.groupBy(*layout.part).count().toPandas()
+    assert sizes["count"].max() <= 500 + 50 + 1 and len(sizes) == 18
+    assert layout.finish(layout.df).groupBy("ticker", "date").count().filter("count > 1").count() == 0
+    assert layout.finish(layout.df).count() == 9000

@@ -25,7 +25,9 @@ def whole(text: str) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    """Words of a text; only an empty text splits into an empty word, since the ends are trimmed."""
+    bare = F.btrim(text, F.lit(SPACE_CHARS))
+    return F.when(bare != "", F.split(bare, SPACE)).otherwise(F.array().cast("array<string>"))
 
 
 def word_count(text: Column) -> Column:

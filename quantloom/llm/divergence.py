@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence.
 
 A document is compared with references of its language: the shares of its character classes, and the shares of the
-language's most common words among its words. The measure is the Jensen-Shannon distance (base 2, 0 to 1). Short texts
+language's most common short words among its words. The measure is the Jensen-Shannon distance (base 2, 0 to 1). Short texts
 are noisy, so each comparison needs a minimum length. The references are sums over all documents of a language, so one
 odd document hardly moves them. All of it is DataFrame expressions: one pass makes the references, a second one judges
 each row by itself.
@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 from quantloom.llm.common import SPACE_CHARS, whole, words
 from quantloom.sources.stage import stage
 
-LOWERCASE, UPPERCASE, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-SYMBOLS = "#*$%&|<>"
-PUNCTUATION = ".,;:!?'\"()-"
+# counted character classes, as the inside of a pattern
+MARKS = {"upper": "A-Z", "digit": "0-9", "symbol": "#*$%&|<>", "punctuation": ".,;:!?'\"()-"}
 # one letter for each counted common word; what is beyond is "rest"
 CODES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-CLASSES = ("space", "upper", "digit", "symbol", "punctuation", "beyond_ascii", "lower")
+CLASSES = ("space", "upper", "digit", "symbol", "punctuation", "beyond", "lower")
 
 
 @dataclass(frozen=True)
@@ -30,26 +29,29 @@ class Limits:
     min_words: int = 20  # base rule
     repeat_percent: int = 30  # base rule
     n_common: int = 24
+    longest_common: int = 6  # common words are counted among words of at most so many characters
     char_guard: int = 200  # characters below which classes are not compared
     word_guard: int = 60  # words below which common words are not compared
-    char_distance: float = 0.25
-    word_distance: float = 0.55
+    char_distance: float = 0.34
+    word_distance: float = 0.42
 
 
-def _classes(text: Column) -> Column:
-    """Counts of character classes in the order of CLASSES, as array<double>."""
-    counted = ((SPACE_CHARS, " "), (UPPERCASE, "A"), (DIGITS, "0"), (SYMBOLS, "#"), (PUNCTUATION, "."))
-    source, target = "".join(c for c, _ in counted), "".join(t * len(c) for c, t in counted)
-    # lower-case letters have no counterpart and so are deleted; what is left is short
-    marks = F.translate(text, source + LOWERCASE, target)
-    n = [F.length(marks) - F.length(F.replace(marks, F.lit(t), F.lit(""))) for _, t in counted]
-    beyond = F.length(marks) - sum(n[1:], n[0])
-    parts = [*n, beyond, F.length(text) - F.length(marks)]
-    return F.transform(F.array(*parts), lambda x: x.cast("double"))
+def _with_classes(rows: DataFrame) -> DataFrame:
+    """Add n_chars, word_chars, n_symbols and ``classes``, the counts in the order of CLASSES, to rows with t and words.
 
-
-def _normal(word: Column) -> Column:
-    return F.lower(F.btrim(word, F.lit(PUNCTUATION)))
+    White space and lower case are cut out first, so that the other classes are counted on the little that is left.
+    """
+    rows = rows.withColumns({
+        "n_chars": F.length("t"), "marks": F.regexp_replace("t", r"[a-z\x20\x09-\x0D]+", ""),
+        "word_chars": F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w)).cast("long"),
+    })
+    count = {k: F.length("marks") - F.length(F.regexp_replace("marks", f"[{chars}]+", "")) for k, chars in MARKS.items()}
+    rows = rows.withColumns({f"n_{k}": c.cast("long") for k, c in count.items()})
+    spaces, known = F.col("n_chars") - F.col("word_chars"), sum((F.col(f"n_{k}") for k in MARKS), F.lit(0))
+    parts = {f"n_{k}": F.col(f"n_{k}") for k in MARKS}
+    parts |= {"n_space": spaces, "n_beyond": F.length("marks") - known, "n_lower": F.col("n_chars") - spaces - F.length("marks")}
+    classes = F.array(*[parts[f"n_{k}"].cast("double") for k in CLASSES])
+    return rows.withColumn("classes", classes).withColumnRenamed("n_symbol", "n_symbols").drop("marks", *[f"n_{k}" for k in MARKS if k != "symbol"])
 
 
 def _shares(counts: Column) -> Column:
@@ -72,41 +74,42 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
 
     ``common`` holds the most frequent words, ties in the order of the words; ``word_shares`` their shares and the rest's.
     """
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), whole(text).alias("t"))
-    sums = [F.sum(F.col("c")[i]) for i in range(len(CLASSES))]
-    chars = rows.select("lang", _classes(F.col("t")).alias("c")).groupBy("lang").agg(_shares(F.array(*sums)).alias("char_shares"))
-    counts = rows.select("lang", F.explode(words(F.col("t"))).alias("w")).select("lang", _normal(F.col("w")).alias("w"))
-    counts = stage(counts.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), whole(text).alias("t")).withColumn("words", words(F.col("t")))
+    sums = [F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]
+    chars = _with_classes(rows).groupBy("lang").agg(F.array(*sums).alias("sums"), F.sum(F.size("words")).cast("double").alias("total"))
+    chars = chars.select("lang", _shares(F.col("sums")).alias("char_shares"), "total")
+    short = F.filter("words", lambda w: F.length(w) <= limits.longest_common)
+    counts = rows.select("lang", F.explode(short).alias("w")).select("lang", F.lower("w").alias("w"))
+    counts = counts.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
     # the limit on the rank keeps a few words of each task before anything is dealt out
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    top = counts.where("w <> ''").withColumn("k", F.row_number().over(order)).where(F.col("k") <= limits.n_common)
+    top = counts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= limits.n_common)
     top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "w", "n"))).alias("top"))
-    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    common = total.join(top, total["lang"].eqNullSafe(top["lang"]), "left").select(total["lang"].alias("w_lang"), "total", "top")
-    found = F.transform(F.col("top.n"), lambda x: x.cast("double"))
-    rest = F.col("total") - F.aggregate(found, F.lit(0.0), lambda a, x: a + x)
-    out = chars.join(common, F.col("lang").eqNullSafe(F.col("w_lang")), "left")
-    empty = F.array().cast("array<string>")
-    return out.select(
-        F.col("lang").alias("r_lang"), "char_shares", F.coalesce("top.w", empty).alias("common"),
-        _shares(F.coalesce(F.concat(found, F.array(rest)), F.array(F.lit(0.0)))).alias("word_shares"),
-    )
+    top = top.withColumnRenamed("lang", "w_lang")
+    out = chars.join(top, F.col("lang").eqNullSafe(F.col("w_lang")), "left")
+    found = F.coalesce(F.transform(F.col("top.n"), lambda x: x.cast("double")), F.array().cast("array<double>"))
+    out = out.select("lang", "char_shares", "total", F.coalesce("top.w", F.array().cast("array<string>")).alias("common"), found.alias("found"))
+    rest = F.col("total") - F.aggregate("found", F.lit(0.0), lambda a, x: a + x)
+    return out.select(F.col("lang").alias("r_lang"), "char_shares", "common", _shares(F.concat("found", F.array(rest))).alias("word_shares"))
 
 
-def _repeated_words(hashes: Column) -> Column:
-    """Positions in windows of 8 whose hash occurs twice: the size of their union, from sorted (hash, position) pairs.
+def _with_repeats(rows: DataFrame) -> DataFrame:
+    """Add n_repeat_words to rows with w8: the size of the union of the windows of 8 whose hash occurs twice.
 
-    ``hashes`` holds one hash for each window, in order.
+    Only texts that repeat a window get their hashes sorted with their positions. Each step is a column of its own, so
+    that it is worked out once.
     """
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    n = F.size(hashes)
-    after = F.zip_with(pairs, F.slice(pairs, 2, n), lambda a, b: a["h"].eqNullSafe(b["h"]))
+    empty = F.array().cast("array<struct<h:bigint,i:int>>")
+    pairs = F.sort_array(F.transform("w8", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = rows.withColumn("pairs", F.when(F.size(F.array_distinct("w8")) < F.size("w8"), pairs).otherwise(empty)).drop("w8")
     # a pair is repeated if it equals its neighbour on either side
-    marked = F.zip_with(pairs, F.zip_with(after, F.concat(F.array(F.lit(False)), after), lambda x, y: x | y), lambda p, m: F.when(m, p["i"]))
-    at = F.array_sort(F.array_compact(marked))
-    gaps = F.zip_with(at, F.slice(at, 2, n), lambda a, b: F.least(F.lit(8), F.coalesce(b - a, F.lit(8))))
-    covered = F.aggregate(gaps, F.lit(0), lambda a, x: a + x)
-    return F.when(F.size(F.array_distinct(hashes)) == n, F.lit(0)).otherwise(covered)
+    follows = F.zip_with("pairs", F.slice("pairs", F.lit(2), F.size("pairs")), lambda a, b: a["h"].eqNullSafe(b["h"]))
+    rows = rows.withColumn("same", follows)
+    either = F.zip_with("same", F.concat(F.array(F.lit(False)), "same"), lambda x, y: F.coalesce(x, F.lit(False)) | y)
+    marked = F.zip_with("pairs", F.slice(either, F.lit(1), F.size("pairs")), lambda p, m: F.when(m, p["i"]))
+    rows = rows.withColumn("places", F.sort_array(F.array_compact(marked))).drop("pairs", "same")
+    gaps = F.zip_with("places", F.slice("places", F.lit(2), F.size("places")), lambda a, b: F.least(F.lit(8), F.coalesce(b - a, F.lit(8))))
+    return rows.withColumn("n_repeat_words", F.aggregate(gaps, F.lit(0), lambda a, x: a + x).cast("long")).drop("places")
 
 
 def _with_windows(rows: DataFrame) -> DataFrame:
@@ -131,22 +134,17 @@ def judged(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), whole(text).alias("t"), F.col(lang).cast("string").alias("d_lang"))
     rows = rows.join(small, F.col("d_lang").eqNullSafe(F.col("r_lang")), "left").withColumn("words", words(F.col("t")))
     lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
-    code = F.transform("words", lambda w: F.substring(F.lit("." + CODES), F.array_position("common", _normal(w)).cast("int") + 1, F.lit(1)))
-    rows = _with_windows(rows.select(
-        "row", "words", "char_shares", "word_shares", _classes(F.col("t")).alias("classes"), F.length("t").alias("n_chars"),
-        F.array_join(code, "").alias("codes"), (F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
-    ))
-    n_words = F.size("words").cast("long")
-    common = [F.length("codes") - F.length(F.replace("codes", F.lit(c), F.lit(""))) for c in CODES[: limits.n_common]]
-    counted = F.transform(F.array(*common), lambda x: x.cast("double"))
-    counted = F.slice(counted, F.lit(1), F.greatest(F.lit(0), F.size("word_shares") - 1))
-    rest = F.length("codes") - F.aggregate(counted, F.lit(0.0), lambda a, x: a + x)
-    rows = rows.select(
-        "row", n_words.alias("n_words"), F.aggregate(F.transform("words", F.length), F.lit(0), lambda a, x: a + x).cast("long").alias("word_chars"),
-        F.col("classes")[CLASSES.index("symbol")].cast("long").alias("n_symbols"), F.col("n_dup_lines").cast("long").alias("n_dup_lines"),
-        _repeated_words(F.col("w8")).cast("long").alias("n_repeat_words"), "n_chars", "classes", "char_shares", "word_shares",
-        F.concat(counted, F.array(rest)).alias("counted"),
-    )
+    code = F.transform("words", lambda w: F.substring(F.lit("." + CODES), F.array_position("common", F.lower(w)).cast("int") + 1, F.lit(1)))
+    rows = _with_classes(rows.withColumn("lines", lines)).withColumns({
+        "n_words": F.size("words").cast("long"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+        "codes": F.array_join(code, ""),
+    }).drop("t", "lines")
+    rows = _with_repeats(_with_windows(rows).drop("words"))
+    common = [(F.length("codes") - F.length(F.replace("codes", F.lit(c), F.lit("")))).cast("double") for c in CODES[: limits.n_common]]
+    counted = F.slice(F.array(*common), F.lit(1), F.greatest(F.lit(0), F.size("word_shares") - 1))
+    rows = rows.withColumn("counted", counted)
+    rest = F.length("codes") - F.aggregate("counted", F.lit(0.0), lambda a, x: a + x)
+    rows = rows.withColumn("counted", F.concat("counted", F.array(rest)))
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
     char_js = F.when((F.col("n_chars") >= limits.char_guard) & F.col("char_shares").isNotNull(), js_distance(_shares(F.col("classes")), F.col("char_shares")))
     word_js = F.when((F.col("n_words") >= limits.word_guard) & F.col("word_shares").isNotNull(), js_distance(_shares(F.col("counted")), F.col("word_shares")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from quantloom.llm.divergence import CLASSES, DIGITS, LOWERCASE, PUNCTUATION, SYMBOLS, UPPERCASE, Limits
+from quantloom.llm.divergence import CLASSES, MARKS, Limits
+from quantloom.llm.url_rules import LOWER, UPPER
 
 WORDS = r"regexp_extract_all({t}, '[^\x20\x09-\x0D]+')"
 
@@ -24,16 +25,14 @@ SELECT u.conv_id, len(u.turns)::BIGINT AS n_turns, u.copies, u.rendered FROM u A
 
 NEAR = f"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, {WORDS.format(t=f"translate(coalesce(text, ''), '{UPPERCASE}', '{LOWERCASE}')")} AS w FROM documents),
+  SELECT doc_id, {WORDS.format(t=f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')")} AS w FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
 k AS (SELECT doc_id, hash(g) AS g FROM s),
-e AS (
-  SELECT a.doc_id AS u, b.doc_id AS v FROM k a JOIN k b ON a.g = b.g AND a.doc_id < b.doc_id
-  GROUP BY 1, 2
-  HAVING 100 * count(*) >= 75 * ((SELECT n FROM n WHERE doc_id = u) + (SELECT n FROM n WHERE doc_id = v) - count(*))),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM k a JOIN k b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT u, v FROM c JOIN n nu ON nu.doc_id = u JOIN n nv ON nv.doc_id = v WHERE 100 * c >= 75 * (nu.n + nv.n - c)),
 sym AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e),
 reach AS (SELECT u, v FROM sym UNION SELECT r.u, b.v FROM reach r JOIN sym b ON r.v = b.u),
 m AS (SELECT u, least(u, min(v)) AS c FROM reach GROUP BY u)
@@ -42,22 +41,16 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.u = w.doc_id
 """
 
 
-def _quoted(chars: str) -> str:
-    return chars.replace("'", "''")
-
-
 def _count(chars: str) -> str:
-    return f"(length(t) - length(translate(t, '{_quoted(chars)}', '')))"
+    inside = chars.replace("'", "''")
+    return f"(length(t) - length(regexp_replace(t, '[{inside}]', '', 'g')))"
 
 
 def _quality(limits: Limits = Limits()) -> str:
     spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-    counts = {
-        "space": f"(length(t) - length(translate(t, {spaces}, '')))",
-        "upper": _count(UPPERCASE), "digit": _count(DIGITS), "symbol": _count(SYMBOLS), "punctuation": _count(PUNCTUATION), "lower": _count(LOWERCASE),
-    }
+    counts = {"space": f"(length(t) - length(translate(t, {spaces}, '')))", "lower": _count("a-z")} | {k: _count(c) for k, c in MARKS.items()}
     known = " - ".join(counts.values())
-    counts["beyond_ascii"] = f"(length(t) - {known})"
+    counts["beyond"] = f"(length(t) - {known})"
     classes = ", ".join(f"{counts[c]}::DOUBLE" for c in CLASSES)
     js = """sqrt(greatest(0, list_sum(list_transform(range(1, len({p}) + 1), lambda i:
       (CASE WHEN {p}[i] > 0 THEN {p}[i] * log2(2 * {p}[i] / ({p}[i] + {q}[i])) ELSE 0 END)
@@ -68,20 +61,20 @@ WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 b AS (SELECT doc_id, lang, t, {WORDS.format(t="t")} AS w, [{classes}] AS cls,
              list_filter(string_split(t, chr(10)), lambda x: length(trim(x, {spaces})) > 0) AS lines FROM d),
 wl AS (SELECT doc_id, lang, unnest(w) AS w0 FROM b),
-wn AS (SELECT doc_id, lang, lower(trim(w0, '{_quoted(PUNCTUATION)}')) AS w FROM wl),
+wn AS (SELECT doc_id, lang, lower(w0) AS w FROM wl WHERE length(w0) <= {limits.longest_common}),
 wc AS (SELECT lang, w, count(*) AS n FROM wn GROUP BY 1, 2),
-top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k FROM wc WHERE w <> '') WHERE k <= {limits.n_common}),
+top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k FROM wc) WHERE k <= {limits.n_common}),
 topl AS (SELECT lang, list(w ORDER BY k) AS common, list(n::DOUBLE ORDER BY k) AS cn FROM top GROUP BY lang),
-tot AS (SELECT lang, sum(n)::DOUBLE AS total FROM wc GROUP BY lang),
+tot AS (SELECT lang, sum(len(w))::DOUBLE AS total FROM b GROUP BY lang),
 ch AS (SELECT lang, list_transform(range(1, {len(CLASSES) + 1}), lambda i: 0) AS z, [{", ".join(f"sum(cls[{i + 1}])" for i in range(len(CLASSES)))}] AS csum FROM b GROUP BY lang),
-ref AS (SELECT ch.lang AS rl, {share.format(c="csum")} AS cq, common, list_append(cn, total - list_sum(cn)) AS wsum
+ref AS (SELECT ch.lang AS rl, {share.format(c="csum")} AS cq, common, list_append(coalesce(cn, []), total - coalesce(list_sum(cn), 0)) AS wsum
         FROM ch LEFT JOIN tot ON ch.lang IS NOT DISTINCT FROM tot.lang LEFT JOIN topl ON ch.lang IS NOT DISTINCT FROM topl.lang),
 hit AS (SELECT doc_id, k, count(*)::DOUBLE AS n FROM wn JOIN top ON wn.lang IS NOT DISTINCT FROM top.lang AND wn.w = top.w GROUP BY 1, 2),
 hl AS (SELECT doc_id, map_from_entries(list({{'k': k, 'v': n}})) AS h FROM hit GROUP BY 1),
 g AS (SELECT doc_id, i, hash(w[i:i + 7]) AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM b WHERE len(w) >= 8)),
 rep AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, h) > 1),
 cov AS (SELECT doc_id, count(DISTINCT i + j)::BIGINT AS n FROM rep, range(0, 8) r(j) GROUP BY doc_id),
-x AS (SELECT b.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, {_count(SYMBOLS)}::BIGINT AS n_symbols,
+x AS (SELECT b.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, {_count(MARKS["symbol"])}::BIGINT AS n_symbols,
              (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
              length(t) AS n_chars, {share.format(c="cls")} AS cp, cq,
              list_transform(range(1, len(common) + 1), lambda i: coalesce(element_at(h, i::BIGINT)[1], 0)) AS cnt, len(w) AS nw, wsum

@@ -1,12 +1,12 @@
 """Near-duplicates by MinHash with odd sketches.
 
 A document is the set of its distinct 5-word shingles. MinHash samples of the set are cut into bands, whose equal keys
-make candidates; the same samples are folded into an odd sketch, a bitmap in which each sample flips one bit. The
+makes candidates; the same samples are folded into an odd sketch, a bitmap in which each sample flips one bit. The
 exclusive-or of two sketches is the sketch of the samples in which they differ, so its population count estimates the
 similarity, best where it is high. Candidates that the estimate cannot rule out are confirmed on the full sets.
 
 Buckets may be very large, so pairs within a bucket are not written out. Equal sets are one class from the start. In each
-bucket every class meets the bucket's smallest one, its hub. Classes linked with their hub are within a quarter of it, so
+bucket every class meets the bucket's hub, the one that meets most others over all its buckets. Classes linked with their hub are within a quarter of it, so
 a class whose distance to the hub is beyond a half can be linked with none of those (the Jaccard distance is a metric).
 What that leaves open, among classes not linked with their hub and between the middling ones and the linked ones, is
 compared by sketches inside the join, and only for classes that are not yet in the same component.
@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.llm.common import components, filter_rows, key_filter, may_be_in, whole
@@ -29,15 +29,18 @@ from quantloom.sources.stage import stage
 
 @dataclass(frozen=True)
 class Plan:
-    """A pair at similarity 0.75 is missed by all 51 bands of 5 samples once in a million times; the estimate is off by
-    0.037 there (one standard deviation), so ``margin`` is more than 5 of them."""
+    """A pair at similarity 0.75 is missed by all 51 bands of 5 samples once in a million times. The estimate from 2048
+    bins in 4096 bits is off by 0.014 there (one standard deviation), so ``margin`` is more than 4 of them. ``heads``
+    steers work alone."""
 
     shingle: int = 5
     percent: int = 75
     bands: int = 51
     rows: int = 5
-    bits: int = 1024
-    margin: float = 0.2
+    bins: int = 2048
+    bits: int = 4096
+    margin: float = 0.06
+    heads: int = 6
 
     @property
     def samples(self) -> int:
@@ -46,7 +49,7 @@ class Plan:
 
 CACHE_WORDS = 1 << 19
 BLOCK = 1024
-FEATURES = "n long, digest binary, bands array<long>, sketch array<long>"
+FEATURES = "n long, digest binary, bands array<long>, filled int, sketch array<long>"
 
 
 class _WordHashes(dict):
@@ -106,16 +109,21 @@ def band_keys(samples: np.ndarray, plan: Plan) -> np.ndarray:
     return keys
 
 
-def odd_sketch(samples: np.ndarray, plan: Plan) -> np.ndarray:
-    """Parity bitmap of the numbered samples, as 64-bit words."""
+def odd_sketch(shingles: np.ndarray, plan: Plan) -> tuple[int, np.ndarray]:
+    """Number of bins in use, and the parity bitmap of their least hashes as 64-bit words.
+
+    The first bits of a hash name its bin, so the least hash of a bin is the first one in the sorted set.
+    """
+    bins = shingles >> np.uint64(64 - plan.bins.bit_length() + 1)
+    least = shingles[np.concatenate([[True], bins[1:] != bins[:-1]])]
     with np.errstate(over="ignore"):
-        at = _mix((np.arange(len(samples), dtype=np.uint64) << np.uint64(32)) + samples.astype(np.uint64)) % np.uint64(plan.bits)
+        at = _mix(least + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(plan.bits)
     odd = np.bincount(at.astype(np.int64), minlength=plan.bits).astype(np.uint8) & 1
-    return np.packbits(odd).view(np.uint64)
+    return len(least), np.packbits(odd).view(np.uint64)
 
 
 def features(docs: DataFrame, plan: Plan, doc_id: str, text: str) -> DataFrame:
-    """Stored rows (id, n, digest, bands, sketch), one for each input row; empty texts have n = 0 and no bands."""
+    """Stored rows (id, n, digest, bands, filled, sketch), one for each input row; empty texts have n = 0 and no bands."""
 
     def describe(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         a, b = _constants(plan)
@@ -124,11 +132,11 @@ def features(docs: DataFrame, plan: Plan, doc_id: str, text: str) -> DataFrame:
             for t in part["t"]:
                 s = shingle_set(t, plan.shingle)
                 if not len(s):
-                    out.append((0, b"", [], []))
+                    out.append((0, b"", [], 0, []))
                     continue
-                m = min_hashes(s, a, b)
-                out.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), band_keys(m, plan).view(np.int64), odd_sketch(m, plan).view(np.int64)))
-            frame = pd.DataFrame(out, columns=["n", "digest", "bands", "sketch"])
+                keys, (filled, sketch) = band_keys(min_hashes(s, a, b), plan), odd_sketch(s, plan)
+                out.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), keys.view(np.int64), filled, sketch.view(np.int64)))
+            frame = pd.DataFrame(out, columns=["n", "digest", "bands", "filled", "sketch"])
             frame.insert(0, "id", part["id"].to_numpy())
             yield frame
 
@@ -138,10 +146,18 @@ def features(docs: DataFrame, plan: Plan, doc_id: str, text: str) -> DataFrame:
 
 
 def estimate(one: Column, other: Column, plan: Plan) -> Column:
-    """Similarity estimated from two odd sketches; 0 where they differ in half of the bits."""
-    odd = F.aggregate(F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    share = F.least(2.0 * odd / plan.bits, F.lit(0.9999))
-    return F.greatest(F.lit(0.0), 1 + F.log(1 - share) * plan.bits / (4.0 * plan.samples))
+    """Similarity estimated from two structs of n, filled and sketch.
+
+    The flipped bits give the number of differing samples, those the number of equal bins; a share of the bins that either
+    set uses, whose number follows from the sizes and the similarity itself, hence the three rounds.
+    """
+    odd = F.aggregate(F.zip_with(one["sketch"], other["sketch"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    differ = F.log(1 - F.least(2.0 * odd / plan.bits, F.lit(0.9999))) * (-plan.bits / 2)
+    equal, total = (one["filled"] + other["filled"] - differ) / 2, one["n"] + other["n"]
+    used = lambda share: plan.bins * (1 - F.exp(-total / (plan.bins * (1 + share))))
+    # ``equal`` stays one expression: the rounds run inside a fold over a constant array
+    rounds = F.aggregate(F.array(F.lit(0), F.lit(0), F.lit(0)), F.struct(F.lit(plan.percent / 100).alias("j"), equal.alias("e")), lambda s, _: F.struct(F.least(F.lit(1.0), F.greatest(F.lit(0.0), s["e"] / used(s["j"]))).alias("j"), s["e"].alias("e")))
+    return rounds["j"]
 
 
 def _sizes_fit(n: Column, m: Column, plan: Plan) -> Column:
@@ -179,6 +195,31 @@ def confirm(docs: DataFrame, pairs: DataFrame, plan: Plan, doc_id: str, text: st
     return both.mapInPandas(linked, f"u {kind}, v {kind}")
 
 
+def _edges(joined: DataFrame) -> DataFrame:
+    return joined.select(F.col("component").alias("u"), F.col("id").alias("v"))
+
+
+def _open_pairs(rest: DataFrame, heads: DataFrame, joined: DataFrame, plan: Plan, near: float, once: bool) -> DataFrame:
+    """Pairs (u, v) of a bucket's members, one of them in ``heads``, that are in different components and that neither
+    the hub nor the sizes nor the sketches rule out. Both are looked at inside the join, with ``once`` only in the first bucket
+    that the two share, so a pair is compared once and written only if it is to be confirmed."""
+    part = joined.select(F.col("id").alias("j_id"), "component")
+
+    def located(rows: DataFrame, name: str) -> DataFrame:
+        out = rows.join(part, F.col("id") == F.col("j_id"), "left").select("band", "id", "state", "d", "earlier", F.coalesce("component", "id").alias("component"))
+        return stage(out, f"sketch-{name}")
+
+    left, right = located(rest, "left"), located(heads, "right")
+    other = right.select("band", *[F.col(c).alias(f"o_{c}") for c in ("id", "state", "d", "earlier", "component")])
+    open_pair = (
+        (F.col("component") != F.col("o_component")) & ~((F.col("state") == 0) & (F.col("o_state") == 0))
+        & ~((F.col("state") + F.col("o_state") == 2) & (F.col("state") != 1)) & (~F.arrays_overlap("earlier", "o_earlier") if once else F.lit(True))
+        & _sizes_fit(F.col("d.n"), F.col("o_d.n"), plan) & (estimate(F.col("d"), F.col("o_d"), plan) >= near)
+    )
+    pairs = left.join(other, "band").where(open_pair)
+    return pairs.select(F.least("id", "o_id").alias("u"), F.greatest("id", "o_id").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", plan: Plan = Plan()) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one for each input row.
 
@@ -196,44 +237,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     shared = classes.where("rep <> last").select(F.col("digest").alias("c_digest"), F.col("rep").alias("c_rep"))
     reps = classes.select(F.col("digest").alias("r_digest"), F.col("rep").alias("r_rep"))
     own = made.join(reps, (F.col("digest") == F.col("r_digest")) & (F.col("id") == F.col("r_rep")), "left_semi")
-    own = stage(own.dropDuplicates(["id"]).select("id", "n", "bands", "sketch"), "sketch-own")
+    own = stage(own.dropDuplicates(["id"]).select("id", "n", "bands", "filled", "sketch"), "sketch-own")
     banded = own.select("id", F.explode("bands").alias("band"))
-    buckets = banded.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
-    buckets = stage(buckets.select("band", "hub"), "sketch-buckets")
-    inside = stage(banded.join(buckets, "band"), "sketch-inside")
-    slim = own.select("id", "n", "sketch")
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    inside = stage(banded.join(stage(sizes, "sketch-sizes"), "band"), "sketch-inside")
+    # the hub of a bucket is the member that meets most others over all its buckets: the middle of a group of copies
+    weight = stage(inside.groupBy("id").agg(F.sum("m").alias("w")).select(F.col("id").alias("w_id"), "w"), "sketch-weights")
+    weighed = stage(inside.join(weight, F.col("id") == F.col("w_id")).select("band", "id", "w"), "sketch-weighed")
+    hubs = weighed.groupBy("band").agg(F.max_by("id", F.struct("w", "id")).alias("hub"))
+    inside = stage(weighed.join(stage(hubs, "sketch-hubs"), "band").select("band", "id", "hub"), "sketch-inside")
+    slim = own.select("id", F.struct("n", "filled", "sketch").alias("d"))
 
     def described(pairs: DataFrame) -> DataFrame:
-        left = slim.select(F.col("id").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
-        right = slim.select(F.col("id").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
-        out = pairs.join(left, "u").join(right, "v")
-        return out.select("u", "v", _sizes_fit(F.col("n_u"), F.col("n_v"), plan).alias("fit"), estimate(F.col("s_u"), F.col("s_v"), plan).alias("est"))
+        out = pairs.join(slim.toDF("u", "d_u"), "u").join(slim.toDF("v", "d_v"), "v")
+        return out.select("u", "v", _sizes_fit(F.col("d_u.n"), F.col("d_v.n"), plan).alias("fit"), estimate(F.col("d_u"), F.col("d_v"), plan).alias("est"))
 
     near, far = plan.percent / 100 - plan.margin, 2 * plan.percent / 100 - 1 - plan.margin
     met = stage(described(inside.where("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct()), "sketch-met")
-    candidates = stage(met.where((F.col("est") >= near) & F.col("fit")).select("u", "v"), "sketch-candidates")
-    first = stage(confirm(docs, candidates, plan, doc_id, text), "sketch-linked")
-    joined = stage(components(first), "sketch-joined")
+    first = stage(confirm(docs, met.where((F.col("est") >= near) & F.col("fit")).select("u", "v"), plan, doc_id, text), "sketch-linked")
     # what the hubs leave open: 0 linked with the hub or the hub itself, 1 middling, 2 far
     states = met.join(first.withColumn("linked", F.lit(True)), ["u", "v"], "left").select(
         F.col("u").alias("hub"), F.col("v").alias("id"), F.when(F.col("linked"), 0).when(F.col("est") >= far, 1).otherwise(2).alias("state")
     )
-    placed = inside.join(states, ["hub", "id"], "left").withColumn("state", F.coalesce("state", F.lit(0)))
+    placed = inside.join(states, ["hub", "id"], "left").select("band", "id", F.coalesce("state", F.lit(0)).alias("state"))
+    placed = stage(placed, "sketch-placed")
     open_bands = placed.groupBy("band").agg(F.max("state").alias("worst"), F.max((F.col("state") == 1).cast("int")).alias("middling"), F.count(F.lit(1)).alias("m"))
     open_bands = stage(open_bands.where("worst > 0 and m > 2").select(F.col("band").alias("o_band"), "middling"), "sketch-open")
     rest = placed.join(open_bands, F.col("band") == F.col("o_band")).where("state > 0 or middling = 1")
-    rest = rest.join(slim, "id").join(joined.withColumnRenamed("id", "j_id"), F.col("id") == F.col("j_id"), "left")
-    rest = stage(rest.select("band", "id", "state", "n", "sketch", F.coalesce("component", "id").alias("component")), "sketch-rest")
-    l, r = rest.alias("l"), rest.alias("r")
-    open_pair = (
-        (F.col("l.band") == F.col("r.band")) & (F.col("l.component") != F.col("r.component")) & (F.col("l.state") > 0)
-        & (((F.col("r.state") == 0) & (F.col("l.state") == 1)) | ((F.col("r.state") > 0) & (F.col("l.id") < F.col("r.id"))))
-        & _sizes_fit(F.col("l.n"), F.col("r.n"), plan) & (estimate(F.col("l.sketch"), F.col("r.sketch"), plan) >= near)
-    )
-    more = l.join(r, open_pair).select(F.least("l.id", "r.id").alias("u"), F.greatest("l.id", "r.id").alias("v")).distinct()
-    more = stage(more.join(candidates, ["u", "v"], "left_anti"), "sketch-more")
-    second = confirm(docs, more, plan, doc_id, text)
-    linked = stage(components(joined.select(F.col("component").alias("u"), F.col("id").alias("v")).union(second)), "sketch-components")
+    rest = rest.join(own.select("id", F.struct("n", "filled", "sketch").alias("d"), "bands"), "id")
+    earlier = F.slice("bands", F.lit(1), F.array_position("bands", F.col("band")).cast("int") - 1)
+    rest = stage(rest.select("band", "id", "state", "d", earlier.alias("earlier")), "sketch-rest")
+    tested = met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    joined = stage(components(first), "sketch-joined")
+    # a few members of each bucket meet all others first: most of what can be joined is then joined
+    order = Window.partitionBy("band").orderBy(F.xxhash64("id", "band"))
+    heads = rest.withColumn("k", F.row_number().over(order)).where(F.col("k") <= plan.heads).drop("k")
+    some = stage(_open_pairs(rest, stage(heads, "sketch-heads"), joined, plan, near, once=False).join(tested, ["u", "v"], "left_anti"), "sketch-some")
+    second = stage(confirm(docs, some, plan, doc_id, text), "sketch-linked")
+    joined = stage(components(_edges(joined).union(second)), "sketch-joined")
+    last = _open_pairs(rest, rest, joined, plan, near, once=True).join(tested.union(some), ["u", "v"], "left_anti")
+    third = confirm(docs, stage(last, "sketch-last"), plan, doc_id, text)
+    linked = stage(components(_edges(joined).union(third)), "sketch-components")
     linked = linked.select(F.col("id").alias("l_id"), "component")
     rows = each.join(shared, F.col("digest") == F.col("c_digest"), "left").select("id", "n", "rows", F.coalesce("c_rep", "id").alias("rep"))
     rows = rows.join(linked, F.col("rep") == F.col("l_id"), "left").select("id", "n", F.coalesce("component", "rep").alias("component"), "rows")

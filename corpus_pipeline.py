@@ -40,7 +40,7 @@ def _step(f: Step) -> Step:
 @_step
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that meet the base rules and resemble their language; the others go."""
-    return divergence.judged(docs, divergence.fit_references(docs)).where("kept").select("row.*")
+    return divergence.keep_good(docs, divergence.fit_references(docs))
 
 
 @_step

@@ -159,3 +159,9 @@ def judged(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str
 def fit_references(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> DataFrame:
     """``references``, stored: the table of references of a corpus."""
     return stage(references(docs, text, lang, limits), "language-references")
+
+
+def keep_good(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str = "lang", limits: Limits = Limits()) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` keeps, columns as they are."""
+    # stored before the filter: over the chain of columns the optimizer would work out constraints for minutes
+    return stage(judged(docs, reference, text, lang, limits).select("row", "kept"), "quality").where("kept").select("row.*")

@@ -38,8 +38,9 @@ def forecast_metrics(
 
 
 def model_rank(order: Sequence[str] = MODELS) -> Column:
-    """Place of a model in the tie-break order."""
-    return F.coalesce(F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model")).cast("int"), F.lit(0))
+    """Place of a model in the tie-break order; a model that is not listed comes after the listed ones."""
+    place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model")).cast("int")
+    return F.when(place > 0, place).otherwise(len(order) + 1)
 
 
 def select_best(metrics: DataFrame, order: Sequence[str] = MODELS) -> DataFrame:

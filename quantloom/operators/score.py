@@ -40,10 +40,16 @@ def scoring_rows(
     require_target: bool = False,
     series: Series = DAILY,
 ) -> DataFrame:
-    """Features of the look-back period, scaled with the stored scaler."""
+    """Features of the look-back period, scaled with the stored scaler.
+
+    Without ``asof`` the period ends with the newest bar, which one aggregate finds.
+    """
     if not MIN_LOOKBACK <= lookback_days <= MAX_LOOKBACK:
         raise ValueError(f"lookback_days must be {MIN_LOOKBACK} to {MAX_LOOKBACK}")
-    recent = lookback(bars, lookback_days, asof) if asof else bars
+    if asof is None:
+        newest = bars.agg(F.date_add(F.max(ORDER).cast("date"), 1).cast("string")).first()[0]
+        asof = newest or "1970-01-01"
+    recent = lookback(bars, lookback_days, asof)
     return apply_scaler(compute_features(recent, series, require_target=require_target), scaler)
 
 

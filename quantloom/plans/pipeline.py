@@ -19,9 +19,14 @@ from quantloom.sources import bars as B
 from quantloom.sources.stage import stage
 
 
-def ingest(bars: DataFrame, keys: DataFrame, root: str, run_date: str) -> tuple[DataFrame, DataFrame]:
-    """Validate a delivery, store the keys that pass, and return the report and the summary. Storing no key fails."""
-    delivery = stage(bars, "delivery")
+def ingest(bars: DataFrame, keys: DataFrame, root: str, run_date: str, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """Clean and validate a delivery, store the keys that pass, and return the report and the summary.
+
+    Rows without any price go. Where the delivery numbers its rows in column ``seq``, the first of the rows of one key and
+    date stays. Storing no key fails.
+    """
+    cleaned = B.drop_empty_prices(bars)
+    delivery = stage(B.dedup_first(cleaned, seq) if seq in bars.columns else cleaned, "delivery")
     report = stage(validate.validate_bars(delivery, keys), "report")
     good, _bad = validate.route_valid(delivery, report)
     summary = validate.ingest_summary(report)
@@ -45,14 +50,14 @@ def prepare(
     """
     bars = B.read_bars(spark, f"{root}/bars")
     B.write_features(compute_features(bars, series), f"{root}/features")
-    features = spark.read.parquet(f"{root}/features")
+    features = B.read_stored(spark, f"{root}/features")
     split = prep.chrono_split(features, series=series)
     B.write_scaler(prep.fit_robust_scaler(split, series=series), f"{root}/scaler")
-    scaler = spark.read.parquet(f"{root}/scaler")
+    scaler = B.read_stored(spark, f"{root}/scaler")
     B.write_splits(prep.apply_scaler(split, scaler), f"{root}/splits")
     scaled = read_splits(spark, root)
     B.write_sequences(prep.make_sequences(scaled, sequence_features, seq_len, series=series), f"{root}/sequences")
-    sequences = spark.read.parquet(f"{root}/sequences")
+    sequences = B.read_stored(spark, f"{root}/sequences")
     produced = (
         scaled.select(KEY, F.col("split").alias("output"))
         .union(scaler.select(KEY, F.lit("scaler")))
@@ -63,8 +68,16 @@ def prepare(
 
 
 def read_splits(spark: SparkSession, root: str) -> DataFrame:
-    """The scaled rows; directory columns come back as text, as keys are."""
-    return spark.read.parquet(f"{root}/splits").withColumn(KEY, F.col(KEY).cast("string"))
+    """The scaled rows, keys spelled as they were stored."""
+    return B.read_stored(spark, f"{root}/splits")
+
+
+def _merged(spark: SparkSession, fresh: DataFrame, path: str) -> DataFrame:
+    """The registry with the rows of ``fresh`` in place of older ones of the same keys; other keys stay."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return fresh
+    return fresh.unionByName(B.read_stored(spark, path).join(fresh.select(KEY), KEY, "left_anti").select(*fresh.columns))
 
 
 def train(
@@ -80,16 +93,18 @@ def train(
     """Fit all models, choose the best per key, store registry and run log. Returns the registry and failed fits."""
     result = models.train_all(
         read_splits(spark, root),
-        f"{root}/models",
+        f"{root}/models/{run_id}",
         keys,
         specs,
         mode,
-        scaler=spark.read.parquet(f"{root}/scaler"),
+        scaler=B.read_stored(spark, f"{root}/scaler"),
         seq_len=seq_len,
         series=series,
     )
     scored = stage(metrics.forecast_metrics(result.predictions), "metrics")
-    metrics.build_registry(scored, result.models, run_id).write.mode("overwrite").parquet(f"{root}/registry")
+    # stored before the registry is replaced, because it is read from there
+    merged = stage(_merged(spark, metrics.build_registry(scored, result.models, run_id), f"{root}/registry"), "registry")
+    merged.write.mode("overwrite").parquet(f"{root}/registry")
     (
         metrics.run_log(scored, run_id, result.settings)
         .write.mode("overwrite")
@@ -97,7 +112,7 @@ def train(
         .partitionBy("run_id")
         .parquet(f"{root}/run_log")
     )
-    return spark.read.parquet(f"{root}/registry"), result.failed
+    return B.read_stored(spark, f"{root}/registry"), result.failed
 
 
 def score_keys(
@@ -111,8 +126,8 @@ def score_keys(
     """One forecast for every key of the registry."""
     return score.score_latest(
         B.read_bars(spark, f"{root}/bars"),
-        spark.read.parquet(f"{root}/registry"),
-        spark.read.parquet(f"{root}/scaler"),
+        B.read_stored(spark, f"{root}/registry"),
+        B.read_stored(spark, f"{root}/scaler"),
         asof,
         lookback_days,
         series=series,
@@ -131,9 +146,9 @@ def monitor(
     seq_len: int = SEQ_LEN,
 ) -> DataFrame:
     """Feature and prediction drift of every requested key; stores the summary and the detail per feature."""
-    features = spark.read.parquet(f"{root}/features")
-    registry = spark.read.parquet(f"{root}/registry")
-    scaler = spark.read.parquet(f"{root}/scaler")
+    features = B.read_stored(spark, f"{root}/features")
+    registry = B.read_stored(spark, f"{root}/registry")
+    scaler = B.read_stored(spark, f"{root}/scaler")
     reference = prep.reference_slice(features, series)
     recent = B.lookback(B.read_bars(spark, f"{root}/bars"), lookback_days, asof)
     current = stage(compute_features(recent, series), "current")

@@ -988,7 +988,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = _new_root(spark, "features")
     B.write_features(compute_features(order_bars(spark, sf)), path)
-    return show(spark.read.parquet(path), FEATURES)
+    return show(B.read_stored(spark, path), FEATURES)
 
 
 @query(

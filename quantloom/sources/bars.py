@@ -104,6 +104,17 @@ def read_bars(
     return dedup_latest(bars.withColumn("seq", F.lit(0).cast("long")))
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table with its key and run date as the text they were written with: ``0700`` stays ``0700``.
+
+    Without a schema Spark guesses the type of directory columns from their names.
+    """
+    found = spark.read.parquet(path).schema
+    text = (KEY, "run_date")
+    fields = [T.StructField(f.name, T.StringType() if f.name in text else f.dataType) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def missing_keys(bars: DataFrame, requested: DataFrame) -> DataFrame:
     """Requested keys (column ``ticker``) that have no bar."""
     return requested.join(bars.select(KEY).distinct(), KEY, "left_anti")

@@ -50,3 +50,11 @@ def test_infinite_mape_does_not_break_the_log(spark):
     scored = M.forecast_metrics(preds(spark, [("a", "m", "val", 0.0, 1.0)]))
     value = M.run_log(scored, "r").filter("name = 'val_mape'").first().value
     assert value == pytest.approx(math.inf) if not isinstance(value, str) else value == "Infinity"
+
+
+def test_unlisted_model_loses_a_tie(spark):
+    from quantloom.operators.metrics import select_best
+
+    rows = [("A", "mystery", "val", 1.0), ("A", "xgboost", "val", 1.0)]
+    got = select_best(spark.createDataFrame(rows, "ticker string, model string, split string, rmse double"), ["random_forest", "xgboost"])
+    assert got.first().best_model == "xgboost"

@@ -122,3 +122,12 @@ def test_stage_uses_the_session_folder(spark):
         stage_folder(FakeSession(None, "yarn"))
     df = stage(spark.range(5), "x")
     assert df.count() == 5 and "parquet" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_keys_keep_their_spelling(spark, tmp_path):
+    from quantloom.sources.bars import read_stored
+
+    keys = ["0700", "0005", "1E5", "2024-01-01", "a/b"]
+    spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], "ticker string, x double").write.partitionBy("ticker").parquet(f"{tmp_path}/t")
+    got = read_stored(spark, f"{tmp_path}/t").collect()
+    assert sorted((r.ticker, r.x) for r in got) == sorted((k, float(i)) for i, k in enumerate(keys))

@@ -119,8 +119,11 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
     shrink, carry = {}, {}
     for s in specs:
         if s.adjust:
+            # a block without values hands over nothing, so the last block with one counts, from its distance
+            closing = f"{block_end} AND _den_{s.out} > 0"
             for n in ("num", "den"):
-                carry[f"_from_{n}_{s.out}"] = f"last(CASE WHEN {block_end} THEN _{n}_{s.out} END, true) {earlier}"
+                carry[f"_from_{n}_{s.out}"] = f"last(CASE WHEN {closing} THEN _{n}_{s.out} END, true) {earlier}"
+            carry[f"_fromblk_{s.out}"] = f"last(CASE WHEN {closing} THEN _blk END, true) {earlier}"
             continue
         fade = _power(s.q, f"_at_{s.out}")
         shrink[f"_shrink_{s.out}"] = f"{fade} * exp(-_c_{s.out})" if gap_of(s) else fade
@@ -130,20 +133,22 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
         carry[f"_frompos_{s.out}"] = f"last({closing_pos}, true) {earlier}"
     df = _add(_add(df, shrink), carry)
 
-    out = {}
+    # the mean at each value; null rows then repeat the last one, however long ago and whatever the block
+    means, out = {}, {}
     for s in specs:
         if s.adjust:
-            fade = _num(s.q**block)
+            fade = _power(s.q, f"{block} * (_blk - _fromblk_{s.out})")
             num, den = (f"_{n}_{s.out} + coalesce(_from_{n}_{s.out} * {fade}, 0D)" for n in ("num", "den"))
             value = f"try_divide({num}, {den})"
         else:
             fade = _power(s.q, f"_blk * {block} - _frompos_{s.out}")
-            carried = f"coalesce({fade} * _from_{s.out}, 0D)"
-            value = (
-                f"CASE WHEN _at_{s.out} IS NULL THEN _from_{s.out} ELSE _shrink_{s.out} * (_sum_{s.out} + {carried}) END"
-            )
-        enough = f"{s.col} IS NOT NULL" if s.starts else f"_cnt_{s.col} >= {max(s.min_periods, 1)}"
-        out[s.out] = f"CASE WHEN {enough} THEN {value} END"
+            value = f"_shrink_{s.out} * (_sum_{s.out} + coalesce({fade} * _from_{s.out}, 0D))"
+        means[f"_mean_{s.out}"] = f"CASE WHEN {s.col} IS NOT NULL THEN {value} END"
+        if s.starts:
+            out[s.out] = f"_mean_{s.out}"
+        else:
+            out[s.out] = f"CASE WHEN _cnt_{s.col} >= {max(s.min_periods, 1)} THEN last(_mean_{s.out}, true) {so_far} END"
+    df = _add(df, means)
     return df.selectExpr(*[f"`{c}`" for c in kept if c not in out], *[f"{sql} AS `{n}`" for n, sql in out.items()])
 
 

@@ -207,8 +207,8 @@ def key_verdicts(
         F.round(F.coalesce("_share", F.lit(0.0)), 4).alias("drift_score"),
         F.coalesce("_names", F.array().cast("array<string>")).alias("drifted_features"),
         F.coalesce("_total", F.lit(0)).cast("long").alias("total_features"),
-        F.when(F.coalesce("_cur", F.lit(0)) == 0, F.lit("Empty current DataFrame"))
-        .when(none, F.lit("Empty feature DataFrame after filtering"))
+        F.when(F.coalesce("_cur", F.lit(0)) == 0, F.lit("no current rows"))
+        .when(none, F.lit("no feature to compare"))
         .alias("error"),
     )
 

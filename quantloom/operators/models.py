@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from quantloom.operators.layout import DAILY, Series
 from quantloom.operators.prep import feature_columns, make_sequences
 from quantloom.schema import KEY, ORDER, SEQ_LEN, TARGETS
+from quantloom.sources.stage import stage_folder
 
 # Model settings.
 FOREST = {"numTrees": 200, "maxDepth": 10, "seed": 42}
@@ -30,7 +32,6 @@ BOOSTED = {
 }
 LINEAR = {"regParam": 0.1, "elasticNetParam": 0.0, "maxIter": 100}
 
-MAX_PER_KEY_FITS = 64  # beyond it one pooled model per kind is fitted for all keys
 POOLED = "__pooled__"
 
 
@@ -99,7 +100,8 @@ def train_all(
     root: str,
     keys: Sequence[str] | None = None,
     specs: Sequence[ModelSpec] | None = None,
-    mode: str = "auto",
+    *,
+    mode: str,
     scaler: DataFrame | None = None,
     seq_len: int = SEQ_LEN,
     parallelism: int = 4,
@@ -107,31 +109,27 @@ def train_all(
 ) -> TrainResult:
     """Fit every model, save it under ``root`` and predict all splits.
 
-    ``per_key`` fits one model per key and kind; each fit is a distributed job and the driver only starts them.
-    ``pooled`` fits one model per kind over all keys, on targets scaled per key (``scaler`` is needed). ``auto`` takes
-    ``per_key`` for at most ``MAX_PER_KEY_FITS`` keys. A fit that fails is listed in ``failed`` and the rest go on.
-    Give ``scaled`` as a stored table: every fit reads it.
+    ``per_key`` fits one model per key and kind, however many keys there are; each fit is a distributed job and the
+    driver starts them and holds the names of the keys. ``pooled`` fits one model per kind over all keys, on targets
+    scaled per key (``scaler`` is needed). Which of them it is does not depend on the data. A fit that fails is listed
+    in ``failed`` and the rest go on. Predictions are stored fit by fit. Give ``scaled`` as a stored table: every fit
+    reads it.
     """
     spark = scaled.sparkSession
     specs = list(specs or default_models())
     cols = feature_columns(scaled)
-    if mode not in ("auto", "per_key", "pooled"):
+    if mode not in ("per_key", "pooled"):
         raise ValueError(f"unknown mode {mode!r}")
-    if mode != "pooled" and keys is None:
-        some = scaled.select(KEY).distinct().limit(MAX_PER_KEY_FITS + 1).collect()
-        keys = sorted(r[KEY] for r in some)
-        if mode == "per_key" and len(keys) > MAX_PER_KEY_FITS:
-            raise ValueError("too many keys for one fit per key: name the keys or use mode='pooled'")
-    if mode == "auto":
-        mode = "per_key" if len(keys) <= MAX_PER_KEY_FITS else "pooled"
+    if mode == "per_key" and keys is None:
+        keys = sorted(r[KEY] for r in scaled.select(KEY).dropna().distinct().toLocalIterator())
+    stored = f"{stage_folder(spark)}/fits-{uuid.uuid4().hex}"
     if mode == "pooled" and scaler is None:
         raise ValueError("mode 'pooled' needs the scaler table")
     sequences = None
     if any(s.input == "sequence" for s in specs):
         sequences = make_sequences(scaled, cols, seq_len, series=series)
 
-    def job(task: tuple[str, ModelSpec]):
-        key, spec = task
+    def job(number: int, key: str, spec: ModelSpec):
         started = time.monotonic()
         data = _inputs(spec, scaled, sequences, cols)
         if key != POOLED:
@@ -151,12 +149,14 @@ def train_all(
         predicted = model.transform(data).select(
             KEY, ORDER, F.lit(spec.name).alias("model"), "split", "y", yhat.alias("yhat")
         )
-        return key, spec.name, path, time.monotonic() - started, predicted
+        seconds = time.monotonic() - started
+        predicted.write.parquet(f"{stored}/{number}")
+        return key, spec.name, path, seconds, f"{stored}/{number}", predicted.schema
 
     tasks = [(k, s) for k in ([POOLED] if mode == "pooled" else keys) for s in specs]
     done, failed = [], []
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [(t, pool.submit(job, t)) for t in tasks]
+        futures = [(t, pool.submit(job, i, *t)) for i, t in enumerate(tasks)]
         for (key, spec), future in futures:
             try:
                 done.append(future.result())
@@ -164,11 +164,9 @@ def train_all(
                 failed.append(f"{spec.name}/{key}: {problem}")
     if not done:
         raise RuntimeError("no model could be fitted: " + "; ".join(failed))
-    predictions = done[0][4]
-    for item in done[1:]:
-        predictions = predictions.unionByName(item[4])
+    predictions = spark.read.schema(done[0][5]).parquet(*[item[4] for item in done])
     table = spark.createDataFrame(
-        [(k, m, p, float(s)) for k, m, p, s, _ in done], f"{KEY} string, model string, model_path string, seconds double"
+        [(k, m, p, float(s)) for k, m, p, s, *_ in done], f"{KEY} string, model string, model_path string, seconds double"
     )
     if mode == "pooled":
         names = scaled.select(KEY).distinct()
@@ -177,11 +175,11 @@ def train_all(
         pairs = F.array(
             *[
                 F.struct(F.lit(m).alias("model"), F.lit(p).alias("model_path"), F.lit(float(t)).alias("seconds"))
-                for _, m, p, t, _ in done
+                for _, m, p, t, *_ in done
             ]
         )
         table = names.withColumn("_pairs", pairs).select(KEY, F.inline("_pairs"))
-    return TrainResult(table, predictions, failed, {s.name: dict(s.settings) for s in specs})
+    return TrainResult(table, predictions, failed, {s.name: {**s.settings, "mode": mode} for s in specs})
 
 
 def load_model(path: str) -> PipelineModel:

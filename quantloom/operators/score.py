@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quantloom.operators.features import compute_features
 from quantloom.operators.layout import DAILY, Series
-from quantloom.operators.models import MAX_PER_KEY_FITS, POOLED, label_scale, load_model
+from quantloom.operators.models import POOLED, label_scale, load_model, sequence_vectors
 from quantloom.operators.prep import apply_scaler, feature_columns
 from quantloom.schema import FEATURES, KEY, ORDER, SCORE_LOOKBACK_DAYS, SEQ_LEN
 from quantloom.sources.bars import lookback
-from quantloom.sources.stage import stage
+from quantloom.sources.stage import stage, stage_folder
 
 MIN_LOOKBACK, MAX_LOOKBACK = 60, 365  # fixed values
 
@@ -73,41 +75,47 @@ def last_sequence(
 
 
 def predict_rows(
-    scaled: DataFrame, registry: DataFrame, scaler: DataFrame, sequences: DataFrame | None = None
+    scaled: DataFrame, registry: DataFrame, scaler: DataFrame, sequences: DataFrame | None = None, parallelism: int = 4
 ) -> DataFrame:
     """``ticker, date, model, yhat`` of the best model of each key.
 
-    ``scaled`` should be a stored table: assemblers filter on all features at once, and Catalyst multiplies such a filter
-    with every computed column below it. The registry says which saved model serves which keys. One transform runs per saved model: a handful of pooled
-    models, or at most ``MAX_PER_KEY_FITS`` keys with own models for each kind.
+    The registry says which saved model serves which keys. Rows are dealt out by saved model and stored once, so that each
+    model reads its own rows alone, and its forecasts are stored in turn: no plan grows with the number of models.
     """
-    paths = registry.select("best_model", "model_path").distinct().limit(3 * MAX_PER_KEY_FITS + 1).collect()
-    if len(paths) > 3 * MAX_PER_KEY_FITS:
-        raise ValueError("too many saved models: fit pooled models for so many keys")
-    assigned = registry.select(KEY, "model_path")
-    pieces = []
-    for best_model, path in paths:
-        served = assigned.filter(F.col("model_path") == path).select(KEY)
-        if best_model == "sequence":
-            if sequences is None:
-                raise ValueError("a key is served by the sequence model: give sequences")
-            rows = sequences.withColumn("_features", array_to_vector(F.flatten("X").cast("array<double>"))).drop("X")
-        else:
-            rows = scaled
-        rows = rows.join(served, KEY, "left_semi")
+    spark = scaled.sparkSession
+    saved = registry.select("best_model", "model_path").distinct().collect()
+    if not saved:
+        raise ValueError("the registry is empty")
+    if sequences is None and any(r.best_model == "sequence" for r in saved):
+        raise ValueError("a key is served by the sequence model: give sequences")
+    folder = f"{stage_folder(spark)}/scored-{uuid.uuid4().hex}"
+
+    def dealt(rows: DataFrame, served: Column, name: str) -> DataFrame:
+        assigned = registry.filter(served).select(KEY, F.col("model_path").alias("_path"))
+        rows = rows.join(assigned, KEY)
+        rows.hint("rebalance", "_path").write.partitionBy("_path").parquet(f"{folder}/{name}")
+        fields = [f for f in rows.schema.fields if f.name != "_path"]
+        return spark.read.schema(T.StructType([*fields, T.StructField("_path", T.StringType())])).parquet(f"{folder}/{name}")
+
+    by_sequence = F.col("best_model") == "sequence"
+    by_row = dealt(scaled, ~by_sequence, "rows")
+    in_order = dealt(sequences, by_sequence, "sequences") if sequences is not None else None
+
+    def predict(number: int, model: str, path: str) -> tuple[str, T.StructType]:
+        rows = (in_order if model == "sequence" else by_row).filter(F.col("_path") == path)
+        if model == "sequence":
+            rows = sequence_vectors(rows)
         yhat = F.col("_prediction")
         if path.rsplit("/", 1)[-1] == POOLED:
             rows = rows.join(label_scale(scaler), KEY)
             yhat = yhat * F.col("_scale") + F.col("_center")
-        pieces.append(
-            load_model(path).transform(rows).select(KEY, ORDER, F.lit(best_model).alias("model"), yhat.alias("yhat"))
-        )
-    if not pieces:
-        raise ValueError("the registry is empty")
-    out = pieces[0]
-    for piece in pieces[1:]:
-        out = out.unionByName(piece)
-    return out
+        out = load_model(path).transform(rows).select(KEY, ORDER, F.lit(model).alias("model"), yhat.alias("yhat"))
+        out.write.parquet(f"{folder}/out/{number}")
+        return f"{folder}/out/{number}", out.schema
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        made = [f.result() for f in [pool.submit(predict, i, *r) for i, r in enumerate(saved)]]
+    return spark.read.schema(made[0][1]).parquet(*[path for path, _ in made])
 
 
 def score_latest(
@@ -120,17 +128,18 @@ def score_latest(
     tiled: bool = False,
     calendar_date: bool = False,
     series: Series = DAILY,
+    seq_len: int = SEQ_LEN,
 ) -> DataFrame:
     """One forecast per key: predicted close, model, date and the validation metrics of the model.
 
     ``newest_bar=False`` scores the last bar whose next close is known. ``tiled`` repeats the newest row for the
     sequence model instead of using the true last rows. ``calendar_date`` dates the forecast one day ahead, not one
-    weekday.
+    weekday. ``seq_len`` is the length that the sequence model was fitted on.
     """
     scaled = stage(scoring_rows(bars, scaler, asof, lookback_days, not newest_bar, series), "scoring")
     cols = feature_columns(scaled, FEATURES)
     newest = latest_features(scaled.select(KEY, ORDER, *cols))
-    sequences = last_sequence(scaled, cols, tiled=tiled)
+    sequences = last_sequence(scaled, cols, seq_len, tiled)
     predicted = predict_rows(newest, registry, scaler, sequences)
     when = F.date_add(F.col(ORDER).cast("date"), 1) if calendar_date else next_weekday()
     info = registry.select(KEY, F.col("val_metrics.rmse").alias("val_rmse"), F.col("val_metrics.r2").alias("val_r2"))

@@ -12,10 +12,6 @@ from pyspark.sql import types as T
 from quantloom import schema as S
 from quantloom.schema import BAR_VALUES, KEY, ORDER, PRICES
 
-# Names shown in messages.
-_TITLE = {"open": "Open", "high": "High", "low": "Low", "close": "Close", "volume": "Volume"}
-
-
 @dataclass(frozen=True)
 class Limits:
     min_rows: int = S.MIN_ROWS
@@ -30,20 +26,20 @@ def _percent(share: Column) -> Column:
 
 
 def missing_columns(bars: DataFrame) -> list[str]:
-    """Required bar columns that are absent, by their message names."""
-    return [_TITLE[c] for c in BAR_VALUES if c not in bars.columns]
+    """Required bar columns that are absent."""
+    return [c for c in BAR_VALUES if c not in bars.columns]
 
 
 def order_column_message(bars: DataFrame, order: str = ORDER) -> tuple[str | None, str | None]:
     """Error and warning about the type of the order column."""
     if order not in bars.columns:
-        return f"Index must be DatetimeIndex, got no column '{order}'", None
+        return f"order_type {order}: absent", None
     kind = bars.schema[order].dataType
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
         return None, None
     if isinstance(kind, T.TimestampType):
-        return None, "DatetimeIndex is timezone-aware; expected tz-naive UTC"
-    return f"Index must be DatetimeIndex, got {kind.simpleString()}", None
+        return None, f"order_type {order}: has a time zone"
+    return f"order_type {order}: {kind.simpleString()}", None
 
 
 def profile_bars(bars: DataFrame, limits: Limits = Limits(), key: str = KEY) -> DataFrame:
@@ -77,42 +73,33 @@ def validate_bars(
 ) -> DataFrame:
     """``ticker, passed, errors, warnings, row_count``, one row per key.
 
-    ``keys`` (column ``ticker``) lists the requested keys: one without rows fails as empty and skips other checks.
-    Warnings never make a key fail.
+    ``keys`` (column ``ticker``) lists the requested keys: one without rows fails as ``no_rows`` and skips other checks.
+    Warnings never make a key fail. A finding reads ``check column: value``.
     """
     have = set(bars.columns)
-    errors: list[Column] = [
-        F.when(
-            F.col("row_count") < limits.min_rows,
-            F.concat(F.lit("Too few rows: "), F.col("row_count"), F.lit(f" (minimum {limits.min_rows})")),
-        )
-    ]
+    found = [p for p in PRICES if p in have]
+
+    def finding(when: Column, check: str, value: Column | str = "") -> Column:
+        return F.when(when, F.concat(F.lit(f"{check}: "), F.lit(value) if isinstance(value, str) else value))
+
+    errors: list[Column] = [finding(F.col("row_count") < limits.min_rows, "row_count", F.col("row_count").cast("string"))]
     warnings: list[Column] = []
     absent = missing_columns(bars)
     if absent:
-        errors.append(F.lit(f"Missing required columns: {absent}"))
-    for c in [p for p in PRICES if p in have]:
-        share, title = F.col(f"{c}_null_share"), _TITLE[c]
-        text = F.concat(F.lit(f"Column '{title}' has "), _percent(share), F.lit(" nulls"))
-        allowed = f" (max allowed: {limits.max_null_share:.0%})"
-        errors.append(F.when(share > limits.max_null_share, F.concat(text, F.lit(allowed))))
-        warnings.append(F.when((share > 0) & (share <= limits.max_null_share), text))
-    for c in [p for p in PRICES if p in have]:
-        low = f"Column '{_TITLE[c]}' has values below minimum price {limits.min_price}"
-        high = f"Column '{_TITLE[c]}' has unusually high values (>{limits.max_price})"
-        errors.append(F.when(F.col(f"{c}_too_low"), F.lit(low)))
-        warnings.append(F.when(F.col(f"{c}_too_high"), F.lit(high)))
+        errors.append(F.lit(f"absent: {', '.join(absent)}"))
+    for c in found:
+        share = F.col(f"{c}_null_share")
+        errors.append(finding(share > limits.max_null_share, f"null_share {c}", _percent(share)))
+        warnings.append(finding((share > 0) & (share <= limits.max_null_share), f"null_share {c}", _percent(share)))
+    for c in found:
+        errors.append(finding(F.col(f"{c}_too_low"), f"price_floor {c}", f"{limits.min_price}"))
+        warnings.append(finding(F.col(f"{c}_too_high"), f"price_ceiling {c}", f"{limits.max_price}"))
     if "volume" in have:
         share = F.col("zero_volume_share")
-        errors.append(F.when(F.col("volume_negative"), F.lit("Volume has negative values")))
-        warnings.append(
-            F.when(
-                share > limits.max_zero_volume_share, F.concat(_percent(share), F.lit(" of Volume rows are zero"))
-            )
-        )
+        errors.append(finding(F.col("volume_negative"), "sign volume", "negative"))
+        warnings.append(finding(share > limits.max_zero_volume_share, "zero_share volume", _percent(share)))
     if set(PRICES) <= have:
-        for name, text in (("bad_high", "High < max(Open, Close, Low)"), ("bad_low", "Low > min(Open, Close, High)")):
-            errors.append(F.when(F.col(name) > 0, F.concat(F.col(name), F.lit(f" rows where {text}"))))
+        errors += [finding(F.col(name) > 0, f"{name} rows", F.col(name).cast("string")) for name in ("bad_high", "bad_low")]
     type_error, type_warning = order_column_message(bars, order)
     if type_error:
         errors.append(F.lit(type_error))
@@ -127,10 +114,12 @@ def validate_bars(
         "row_count",
     )
     if keys is not None:
-        empty = keys.join(report.select(KEY), KEY, "left_anti").select(
-            KEY, F.array(F.lit("DataFrame is None or empty")).alias("errors"), none.alias("warnings"), F.lit(0).cast("long").alias("row_count")
+        report = keys.select(KEY).distinct().join(report, KEY, "left").select(
+            KEY,
+            F.coalesce("errors", F.array(F.lit("no_rows"))).alias("errors"),
+            F.coalesce("warnings", none).alias("warnings"),
+            F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
         )
-        report = report.join(keys.select(KEY), KEY, "left_semi").unionByName(empty)
     return report.select(KEY, (F.size("errors") == 0).alias("passed"), "errors", "warnings", "row_count")
 
 

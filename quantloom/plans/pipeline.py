@@ -86,7 +86,8 @@ def train(
     run_id: str,
     keys: Sequence[str] | None = None,
     specs: Sequence[models.ModelSpec] | None = None,
-    mode: str = "auto",
+    *,
+    mode: str,
     seq_len: int = SEQ_LEN,
     series: Series = DAILY,
 ) -> tuple[DataFrame, list[str]]:
@@ -96,7 +97,7 @@ def train(
         f"{root}/models/{run_id}",
         keys,
         specs,
-        mode,
+        mode=mode,
         scaler=B.read_stored(spark, f"{root}/scaler"),
         seq_len=seq_len,
         series=series,

@@ -233,23 +233,22 @@ def _report_sql(bars: str, extra_keys: str | None = None) -> str:
     def pct(x):
         return f"printf('%.1f%%', round_even({x} * 100, 1))"
 
-    titles = [("open", "Open"), ("high", "High"), ("low", "Low"), ("close", "Close")]
-    errors = ["CASE WHEN row_count < 10 THEN 'Too few rows: ' || row_count || ' (minimum 10)' END"]
-    errors += [f"CASE WHEN n_{c} > 0.05::DOUBLE THEN 'Column ''{t}'' has ' || {pct('n_' + c)} || ' nulls (max allowed: 5%)' END" for c, t in titles]
-    errors += [f"CASE WHEN l_{c} THEN 'Column ''{t}'' has values below minimum price 0.01' END" for c, t in titles]
-    errors += ["CASE WHEN neg THEN 'Volume has negative values' END"]
-    errors += ["CASE WHEN bh > 0 THEN bh || ' rows where High < max(Open, Close, Low)' END"]
-    errors += ["CASE WHEN bl > 0 THEN bl || ' rows where Low > min(Open, Close, High)' END"]
-    warnings = [f"CASE WHEN n_{c} > 0 AND n_{c} <= 0.05::DOUBLE THEN 'Column ''{t}'' has ' || {pct('n_' + c)} || ' nulls' END" for c, t in titles]
-    warnings += [f"CASE WHEN h_{c} THEN 'Column ''{t}'' has unusually high values (>1000000.0)' END" for c, t in titles]
-    warnings += [f"CASE WHEN zero > 0.1::DOUBLE THEN {pct('zero')} || ' of Volume rows are zero' END"]
+    prices = ("open", "high", "low", "close")
+    errors = ["CASE WHEN row_count < 10 THEN 'row_count: ' || row_count END"]
+    errors += [f"CASE WHEN n_{c} > 0.05::DOUBLE THEN 'null_share {c}: ' || {pct('n_' + c)} END" for c in prices]
+    errors += [f"CASE WHEN l_{c} THEN 'price_floor {c}: 0.01' END" for c in prices]
+    errors += ["CASE WHEN neg THEN 'sign volume: negative' END"]
+    errors += ["CASE WHEN bh > 0 THEN 'bad_high rows: ' || bh END", "CASE WHEN bl > 0 THEN 'bad_low rows: ' || bl END"]
+    warnings = [f"CASE WHEN n_{c} > 0 AND n_{c} <= 0.05::DOUBLE THEN 'null_share {c}: ' || {pct('n_' + c)} END" for c in prices]
+    warnings += [f"CASE WHEN h_{c} THEN 'price_ceiling {c}: 1000000.0' END" for c in prices]
+    warnings += [f"CASE WHEN zero > 0.1::DOUBLE THEN 'zero_share volume: ' || {pct('zero')} END"]
     out = f"""WITH b AS ({bars}), a AS ({_VALID}),
 e AS (SELECT ticker, concat_ws(' | ', {', '.join(errors)}) AS errors, concat_ws(' | ', {', '.join(warnings)}) AS warnings,
   row_count::BIGINT AS row_count FROM a)"""
     if extra_keys:
         out += f""",
 q AS ({extra_keys}), y AS (SELECT * FROM e WHERE ticker IN (SELECT ticker FROM q)
-  UNION ALL SELECT ticker, 'DataFrame is None or empty', '', 0 FROM q WHERE ticker NOT IN (SELECT ticker FROM e))"""
+  UNION ALL SELECT ticker, 'no_rows', '', 0 FROM q WHERE ticker NOT IN (SELECT ticker FROM e))"""
     else:
         out += ", y AS (SELECT * FROM e)"
     return out + ", rep AS (SELECT ticker, errors = '' AS passed, errors, warnings, row_count FROM y)"
@@ -839,8 +838,8 @@ _DATA_DRIFT = """, ks AS (SELECT DISTINCT ticker FROM b UNION ALL SELECT 'NONE')
 dk AS (SELECT ticker, avg(drifted::INT) AS share, string_agg(CASE WHEN drifted THEN feature END, ',' ORDER BY feature) AS names, count(*) AS total FROM cd GROUP BY ticker),
 dd AS (SELECT ks.ticker, coalesce(share > 0.1::DOUBLE, false) AS drift_detected, round(coalesce(share, 0), 4) AS drift_score,
   coalesce(names, '') AS drifted_features, coalesce(total, 0)::BIGINT AS total_features,
-  CASE WHEN ks.ticker NOT IN (SELECT ticker FROM cu) THEN 'Empty current DataFrame'
-       WHEN total IS NULL THEN 'Empty feature DataFrame after filtering' END AS error FROM ks LEFT JOIN dk ON ks.ticker = dk.ticker)"""
+  CASE WHEN ks.ticker NOT IN (SELECT ticker FROM cu) THEN 'no current rows'
+       WHEN total IS NULL THEN 'no feature to compare' END AS error FROM ks LEFT JOIN dk ON ks.ticker = dk.ticker)"""
 
 
 def _sides(spark, sf):
@@ -1011,8 +1010,8 @@ def _(spark, sf):
 
 @query(
     "validate_missing_column",
-    f"""SELECT ticker, false AS passed, 'Missing required columns: [''Volume'']' AS errors,
-  'DatetimeIndex is timezone-aware; expected tz-naive UTC' AS warnings, count(*)::BIGINT AS row_count FROM ({Q.ORDER_BARS}) GROUP BY ticker""",
+    f"""SELECT ticker, false AS passed, 'absent: volume' AS errors,
+  'order_type date: has a time zone' AS warnings, count(*)::BIGINT AS row_count FROM ({Q.ORDER_BARS}) GROUP BY ticker""",
 )
 def _(spark, sf):
     bars = order_bars(spark, sf).drop("volume").withColumn(ORDER, F.col(ORDER).cast("timestamp"))

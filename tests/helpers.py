@@ -1,31 +1,24 @@
-"""Small bar tables and pandas oracles for tests."""
+"""Small bar tables, and the features of one key worked out row by row from their definitions."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 
 from quantloom.schema import BAR_SCHEMA
 
+TICKS = 6
+
 
 def random_walk(rows: int, seed: int = 42, ticker: str = "AAA", start: str = "2020-01-01", freq: str = "D") -> pd.DataFrame:
+    """Bars of six ticks each; the log of the price takes normal steps."""
     rng = np.random.default_rng(seed)
-    close = 100 + np.cumsum(rng.normal(0, 1, rows))
-    close = np.abs(close) + 5
-    open_ = close * (1 + rng.normal(0, 0.01, rows))
-    high = np.maximum(open_, close) * (1 + np.abs(rng.normal(0, 0.01, rows)))
-    low = np.minimum(open_, close) * (1 - np.abs(rng.normal(0, 0.01, rows)))
-    return pd.DataFrame(
-        {
-            "ticker": ticker,
-            "date": pd.date_range(start, periods=rows, freq=freq),
-            "open": open_,
-            "high": high,
-            "low": low,
-            "close": close,
-            "volume": rng.integers(500_000, 2_000_000, rows).astype(float),
-        }
-    )
+    price = 100 * np.exp(rng.normal(0, 0.004, rows * TICKS).cumsum()).reshape(rows, TICKS)
+    bars = {"open": price[:, 0], "high": price.max(axis=1), "low": price.min(axis=1), "close": price[:, -1]}
+    traded = rng.integers(10_000, 300_000, (rows, TICKS)).sum(axis=1).astype(float)
+    return pd.DataFrame({"ticker": ticker, "date": pd.date_range(start, periods=rows, freq=freq), **bars, "volume": traded})
 
 
 def to_bars(spark, frame: pd.DataFrame):
@@ -36,45 +29,81 @@ def to_bars(spark, frame: pd.DataFrame):
     return spark.createDataFrame(values, BAR_SCHEMA)
 
 
-def pandas_features(frame: pd.DataFrame) -> pd.DataFrame:
-    """Independent single-key computation of the features with pandas."""
-    o, h, l, c, v = (frame[x] for x in ("open", "high", "low", "close", "volume"))
-
-    def ret(n):
-        return c / c.shift(n) - 1
-
-    out = frame[["ticker", "date", "open", "high", "low", "close", "volume"]].copy()
-    for n in (1, 5, 10):
-        out[f"returns_{n}d"] = ret(n)
-    out["high_low_range"] = (h - l) / c
-    out["close_open_spread"] = (c - o) / o
-    for n in (10, 20, 50):
-        out[f"sma_{n}"] = c.rolling(n).mean()
-    for n in (12, 26):
-        out[f"ema_{n}"] = c.ewm(span=n, adjust=False).mean()
-    out["close_to_sma20"] = c / out.sma_20 - 1
-    out["close_to_sma50"] = c / out.sma_50 - 1
-    out["sma10_sma20_cross"] = out.sma_10 / out.sma_20 - 1
-    delta = c.diff()
-    up = delta.clip(lower=0).ewm(com=13, min_periods=14).mean()
-    down = (-delta.clip(upper=0)).ewm(com=13, min_periods=14).mean()
-    out["rsi_14"] = 100 - 100 / (1 + up / (down + 1e-9))
-    out["macd"] = out.ema_12 - out.ema_26
-    out["macd_signal"] = out.macd.ewm(span=9, adjust=False).mean()
-    out["macd_hist"] = out.macd - out.macd_signal
-    std = c.rolling(20).std()
-    out["bb_upper"] = out.sma_20 + 2 * std
-    out["bb_lower"] = out.sma_20 - 2 * std
-    out["bb_width"] = (out.bb_upper - out.bb_lower) / out.sma_20
-    out["bb_pos"] = (c - out.bb_lower) / (out.bb_upper - out.bb_lower + 1e-9)
-    ranges = pd.concat([h - l, (h - c.shift()).abs(), (l - c.shift()).abs()], axis=1)
-    out["atr_14"] = ranges.max(axis=1).ewm(com=13, min_periods=14).mean()
-    out["volume_sma_10"] = v.rolling(10).mean()
-    out["volume_ratio"] = v / (out.volume_sma_10 + 1e-9)
-    out["log_volume"] = np.log1p(v)
-    for n in (1, 2, 3, 5, 10):
-        out[f"close_lag_{n}"] = c.shift(n)
-        out[f"return_lag_{n}"] = ret(n).shift(1)
-    out["target_next_close"] = c.shift(-1)
-    out["target_next_return"] = ret(1).shift(-1)
-    return out
+class _Smooth:
+    """A recursive mean that starts with its first value."""
+
+    def __init__(self, span: int):
+        self.gain, self.level = 2 / (span + 1), None
+
+    def push(self, x: float) -> float:
+        self.level = x if self.level is None else self.level + self.gain * (x - self.level)
+        return self.level
+
+
+class _Decay:
+    """A mean whose weights fall by 13/14 a row, known from the 14th value on."""
+
+    def __init__(self):
+        self.total, self.weight, self.seen = 0.0, 0.0, 0
+
+    def push(self, x: float) -> float:
+        self.total, self.weight, self.seen = self.total * 13 / 14 + x, self.weight * 13 / 14 + 1, self.seen + 1
+        return self.total / self.weight if self.seen >= 14 else math.nan
+
+
+def expected_features(frame: pd.DataFrame) -> pd.DataFrame:
+    """The bars of one key without nulls, in order, with the 40 features and both targets."""
+    bars = list(frame.itertuples(index=False))
+    close = [b.close for b in bars]
+    volume = [b.volume for b in bars]
+
+    def back(i: int, n: int) -> float:
+        return close[i - n] if 0 <= i - n < len(close) else math.nan
+
+    def growth(i: int, n: int) -> float:
+        return back(i, 0) / back(i, n) - 1
+
+    def mean(values: list[float], i: int, n: int) -> float:
+        return math.fsum(values[i - n + 1 : i + 1]) / n if i >= n - 1 else math.nan
+
+    def deviation(i: int, n: int) -> float:
+        middle = mean(close, i, n)
+        return math.sqrt(math.fsum((x - middle) ** 2 for x in close[max(0, i - n + 1) : i + 1]) / (n - 1))
+
+    fast, slow, signal = _Smooth(12), _Smooth(26), _Smooth(9)
+    rise, fall, span = _Decay(), _Decay(), _Decay()
+    rows = []
+    for i, bar in enumerate(bars):
+        row = bar._asdict()
+        for n in (1, 5, 10):
+            row[f"returns_{n}d"] = growth(i, n)
+        for n in (1, 2, 3, 5, 10):
+            row[f"close_lag_{n}"], row[f"return_lag_{n}"] = back(i, n), growth(i - 1, n)
+        s10, s20, s50 = (mean(close, i, n) for n in (10, 20, 50))
+        row |= {"sma_10": s10, "sma_20": s20, "sma_50": s50, "sma10_sma20_cross": s10 / s20 - 1}
+        row |= {"close_to_sma20": bar.close / s20 - 1, "close_to_sma50": bar.close / s50 - 1}
+        row |= {"high_low_range": (bar.high - bar.low) / bar.close, "close_open_spread": (bar.close - bar.open) / bar.open}
+
+        row["ema_12"], row["ema_26"] = fast.push(bar.close), slow.push(bar.close)
+        row["macd"] = row["ema_12"] - row["ema_26"]
+        row["macd_signal"] = signal.push(row["macd"])
+        row["macd_hist"] = row["macd"] - row["macd_signal"]
+
+        row["rsi_14"] = math.nan
+        reach = bar.high - bar.low
+        if i:
+            step = bar.close - close[i - 1]
+            gained, lost = rise.push(max(step, 0.0)), fall.push(max(-step, 0.0))
+            row["rsi_14"] = 100 - 100 / (1 + gained / (lost + 1e-9))
+            reach = max(bar.high, close[i - 1]) - min(bar.low, close[i - 1])
+        row["atr_14"] = span.push(reach)
+
+        wide = 2 * deviation(i, 20)
+        row |= {"bb_upper": s20 + wide, "bb_lower": s20 - wide, "bb_width": 2 * wide / s20}
+        row["bb_pos"] = (bar.close - s20 + wide) / (2 * wide + 1e-9)
+
+        usual = mean(volume, i, 10)
+        row |= {"volume_sma_10": usual, "volume_ratio": bar.volume / (usual + 1e-9), "log_volume": math.log1p(bar.volume)}
+        row |= {"target_next_close": back(i, -1), "target_next_return": growth(i + 1, 1) if i + 1 < len(bars) else math.nan}
+        rows.append(row)
+    return pd.DataFrame(rows)

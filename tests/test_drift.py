@@ -73,12 +73,12 @@ def test_data_drift_verdicts_and_errors(spark):
     rows = {r.ticker: r for r in D.data_drift(ref, cur, threshold=0.4).collect()}
     assert rows["a"].drifted_features == ["open"] and rows["a"].drift_score == 0.5 and rows["a"].drift_detected
     assert rows["a"].total_features == 2 and rows["a"].error is None
-    assert rows["b"].error == "Empty current DataFrame" and not rows["b"].drift_detected
-    assert rows["c"].error == "Empty feature DataFrame after filtering"
+    assert rows["b"].error == "no current rows" and not rows["b"].drift_detected
+    assert rows["c"].error == "no feature to compare"
     # the limit is strict
     assert not [r for r in D.data_drift(ref, cur, threshold=0.5).collect() if r.drift_detected]
     # a column the current table lacks leaves nothing to compare
-    assert {r.error for r in D.data_drift(ref, cur.drop("high")).collect()} == {"Empty feature DataFrame after filtering", "Empty current DataFrame"}
+    assert {r.error for r in D.data_drift(ref, cur.drop("high")).collect()} == {"no feature to compare", "no current rows"}
 
 
 def test_prediction_drift(spark):
@@ -100,7 +100,7 @@ def test_monitor_marks_failed_keys(spark, tmp_path):
     table = D.monitor(keys, data, D.prediction_drift(p, moved, keys))
     rows = {r.ticker: r for r in table.collect()}
     assert rows["a"].status == "ok" and rows["a"].drift_detected and not rows["a"].data_drift
-    assert rows["zz"].status == "failed" and not rows["zz"].drift_detected and "Empty current" in rows["zz"].error
+    assert rows["zz"].status == "failed" and not rows["zz"].drift_detected and "no current" in rows["zz"].error
     assert D.monitor_totals(table).first().asDict() == {"total": 2, "drift_detected": True, "drifted": 1, "failed": 1}
     assert [r.ticker for r in D.retrain_list(table).collect()] == ["a"]
     path = str(tmp_path / "drift")

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from helpers import pandas_features, random_walk, to_bars
+from helpers import expected_features, random_walk, to_bars
 from quantloom.functions.ewm import ewm_mean
 from quantloom.operators.features import compute_features
 from quantloom.operators.layout import DAILY, HOURLY, Series, lay_out
@@ -30,11 +30,11 @@ def two_keys():
 
 @pytest.fixture(scope="module")
 def wanted(two_keys):
-    parts = [pandas_features(g) for _, g in two_keys.groupby("ticker")]
+    parts = [expected_features(g) for _, g in two_keys.groupby("ticker")]
     return pd.concat(parts).sort_values(["ticker", "date"]).reset_index(drop=True)
 
 
-def test_features_match_pandas(spark, two_keys, wanted):
+def test_features_match_definitions(spark, two_keys, wanted):
     got = sorted_frame(compute_features(to_bars(spark, two_keys), drop_warmup=False))
     assert list(got.columns) == ["ticker", "date", *FEATURES, *TARGETS]
     assert len(FEATURES) == 40
@@ -49,7 +49,7 @@ def test_segmented_layout_gives_the_same(spark, two_keys, wanted):
 
 def test_long_key_crosses_blocks_and_segments(spark):
     frame = random_walk(9000, 5, freq="h")
-    want = pandas_features(frame)
+    want = expected_features(frame)
     for series in (DAILY, HOURLY, Series(bucket="hour", segment_rows=2500)):
         got = sorted_frame(compute_features(to_bars(spark, frame), series, drop_warmup=False))
         assert_same(got, want, FEATURES + TARGETS)
@@ -87,6 +87,7 @@ NULL_PATTERNS = {
     "scattered": lambda x: x.where(np.random.default_rng(0).random(len(x)) > 0.2),
     "runs": lambda x: x.where((x.index // 40) % 3 != 1),
     "long run": lambda x: x.where((x.index < 500) | (x.index > 3900)),
+    "few before a long run": lambda x: x.where((x.index < 2245) | (x.index > 5500)),
 }
 
 

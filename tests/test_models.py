@@ -41,7 +41,7 @@ def test_train_score_monitor(spark, run, mode):
         best = min(x.val_metrics.rmse for x in r.all_results)
         assert r.val_metrics.rmse == best
     if mode == "per_key":
-        scored = {r.ticker: r for r in P.score_keys(spark, root).collect()}
+        scored = {r.ticker: r for r in P.score_keys(spark, root, seq_len=SEQ).collect()}
         assert set(scored) == {"AAA", "BBB"} and scored["AAA"].features_used == len(FEATURES)
         assert all(np.isfinite(r.predicted_close) for r in scored.values())
         with pytest.raises(ValueError, match="60 to 365"):
@@ -56,10 +56,10 @@ def test_train_score_monitor(spark, run, mode):
 def test_failing_model_is_listed_and_others_go_on(spark, run):
     root = run[0]
     bad = M.ModelSpec("boosted_trees", "row", M.GBTRegressor, {"maxDepth": -1})
-    result = M.train_all(P.read_splits(spark, root), f"{root}/partial", ["AAA", "GONE"], [SMALL[0], bad])
+    result = M.train_all(P.read_splits(spark, root), f"{root}/partial", ["AAA", "GONE"], [SMALL[0], bad], mode="per_key")
     assert len(result.failed) == 3 and [r.model for r in result.models.collect()] == ["random_forest"]
     with pytest.raises(RuntimeError, match="no model"):
-        M.train_all(P.read_splits(spark, root), f"{root}/none", ["GONE"], [SMALL[0]])
+        M.train_all(P.read_splits(spark, root), f"{root}/none", ["GONE"], [SMALL[0]], mode="per_key")
 
 
 def test_default_settings():

@@ -14,13 +14,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantloom.llm.common import SPACE_CHARS, whole, words
+from quantloom.llm.common import SPACE, SPACE_CHARS, whole, words
 from quantloom.sources.stage import stage
 
 # counted character classes, as the inside of a pattern
 MARKS = {"upper": "A-Z", "digit": "0-9", "symbol": "#*$%&|<>", "punctuation": ".,;:!?'\"()-"}
-# one letter for each counted common word; what is beyond is "rest"
-CODES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
 CLASSES = ("space", "upper", "digit", "symbol", "punctuation", "beyond", "lower")
 
 
@@ -37,13 +35,13 @@ class Limits:
 
 
 def _with_classes(rows: DataFrame) -> DataFrame:
-    """Add n_chars, word_chars, n_symbols and ``classes``, the counts in the order of CLASSES, to rows with t and words.
+    """Add n_chars, word_chars, n_symbols and ``classes``, the counts in the order of CLASSES, to rows with t.
 
     White space and lower case are cut out first, so that the other classes are counted on the little that is left.
     """
     rows = rows.withColumns({
         "n_chars": F.length("t"), "marks": F.regexp_replace("t", r"[a-z\x20\x09-\x0D]+", ""),
-        "word_chars": F.aggregate("words", F.lit(0), lambda a, w: a + F.length(w)).cast("long"),
+        "word_chars": F.length(F.regexp_replace("t", SPACE, "")).cast("long"),
     })
     count = {k: F.length("marks") - F.length(F.regexp_replace("marks", f"[{chars}]+", "")) for k, chars in MARKS.items()}
     rows = rows.withColumns({f"n_{k}": c.cast("long") for k, c in count.items()})
@@ -74,16 +72,19 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
 
     ``common`` holds the most frequent words, ties in the order of the words; ``word_shares`` their shares and the rest's.
     """
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), whole(text).alias("t")).withColumn("words", words(F.col("t")))
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), whole(text).alias("t"))
     sums = [F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]
-    chars = _with_classes(rows).groupBy("lang").agg(F.array(*sums).alias("sums"), F.sum(F.size("words")).cast("double").alias("total"))
-    chars = chars.select("lang", _shares(F.col("sums")).alias("char_shares"), "total")
-    short = F.filter("words", lambda w: F.length(w) <= limits.longest_common)
-    counts = rows.select("lang", F.explode(short).alias("w")).select("lang", F.lower("w").alias("w"))
-    counts = counts.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
+    chars = _with_classes(rows).groupBy("lang").agg(F.array(*sums).alias("sums"))
+    chars = chars.select("lang", _shares(F.col("sums")).alias("char_shares"))
+    # long words meet in one row, which gives the total its share of them
+    each = rows.select("lang", F.explode(words(F.col("t"))).alias("w"))
+    each = each.select("lang", F.when(F.length("w") <= limits.longest_common, F.lower("w")).alias("w"))
+    counts = stage(each.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")), "language-words")
+    total = counts.groupBy(F.col("lang").alias("t_lang")).agg(F.sum("n").cast("double").alias("total"))
+    chars = chars.join(total, F.col("lang").eqNullSafe(F.col("t_lang")), "left").select("lang", "char_shares", F.coalesce("total", F.lit(0.0)).alias("total"))
     # the limit on the rank keeps a few words of each task before anything is dealt out
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    top = counts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= limits.n_common)
+    top = counts.where("w is not null").withColumn("k", F.row_number().over(order)).where(F.col("k") <= limits.n_common)
     top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "w", "n"))).alias("top"))
     top = top.withColumnRenamed("lang", "w_lang")
     out = chars.join(top, F.col("lang").eqNullSafe(F.col("w_lang")), "left")
@@ -113,11 +114,13 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
 
 
 def _with_windows(rows: DataFrame) -> DataFrame:
-    """Add w8, a hash of each run of 8 words, doubling the run in three steps."""
+    """Add w8, a hash of each run of 8 words, doubling the run in three steps; empty where no run of 4 occurs twice."""
     rows = rows.withColumn("w1", F.transform("words", lambda w: F.xxhash64(w)))
     for have, name, into in ((1, "w1", "w2"), (2, "w2", "w4"), (4, "w4", "w8")):
         n = F.greatest(F.lit(0), F.size(name) - have)
         joined = F.zip_with(F.slice(F.col(name), F.lit(1), n), F.slice(F.col(name), F.lit(have + 1), n), lambda a, b: F.xxhash64(a, b))
+        if into == "w8":
+            joined = F.when(F.size(F.array_distinct(name)) < F.size(name), joined).otherwise(F.array().cast("array<bigint>"))
         rows = rows.withColumn(into, joined).drop(name)
     return rows
 
@@ -134,16 +137,15 @@ def judged(docs: DataFrame, reference: DataFrame, text: str = "text", lang: str
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), whole(text).alias("t"), F.col(lang).cast("string").alias("d_lang"))
     rows = rows.join(small, F.col("d_lang").eqNullSafe(F.col("r_lang")), "left").withColumn("words", words(F.col("t")))
     lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
-    code = F.transform("words", lambda w: F.substring(F.lit("." + CODES), F.array_position("common", F.lower(w)).cast("int") + 1, F.lit(1)))
     rows = _with_classes(rows.withColumn("lines", lines)).withColumns({
         "n_words": F.size("words").cast("long"), "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
-        "codes": F.array_join(code, ""),
+        "lower": F.transform("words", lambda w: F.xxhash64(F.lower(w))), "common": F.transform("common", lambda w: F.xxhash64(w)),
     }).drop("t", "lines")
     rows = _with_repeats(_with_windows(rows).drop("words"))
-    common = [(F.length("codes") - F.length(F.replace("codes", F.lit(c), F.lit("")))).cast("double") for c in CODES[: limits.n_common]]
+    common = [(F.size("lower") - F.size(F.array_remove("lower", F.get("common", F.lit(i))))).cast("double") for i in range(limits.n_common)]
     counted = F.slice(F.array(*common), F.lit(1), F.greatest(F.lit(0), F.size("word_shares") - 1))
-    rows = rows.withColumn("counted", counted)
-    rest = F.length("codes") - F.aggregate("counted", F.lit(0.0), lambda a, x: a + x)
+    rows = rows.withColumn("counted", counted).drop("lower")
+    rest = F.col("n_words") - F.aggregate("counted", F.lit(0.0), lambda a, x: a + x)
     rows = rows.withColumn("counted", F.concat("counted", F.array(rest)))
     failed = (F.col("n_words") < limits.min_words) | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words"))
     char_js = F.when((F.col("n_chars") >= limits.char_guard) & F.col("char_shares").isNotNull(), js_distance(_shares(F.col("classes")), F.col("char_shares")))

@@ -18,6 +18,7 @@ from quantloom.plans.oracles import DIGITS, r, rounded
 from quantloom.schema import FEATURES, KEY, ORDER, TARGETS
 from quantloom.sources import bars as B
 from quantloom.sources.stage import stage, stage_folder
+from quantloom.streaming.ingest import store_delivery
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -983,6 +984,18 @@ def _(spark, sf):
     return B.read_bars(spark, path, ["1-URGENT", "5-LOW"], "1997-01-01", "2001-01-01")
 
 
+@query("ingest_two_batches", f"SELECT ticker, date, open, high, low, close, volume FROM ({Q.ORDER_BARS})")
+def _(spark, sf):
+    # one run date in three batches, the last of them one bar for each key
+    bars = stage(order_bars(spark, sf).withColumn("seq", F.lit(0).cast("long")), "bars")
+    newest = bars.groupBy(KEY).agg(F.max(ORDER).alias("newest"))
+    parts = stage(bars.join(newest, KEY).withColumn("part", F.when(F.col(ORDER) == F.col("newest"), 2).when(F.year(ORDER) < 1998, 0).otherwise(1)).drop("newest"), "parts")
+    root = _new_root(spark, "batches")
+    for n in range(3):
+        store_delivery(parts.filter(F.col("part") == n).drop("part"), root, "2002-01-01", batch=n)
+    return B.read_bars(spark, f"{root}/bars")
+
+
 @query("write_read_features", f"WITH {Q.features_cte(Q.ORDER_BARS)} SELECT ticker, date, {rounded(FEATURES)} FROM f WHERE {Q.WARM}")
 def _(spark, sf):
     path = _new_root(spark, "features")

@@ -84,6 +84,20 @@ def bars_from_ticks(
     )
 
 
+STORED_SCHEMA = T.StructType(
+    [*BAR_SCHEMA.fields, T.StructField("run_date", T.StringType()), T.StructField("batch", T.LongType())]
+)
+
+
+def stored_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Stored bars as they were delivered, with ``run_date`` and ``batch``; no rows where nothing is stored yet."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(sc._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], STORED_SCHEMA)
+    return spark.read.schema(STORED_SCHEMA).parquet(path)
+
+
 def read_bars(
     spark: SparkSession,
     path: str,
@@ -94,14 +108,13 @@ def read_bars(
     """Stored bars of all or some keys, ``start`` included and ``end`` excluded, latest run first in line.
 
     Key and run date are directory columns, so both filters prune files; the date filter reaches the parquet scan.
-    Rows that several runs delivered are reduced to the newest by ``dedup_latest``.
+    Rows that several runs, or several batches of a run, delivered are reduced to the newest by ``dedup_latest``.
     """
-    schema = T.StructType([*BAR_SCHEMA.fields, T.StructField("run_date", T.StringType())])
-    bars = spark.read.schema(schema).parquet(path)
+    bars = spark.read.schema(STORED_SCHEMA).parquet(path)
     if keys is not None:
         bars = bars.filter(F.col(KEY).isin(list(keys)))
     bars = date_range(bars, start, end)
-    return dedup_latest(bars.withColumn("seq", F.lit(0).cast("long")))
+    return dedup_latest(bars, seq="batch")
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
@@ -212,9 +225,10 @@ def _write(df: DataFrame, path: str, partitions: list[str], sort: list[str]) ->
     )
 
 
-def write_bars(bars: DataFrame, path: str, run_date: str) -> None:
-    """Store one run. Writing the same run date again replaces it and leaves other runs alone."""
-    _write(bars.withColumn("run_date", F.lit(run_date)), path, [KEY, "run_date"], [ORDER])
+def write_bars(bars: DataFrame, path: str, run_date: str, batch: int = 0) -> None:
+    """Store one batch of a run. Writing the same batch again replaces it and leaves other batches and runs alone."""
+    run = {"run_date": F.lit(run_date), "batch": F.lit(batch).cast("long")}
+    _write(bars.withColumns(run), path, [KEY, "run_date", "batch"], [ORDER])
 
 
 def write_features(features: DataFrame, path: str) -> None:

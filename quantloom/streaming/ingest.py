@@ -5,22 +5,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantloom.operators.validate import Limits, route_valid, validate_bars
-from quantloom.sources.bars import dedup_first, drop_empty_prices, write_bars
+from quantloom.schema import BAR_SCHEMA, KEY
+from quantloom.sources.bars import dedup_first, dedup_latest, drop_empty_prices, stored_runs, write_bars
 from quantloom.sources.stage import stage
 
 
+def _like(rows: DataFrame, bars: DataFrame) -> DataFrame:
+    """Stored rows with the columns and types of a delivery, so that its checks see the delivery's own shape."""
+    shared = [c for c in BAR_SCHEMA.names if c in bars.columns]
+    return rows.select(*[F.col(c).cast(bars.schema[c].dataType).alias(c) for c in shared], "run_date", "batch")
+
+
 def store_delivery(
-    delivery: DataFrame, root: str, run_date: str, seq: str = "seq", limits: Limits = Limits()
+    delivery: DataFrame, root: str, run_date: str, seq: str = "seq", limits: Limits = Limits(), batch: int = 0
 ) -> DataFrame:
-    """Reduce one delivery to one row per key and date, check it, store the keys that pass. Returns the report."""
+    """Reduce one delivery to one row per key and date, check it, store the keys that pass. Returns the report.
+
+    A delivery may be an increment of any size: what is checked is the series that reading would give, stored bars and
+    new ones. Rows of a key whose only fault is too few rows are held and join its next delivery, until the key is
+    stored. The same ``run_date`` and ``batch`` again replace what they had written.
+    """
     bars = stage(drop_empty_prices(dedup_first(delivery, seq)), "delivery")
-    report = stage(validate_bars(bars, limits=limits), "report")
-    good, _bad = route_valid(bars, report)
-    write_bars(good, f"{root}/bars", run_date)
-    report.write.mode("overwrite").parquet(f"{root}/reports/run_date={run_date}")
+    keys = bars.select(KEY).distinct()
+    run = {"run_date": F.lit(run_date), "batch": F.lit(batch).cast("long")}
+    other = (F.col("run_date") != run_date) | (F.col("batch") != batch)
+
+    def earlier(name: str) -> DataFrame:
+        rows = stored_runs(delivery.sparkSession, f"{root}/{name}").filter(other)
+        return _like(rows.join(keys, KEY, "left_semi"), bars)
+
+    stored = earlier("bars")
+    held = earlier("held").join(stored.select(KEY).distinct(), KEY, "left_anti")
+    fresh = held.unionByName(bars.withColumns(run), allowMissingColumns=True)
+    fresh = stage(dedup_latest(fresh, seq="batch"), "fresh")
+    series = stored.unionByName(fresh.withColumns(run), allowMissingColumns=True)
+    report = stage(validate_bars(dedup_latest(series, seq="batch"), limits=limits), "report")
+    good, _bad = route_valid(fresh, report)
+    write_bars(good, f"{root}/bars", run_date, batch)
+    short = report.filter((F.size("errors") == 1) & F.col("errors")[0].startswith("row_count:"))
+    write_bars(bars.join(short.select(KEY), KEY, "left_semi"), f"{root}/held", run_date, batch)
+    report.write.mode("overwrite").parquet(f"{root}/reports/run_date={run_date}/batch={batch}")
     return report
 
 
@@ -37,13 +65,14 @@ def ingest_new_files(
 ) -> None:
     """Process all files of ``source`` not seen before and stop.
 
-    All new files form one batch. A batch that is repeated after a failure replaces what it had written, as the run
-    date is part of the path. ``prepare`` turns source rows into bars with an arrival number in ``seq``.
+    All new files form one batch. A batch that is repeated after a failure replaces what it had written, as run date
+    and batch number are part of the path; several batches of a date stand side by side, and on one bar the last one
+    wins. A root needs a checkpoint of its own, as batch numbers come from there. ``prepare`` turns source rows into bars with an arrival number in ``seq``.
     """
 
-    def one_batch(batch: DataFrame, _batch_id: int) -> None:
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            store_delivery(prepare(batch), root, run_date, seq, limits)
+            store_delivery(prepare(batch), root, run_date, seq, limits, batch_id)
 
     (
         spark.readStream.schema(schema)

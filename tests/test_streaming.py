@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from quantloom.schema import BAR_SCHEMA
 from quantloom.sources.bars import read_bars
-from quantloom.streaming.ingest import ingest_new_files
+from quantloom.streaming.ingest import ingest_new_files, store_delivery
 
 
 def test_only_new_files_are_taken_and_later_runs_win(spark, tmp_path):
@@ -39,3 +39,45 @@ def test_only_new_files_are_taken_and_later_runs_win(spark, tmp_path):
     reports = spark.read.parquet(f"{root}/reports")
     assert reports.filter("run_date = '2024-01-01' AND NOT passed").first().ticker == "SHORT"
     assert reports.filter("run_date = '2024-01-03'").count() == 0
+
+
+def test_increments_of_any_size_add_up(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = random_walk(40, 1, "AAA")
+    small = random_walk(12, 2, "0700")
+
+    def store(frame, batch, day="2024-01-01"):
+        df = to_bars(spark, frame).withColumn("seq", F.lit(0).cast("long"))
+        report = store_delivery(df, root, day, batch=batch).collect()
+        return {r.ticker: r.passed for r in report}
+
+    def count(key):
+        return read_bars(spark, f"{root}/bars").filter(F.col("ticker") == key).count()
+
+    # two batches of one date, then one bar
+    assert store(pd.concat([rows.head(20), small.head(5)]), 0) == {"AAA": True, "0700": False}
+    assert store(rows.iloc[20:39], 1) == {"AAA": True}
+    assert store(pd.concat([rows.tail(1), small.iloc[5:9]]), 2) == {"AAA": True, "0700": False}
+    assert (count("AAA"), count("0700")) == (40, 0)
+    # held rows come in when there are enough; repeating a batch changes nothing
+    for _ in range(2):
+        assert store(small.iloc[9:11], 3, "2024-01-02") == {"0700": True}
+        assert count("0700") == 11
+    # a key that is stored no longer looks at its held rows
+    late = small.head(1).copy()
+    for c in ("open", "high", "low", "close"):
+        late[c] = 50.0
+    assert store(late, 4, "2024-01-03") == {"0700": True}
+    assert store(small.tail(1), 5, "2024-01-04") == {"0700": True}
+    stored = read_bars(spark, f"{root}/bars").filter("ticker = '0700'")
+    assert stored.count() == 12 and stored.filter("close = 50").count() == 1
+    assert spark.read.parquet(f"{root}/reports").select("batch").distinct().count() == 6
+
+
+def test_a_bad_increment_is_not_held(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = to_bars(spark, random_walk(20, 1, "AAA")).withColumn("seq", F.lit(0).cast("long"))
+    store_delivery(rows, root, "2024-01-01")
+    store_delivery(rows.limit(3).withColumn("close", F.lit(-5.0)), root, "2024-01-02")
+    assert read_bars(spark, f"{root}/bars").filter("close < 0").count() == 0
+    assert store_delivery(rows.limit(1), root, "2024-01-03").first().passed

@@ -828,7 +828,7 @@ def _(spark, sf):
     return _column_view(drift.column_drift(*_pair(spark, sf, event_bars, HOURLY), series=HOURLY))
 
 
-_CURRENT_BARS = f"SELECT * FROM ({Q.ORDER_BARS}) WHERE date >= DATE '{ORDERS_ASOF}' - INTERVAL 180 DAY AND date < TIMESTAMP '{ORDERS_ASOF}' AND ticker <> '5-LOW'"
+_CURRENT_BARS = f"SELECT * FROM ({Q.ORDER_BARS}) WHERE date >= DATE '{ORDERS_ASOF}' - INTERVAL 180 DAY AND date < TIMESTAMP '{ORDERS_ASOF}'"
 
 
 _TWO_SETS = f"""WITH {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'),
@@ -846,11 +846,11 @@ dd AS (SELECT ks.ticker, coalesce(share > 0.1::DOUBLE, false) AS drift_detected,
 def _sides(spark, sf):
     """Split history, features of the last 120 days, and the keys to report.
 
-    One key has no current bars and one no bars at all. Bars and features are stored first, as later steps share them.
+    One key has no bars at all. Bars and features are stored first, as later steps share them.
     """
     bars = stage(order_bars(spark, sf), "bars")
     history = stage(prep.chrono_split(compute_features(bars)), "split")
-    recent = B.lookback(bars, 120, ORDERS_ASOF).filter(F.col(KEY) != "5-LOW")
+    recent = B.lookback(bars, 120, ORDERS_ASOF)
     current = stage(compute_features(recent), "current")
     return history, current, keys_of(bars).union(validate.requested_keys(bars, ["NONE"]))
 

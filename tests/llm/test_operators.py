@@ -243,3 +243,17 @@ def test_near_duplicates_equal_brute_force(spark, odd_docs, no_docs):
     want = brute_near([(r.doc_id, r.text) for r in odd_docs.where("doc_id is not null").collect()])
     assert len(few) == 13 and {r.doc_id: (r.n_shingles, r.component_id) for r in few if r.doc_id is not None} == want
     assert odd_sketch.keep_one_each(odd_docs).columns == odd_docs.columns and odd_sketch.near_duplicates(no_docs).count() == 0
+
+
+def test_small_pairs_at_the_limit_are_linked(spark):
+    rows, want = [], {}
+    for common, union in ((6, 8), (9, 12), (12, 16), (13, 17), (15, 20), (16, 21), (30, 40), (38, 50), (75, 100), (150, 200), (300, 400), (14, 19), (74, 99)):
+        for k in range(60):
+            i, rest = len(rows), union - common
+            shared = " ".join(f"c{i}x{n}" for n in range(common + 4))
+            for d, own in ((i, rest // 2), (i + 1, rest - rest // 2)):
+                rows.append((d, " ".join([f"d{d}x{n}" for n in range(own)] + [shared])))
+                want[d] = (common + own, i if 100 * common >= 75 * union else d)
+    assert brute_near(rows[:300]) == {i: want[i] for i in range(300)}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in odd_sketch.near_duplicates(docs).collect()} == want

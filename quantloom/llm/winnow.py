@@ -1,11 +1,12 @@
-"""Line de-duplication by winnowing.
-
-Lines with words are hashed. From each line starts a window, the shortest run of lines with at least ``min_words`` words;
-its minimum is the line of the least hash. The minimum, marked with the hash of the window that chose it, is a
-fingerprint: any run of at least ``min_words`` words that occurs twice holds a whole window, so both places have it, and a
-line that is common by itself ties nothing together. Each place of a fingerprint is joined with its first place, in the
-order of (id, line); the match is extended line by line both ways, and of a matched run of at least ``min_words`` words
-the later one is deleted. Places are joined with one first place only, so a passage in n documents makes n - 1 matches.
+"""Line de-duplication by windows of lines.
+
+Lines with words are hashed. From each line starts a window, the shortest run of lines with at least ``min_words`` words,
+and at each line ends one, the shortest such run backwards. Of a run of at least ``min_words`` words that occurs earlier,
+every line lies in a window of one of the two kinds inside the run: take the smallest part of the run that holds the line
+and enough words; it has the line at one end, or loses too much with either end line, and so is a window. The same holds
+for two neighbouring lines unless each has enough words alone; such two are a window of a third kind, for the lines without
+words between them. So the lines to delete are those of all windows but the first place of each, in the order of
+(id, line), whichever earlier place a run repeats. A passage in n documents makes n - 1 rows for each of its windows.
 """
 
 from __future__ import annotations
@@ -26,44 +27,48 @@ def _lines(text: Column) -> Column:
 
 
 def _windows(lines: Column, min_words: int) -> Column:
-    """For each line the window that starts there: struct of k (hash of its lines), at (place of its minimum), full."""
+    """The windows that start or end at each line: structs of k (hash of kind and lines), a and b (first and last place).
+
+    A run that is a window both ways is so wherever it occurs, and is listed once.
+    """
 
     def fold(acc: Column, x: Column) -> Column:
-        less = x["h"] < acc["least"]
-        more = F.struct(
-            (acc["words"] + x["w"]).alias("words"), F.xxhash64(acc["k"], x["h"]).alias("k"), F.least(acc["least"], x["h"]).alias("least"),
-            F.when(less | (acc["n"] == 0), acc["n"]).otherwise(acc["at"]).alias("at"), (acc["n"] + 1).alias("n"),
-        )
+        more = F.struct((acc["words"] + x["w"]).alias("words"), F.xxhash64(acc["k"], x["h"]).alias("k"), (acc["n"] + 1).alias("n"), x["w"].alias("end"))
         return F.when(acc["words"] >= min_words, acc).otherwise(more)
 
-    start = F.struct(
-        F.lit(0).alias("words"), F.lit(0).cast("long").alias("k"), F.lit((1 << 63) - 1).alias("least"), F.lit(0).alias("at"), F.lit(0).alias("n")
-    )
+    def start(kind: int) -> Column:
+        return F.struct(F.lit(0).alias("words"), F.lit(kind).cast("long").alias("k"), F.lit(0).alias("n"), F.lit(0).alias("end"))
 
-    def window(x: Column, p: Column) -> Column:
-        # every line has a word, so min_words lines are enough
-        run = F.aggregate(F.slice(lines, p + 1, F.lit(min_words)), start, fold)
-        return F.struct(run["k"].alias("k"), (p + run["at"]).alias("at"), (run["words"] >= min_words).alias("full"), p.alias("p"))
+    # every line has a word, so min_words lines are enough
+    def forwards(x: Column, p: Column) -> Column:
+        run = F.aggregate(F.slice(lines, p + 1, F.lit(min_words)), start(0), fold)
+        return F.struct(run["k"].alias("k"), p.alias("a"), (p + run["n"] - 1).alias("b"), (run["words"] >= min_words).alias("full"))
 
-    return F.filter(F.transform(lines, window), lambda f: f["full"])
+    def backwards(x: Column, p: Column) -> Column:
+        before = F.least(p + 1, F.lit(min_words))
+        run = F.aggregate(F.reverse(F.slice(lines, p + 2 - before, before)), start(1), fold)
+        # without its last line too short: the window that starts at its first line
+        return F.struct(run["k"].alias("k"), (p - run["n"] + 1).alias("a"), p.alias("b"), ((run["words"] >= min_words) & (run["words"] - x["w"] >= min_words)).alias("full"))
 
+    def both(x: Column, p: Column) -> Column:
+        after = F.get(lines, p + 1)
+        full = (x["w"] >= min_words) & F.coalesce(after["w"] >= min_words, F.lit(False))
+        return F.struct(F.xxhash64(F.lit(2), x["h"], after["h"]).alias("k"), p.alias("a"), (p + 1).alias("b"), full.alias("full"))
 
-def _runs(matched: Column, min_words: int) -> Column:
-    """Maximal runs of matched lines with at least ``min_words`` words, as the places of their lines.
+    return F.filter(F.concat(*[F.transform(lines, kind) for kind in (forwards, backwards, both)]), lambda f: f["full"])
 
-    ``matched``: structs of p (place), w (words) and m (equal to its counterpart).
-    """
-    start = F.struct(F.lit(0).alias("words"), F.lit(-1).alias("since"), F.array().cast("array<struct<a:int,b:int>>").alias("found"))
+
+def _merged(windows: Column) -> Column:
+    """Sorted runs (a, b) of which those that share a line are one."""
+    run = "struct<a:int,b:int>"
+    start = F.struct(F.lit(None).cast(run).alias("last"), F.array().cast(f"array<{run}>").alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
-        ended = F.when(acc["words"] >= min_words, F.concat(acc["found"], F.array(F.struct(acc["since"].alias("a"), (x["p"] - 1).alias("b"))))).otherwise(acc["found"])
-        going = F.struct((acc["words"] + x["w"]).alias("words"), F.when(acc["since"] < 0, x["p"]).otherwise(acc["since"]).alias("since"), acc["found"].alias("found"))
-        over = F.struct(F.lit(0).alias("words"), F.lit(-1).alias("since"), ended.alias("found"))
-        return F.when(x["m"], going).otherwise(over)
+        longer = F.struct(F.struct(acc["last"]["a"].alias("a"), F.greatest(acc["last"]["b"], x["b"]).alias("b")).alias("last"), acc["found"].alias("found"))
+        found = F.when(acc["last"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], F.array(acc["last"])))
+        return F.when(x["a"] <= acc["last"]["b"], longer).otherwise(F.struct(x.alias("last"), found.alias("found")))
 
-    # a last line that matches nothing closes an open run
-    closed = F.concat(matched, F.array(F.struct(F.size(matched).alias("p"), F.lit(0).alias("w"), F.lit(False).alias("m"))))
-    return F.aggregate(closed, start, step)["found"]
+    return F.aggregate(F.array_sort(windows), start, step, lambda acc: F.concat(acc["found"], F.array(acc["last"])))
 
 
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -73,30 +78,17 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     """
     t = whole(text)
     rows = docs.select(F.xxhash64(F.lit(3), F.col(doc_id), t).alias("key"), F.col(doc_id).alias("id"), _lines(t).alias("lines"))
-    rows = stage(rows, "winnow-lines")
-    prints = rows.select("key", "id", F.explode(_windows(F.col("lines"), min_words)).alias("f")).select(
-        "key", "id", F.xxhash64("f.k", F.col("f.at") - F.col("f.p")).alias("print"), F.col("f.at").alias("at")
-    )
+    prints = rows.select("key", "id", "lines", F.explode(_windows(F.col("lines"), min_words)).alias("f")).select(
+        "key", "id", F.col("f.k").alias("print"), F.col("f.a").alias("at"),
+        F.get("lines", F.col("f.a"))["i"].alias("a"), F.get("lines", F.col("f.b"))["i"].alias("b"),
+    )
     prints = stage(prints, "winnow-prints")
     place = F.struct("id", "key", "at")
     first = prints.groupBy("print").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = stage(first.where("first <> last").select("print", F.col("first.key").alias("key0"), F.col("first.at").alias("at0")), "winnow-first")
     # both sides are stored, so that a passage with very many places is split
-    links = prints.join(first, "print").where("key <> key0 or at <> at0")
-    links = links.select("key", "key0", (F.col("at") - F.col("at0")).alias("off")).distinct()
-    links = stage(links, "winnow-links")
-    lines = stage(rows.select("key", "lines").join(links.select("key").union(links.select("key0")).distinct(), "key", "left_semi").groupBy("key").agg(F.first("lines").alias("lines")), "winnow-linked")
-    both = links.join(lines, "key").join(lines.select(F.col("key").alias("key0"), F.col("lines").alias("lines0")), "key0")
-    matched = F.transform(
-        "lines",
-        lambda x, p: F.struct(
-            p.alias("p"), x["w"].alias("w"),
-            F.when(p >= F.col("off"), x["h"].eqNullSafe(F.get("lines0", p - F.col("off"))["h"])).otherwise(False).alias("m"),
-        ),
-    )
-    runs = both.select("key", "lines", matched.alias("matched")).select("key", "lines", F.explode(_runs(F.col("matched"), min_words)).alias("run"))
-    cut = F.struct(F.get("lines", F.col("run.a"))["i"].alias("a"), F.get("lines", F.col("run.b"))["i"].alias("b"))
-    return runs.select("key", cut.alias("cut")).groupBy("key").agg(F.collect_set("cut").alias("gone"))
+    later = prints.join(first, "print").where("key <> key0 or at <> at0")
+    return later.groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("cuts")).select("key", _merged(F.col("cuts")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, report: bool = False) -> DataFrame:

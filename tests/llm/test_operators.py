@@ -257,3 +257,31 @@ def test_small_pairs_at_the_limit_are_linked(spark):
     assert brute_near(rows[:300]) == {i: want[i] for i in range(300)}
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in odd_sketch.near_duplicates(docs).collect()} == want
+
+
+def every_place(docs, least):
+    """Delete, in order, every line of a run of at least ``least`` words that starts at any earlier place too."""
+    order = sorted((i, t) for i, t in docs)
+    lines = {k: [(n, x, len(x.split())) for n, x in enumerate(k[1].split("\n")) if x.split()] for k in order}
+    places, gone = [(k, p) for k in order for p in range(len(lines[k]))], {k: set() for k in order}
+    for at, (k, p) in enumerate(places):
+        for k0, p0 in places[:at]:
+            n = 0
+            while p + n < len(lines[k]) and p0 + n < len(lines[k0]) and lines[k][p + n][1] == lines[k0][p0 + n][1]:
+                n += 1
+            if n and sum(w for _, _, w in lines[k][p : p + n]) >= least:
+                gone[k] |= set(range(lines[k][p][0], lines[k][p + n - 1][0] + 1))
+    return {k[0]: "\n".join(x for n, x in enumerate(k[1].split("\n")) if n not in gone[k]) for k in order}
+
+
+def test_winnow_compares_every_earlier_place(spark):
+    rng = np.random.default_rng(7)
+    word = lambda name, n: " ".join(f"{name}{j}" for j in range(n))
+    head, tail = word("x", 60), word("y", 30)
+    rows = [(1, head), (2, f"{head}\n{tail}"), (3, f"{head}\n\n{tail}\nown end"), (4, f"{tail}\n{head}"), (5, f"{tail}\n{head}\n\n{word('z', 55)}"), (6, f"{head}\n\n{word('z', 55)}")]
+    got = {r.doc_id: r.text for r in winnow.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == every_place(rows, 50) and got[3] == "own end" and got[2] == tail and got[6] == ""
+    pool = [word(f"p{i}w", int(n)) for i, n in enumerate(rng.integers(1, 30, 9))] + [""]
+    rows = [(i, "\n".join(pool[int(x)] for x in rng.integers(0, len(pool), 9))) for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in winnow.dedup_lines(docs, min_words=20).collect()} == every_place(rows, 20)

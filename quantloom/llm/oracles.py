@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quantloom.llm.divergence import CLASSES, MARKS, Limits
+from quantloom.llm.imatch import BETWEEN, COMMONEST, FEWEST, RAREST, SUBSETS
 from quantloom.llm.url_rules import LOWER, UPPER
 
 WORDS = r"regexp_extract_all({t}, '[^\x20\x09-\x0D]+')"
@@ -90,4 +91,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-ORACLES = {"op4_divergence": _quality(), "op6_snapshots": SNAPSHOTS, "op9_exact_dedup": EXACT, "op10_odd_sketch": NEAR}
+def _fingerprints() -> str:
+    joined = "md5(string_agg(term, ' ' ORDER BY term){f})"
+    subsets = [f"coalesce(left({joined.format(f=f" FILTER (WHERE h % {p} = 0)")}, 8), '')" for p in SUBSETS]
+    empty = ", ".join("''" for _ in SUBSETS)
+    near = """list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] = {b}[i] AND {a}[i] <> '')::INT))::DOUBLE
+      / list_sum(list_transform(range(1, len({a}) + 1), lambda i: ({a}[i] <> '' OR {b}[i] <> '')::INT))::DOUBLE"""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+o AS (SELECT *, length(t) AS n, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS nid
+      FROM d WINDOW w AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, nid, n, t, substr(t, 1, n - n // 2) || substr(nt, 1, n // 2) AS x FROM o),
+b AS (SELECT doc_id, 0 AS k, t AS s FROM e UNION ALL SELECT doc_id, 1, x FROM e),
+w AS (SELECT DISTINCT doc_id, k, unnest(regexp_extract_all(lower(s), '{BETWEEN.replace("[", "[^")}')) AS term FROM b),
+f AS (SELECT term FROM w WHERE k = 0 GROUP BY 1 HAVING count(*) * {RAREST} >= (SELECT count(*) FROM d) AND count(*) * {COMMONEST} <= (SELECT count(*) FROM d)),
+m AS (SELECT w.*, f.term IS NOT NULL AS band FROM w LEFT JOIN f ON w.term = f.term),
+c AS (SELECT *, count(*) FILTER (WHERE band) OVER (PARTITION BY doc_id, k) AS nb FROM m),
+h AS (SELECT doc_id, k, term, ('0x' || left(md5(term), 15))::BIGINT AS h FROM c WHERE band OR nb < {FEWEST}),
+p AS (SELECT doc_id, k, [left({joined.format(f="")}, 16), {", ".join(subsets)}] AS parts FROM h GROUP BY 1, 2),
+q AS (SELECT b.doc_id, b.k, coalesce(parts, [left(md5(s), 16), {empty}]) AS parts FROM b LEFT JOIN p ON p.doc_id = b.doc_id AND p.k = b.k)
+SELECT e.doc_id, n AS n_chars, sha256(x) AS edited_sha256, array_to_string(q0.parts, '-') AS fingerprint, array_to_string(q1.parts, '-') AS edited_fingerprint,
+       {near.format(a="q0.parts", b="q1.parts")} AS near_edited, {near.format(a="q0.parts", b="q2.parts")} AS near_next
+FROM e JOIN q q0 ON q0.doc_id = e.doc_id AND q0.k = 0 JOIN q q1 ON q1.doc_id = e.doc_id AND q1.k = 1 JOIN q q2 ON q2.doc_id = e.nid AND q2.k = 0
+"""
+
+
+ORACLES = {"op4_divergence": _quality(), "op6_snapshots": SNAPSHOTS, "op9_exact_dedup": EXACT, "op10_odd_sketch": NEAR, "op13_imatch": _fingerprints()}

@@ -9,7 +9,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.llm import divergence, mixing, odd_sketch, oracles, packing, refine, snapshots, token_counts, token_store, url_rules, winnow
+from quantloom.llm import (
+    divergence,
+    imatch,
+    mixing,
+    odd_sketch,
+    oracles,
+    packing,
+    periodic,
+    refine,
+    snapshots,
+    spelling,
+    token_counts,
+    token_store,
+    url_rules,
+    winnow,
+)
 from quantloom.llm.common import read
 from quantloom.sources.stage import stage_folder
 
@@ -74,6 +89,18 @@ def op10_odd_sketch(spark: SparkSession, sf: str) -> DataFrame:
     return odd_sketch.near_duplicates(read(spark, sf, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(read(spark, sf, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.periodic_runs(read(spark, sf, "documents"))
+
+
+def op13_imatch(spark: SparkSession, sf: str) -> DataFrame:
+    return imatch.fingerprint_report(read(spark, sf, "documents"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mixture_packing, op2_token_store, op3_url_rules, op4_divergence, op5_entropy_mix, op6_snapshots, op7_winnow_lines,
-        op8_token_counts, op9_exact_dedup, op10_odd_sketch, pipeline,
+        op8_token_counts, op9_exact_dedup, op10_odd_sketch, op11_spelling_variants, op12_periodic_runs, op13_imatch, pipeline,
     )
 }
 ORACLES: dict[str, str] = oracles.ORACLES

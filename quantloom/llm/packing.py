@@ -8,6 +8,10 @@ token a source as long as the queues last; a source that runs dry leaves its sha
 The counter after window i follows from i alone: it is the share that the source has earned until the time at which all
 sources together have handed over (i + 1) windows, less the whole tokens given. So the deficits are carried across
 partitions without passing anything between tasks: each task works out the state of the windows its documents meet.
+
+Up to ``FAN`` sources take turns in one round. More are grouped, and a group is a queue that is itself filled by turns,
+window by window; so the work on a document grows with the number of levels, not of sources. A window then holds each
+group's share to the token, and each source's over as many tokens as its group needs for a window.
 """
 
 from __future__ import annotations
@@ -26,9 +30,8 @@ from quantloom.llm.common import whole
 from quantloom.sources.stage import stage
 
 WINDOW = 2048
-# the mixture is a table in the driver; a corpus with more sources is to be grouped first
-MOST_SOURCES = 100_000
-CHUNK_CELLS = 1 << 21
+FAN = 64
+CELLS = 1 << 20
 
 PIECES = (
     "doc_id string, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -36,52 +39,120 @@ PIECES = (
 
 
 class Schedule:
-    """Tokens that each source has handed over after each window; a pure function of the totals and weights."""
+    """Tokens that each queue has handed over after each window; a pure function of the totals and weights."""
 
     def __init__(self, totals: np.ndarray, weights: np.ndarray, window: int):
         self.totals, self.weights, self.window = totals.astype(np.int64), weights.astype(float), window
         self.all = int(self.totals.sum())
-        self.end = float((self.totals / self.weights).max()) + 1 if len(totals) else 1.0
+        # time without rounding: between two queues' ends all others hand over at a constant rate
+        ends = self.totals / self.weights
+        order = np.argsort(ends, kind="stable")
+        self.ends = np.concatenate([[0.0], ends[order]])
+        rates = np.cumsum(self.weights[order][::-1])[::-1]
+        self.rates = np.concatenate([rates, [rates[-1] if len(rates) else 1.0]])
+        self.reached = np.concatenate([[0.0], np.cumsum(np.diff(self.ends) * rates)])
+
+    def _time(self, tokens: np.ndarray) -> np.ndarray:
+        """When all queues have handed over so many tokens, without rounding."""
+        at = np.clip(np.searchsorted(self.reached, tokens, side="right") - 1, 0, len(self.reached) - 1)
+        return np.maximum(0.0, self.ends[at] + (tokens - self.reached[at]) / self.rates[at])
 
     def _given(self, time: np.ndarray) -> np.ndarray:
-        """Tokens due by a time, source by source: half a token early or late at most, never beyond the queue."""
+        """Tokens due by a time, queue by queue: half a token early or late at most, never beyond the queue."""
         return np.minimum(np.floor(time[:, None] * self.weights + 0.5).astype(np.int64), self.totals)
 
     def after(self, windows: np.ndarray) -> np.ndarray:
-        """Rows: the cumulative tokens of each source after the window with this number (-1: before the first)."""
-        step = max(1, CHUNK_CELLS // max(1, len(self.totals)))
-        parts = [self._after(windows[i : i + step]) for i in range(0, len(windows), step)]
-        return np.concatenate(parts) if parts else np.zeros((0, len(self.totals)), np.int64)
-
-    def _after(self, windows: np.ndarray) -> np.ndarray:
+        """Rows: the cumulative tokens of each queue after the window with this number (-1: before the first)."""
         goal = np.minimum((windows + 1) * self.window, self.all)
-        low, high = np.zeros(len(goal)), np.full(len(goal), self.end)
-        for _ in range(80):
-            mid = (low + high) / 2
-            enough = self._given(mid).sum(axis=1) >= goal
-            high, low = np.where(enough, mid, high), np.where(enough, low, mid)
-        at, before = self._given(high), self._given(low)
-        before[goal == 0] = 0
-        at[goal == 0] = 0
-        # several sources may be due at the same time: they are served in their order
-        due = at - before
-        left = goal - before.sum(axis=1)
-        ahead = np.cumsum(due, axis=1) - due
-        return before + np.clip(left[:, None] - ahead, 0, due)
-
-    def window_of(self, source: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bounds on the window that holds the token at this place of its source's queue."""
-        time = (token + 0.5) / self.weights[source]
-        rank = np.zeros(len(time))
-        step = max(1, CHUNK_CELLS // max(1, len(self.totals)))
-        for i in range(0, len(time), step):
-            rank[i : i + step] = np.minimum(time[i : i + step, None] * self.weights, self.totals).sum(axis=1)
+        # rounding moves the sum by at most half a token a queue
+        slack = len(self.totals) / 2 + 1 + goal * 1e-9
+        low, high = self._time(goal - slack), self._time(goal + slack)
+        while True:
+            before, at = self._given(low), self._given(high)
+            before[goal == 0] = 0
+            at[goal >= self.all] = self.totals
+            wide = np.nonzero((at - before).max(axis=1, initial=0) > 1)[0]
+            if not len(wide):
+                break
+            middle = (low[wide] + high[wide]) / 2
+            if ((middle <= low[wide]) | (middle >= high[wide])).all():
+                break
+            enough = self._given(middle).sum(axis=1) >= goal[wide]
+            high[wide], low[wide] = np.where(enough, middle, high[wide]), np.where(enough, low[wide], middle)
+        # at most one token of each queue is in question now: the earliest are served, of equal ones in the queues' order
+        due, left = at - before, goal - before.sum(axis=1)
+        when = np.where(due > 0, (before + 0.5) / self.weights, np.inf)
+        order = np.argsort(when, axis=1, kind="stable")
+        ahead = np.cumsum(np.take_along_axis(due, order, axis=1), axis=1) - np.take_along_axis(due, order, axis=1)
+        served = np.empty_like(due)
+        np.put_along_axis(served, order, np.clip(left[:, None] - ahead, 0, np.take_along_axis(due, order, axis=1)), axis=1)
+        return before + served
+
+    def window_of(self, queue: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds on the window that holds the token at this place of its queue."""
+        time = (token + 0.5) / self.weights[queue]
+        at = np.clip(np.searchsorted(self.ends, time, side="right") - 1, 0, len(self.ends) - 1)
+        rank = self.reached[at] + (time - self.ends[at]) * self.rates[at]
         slack = len(self.totals) + 2 + rank * 1e-9
         last = max(0, (self.all - 1) // self.window)
         low = np.clip((rank - slack) // self.window, 0, last).astype(np.int64)
         high = np.clip((rank + slack) // self.window, 0, last).astype(np.int64)
         return low, high
 
+    def cut(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Cut stretches of queues at the windows: (row, begin, length, window, offset), begin counted from the stretch's."""
+        low, high = self.window_of(queue, first)[0], self.window_of(queue, first + n - 1)[1]
+        meets = high - low + 1
+        step, parts = max(1, CELLS // max(1, len(self.totals))), []
+        piece = (np.cumsum(meets) - meets) // step
+        edges = [*np.searchsorted(piece, np.unique(piece)), len(piece)]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            for begin in range(0, int(meets[lo:hi].sum()), step):  # a very long stretch meets many windows by itself
+                row = np.repeat(np.arange(lo, hi), meets[lo:hi])
+                at = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(meets[lo:hi]) - meets[lo:hi], meets[lo:hi])
+                row, at = row[begin : begin + step], at[begin : begin + step]
+                wanted = np.unique(np.concatenate([at - 1, at]))
+                given = self.after(wanted)
+                here, back = np.searchsorted(wanted, at), np.searchsorted(wanted, at - 1)
+                taken = given[here] - given[back]
+                q = queue[row]
+                own = np.arange(len(row))
+                start, stop = given[back, q], given[here, q]
+                offset = np.cumsum(taken, axis=1)[own, q] - taken[own, q]
+                x = np.maximum(start, first[row])
+                y = np.minimum(stop, first[row] + n[row])
+                ok = y > x
+                parts.append(np.stack([row, x - first[row], y - x, at, offset + x - start])[:, ok])
+        found = np.concatenate(parts, axis=1) if parts else np.zeros((5, 0), np.int64)
+        return tuple(found)
+
+
+class Rounds:
+    """Schedules by level: the sources' turns in their groups, the groups' in theirs, up to one round of at most ``fan``."""
+
+    def __init__(self, totals: np.ndarray, weights: np.ndarray, window: int, fan: int = FAN):
+        self.window, self.fan, self.levels = window, fan, []
+        while True:
+            starts = np.arange(0, len(totals), fan)
+            self.levels.append([Schedule(totals[i : i + fan], weights[i : i + fan], window) for i in starts])
+            if len(totals) <= fan:
+                break
+            totals, weights = np.add.reduceat(totals, starts), np.add.reduceat(weights, starts)
+
+    def cut(self, source: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Cut stretches of the sources' queues: (row, begin, length, window, offset)."""
+        row, begin = np.arange(len(source)), np.zeros(len(source), np.int64)
+        for plans in self.levels:
+            group, parts = source // self.fan, []
+            for g in np.unique(group):
+                of = np.nonzero(group == g)[0]
+                k, x, length, window, offset = plans[g].cut(source[of] % self.fan, first[of], n[of])
+                parts.append(np.stack([row[of][k], begin[of][k] + x, length, window, offset, np.full(len(k), g)]))
+            row, begin, n, window, offset, source = np.concatenate(parts, axis=1)
+            first = window * self.window + offset  # the place in the group's own queue
+        order = np.lexsort((begin, row))
+        return row[order], begin[order], n[order], window[order], offset[order]
+
 
 def encode_queue(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str, source: str) -> DataFrame:
     """Stored rows (doc_id, source, n, part, local, ids): ids with the end id, and the tokens of the same source ahead in
@@ -128,11 +199,9 @@ def pack(
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     queue = encode_queue(docs, path, end_id, doc_id, text, source)
-    # one row for each partition and source: the running sum over them is the only step that follows the queues' order
+    # one row for each partition and source, and one for each source in the driver: the running sum over them is the only step that follows the queues' order
     blocks = stage(queue.groupBy("source", "part").agg(F.sum("n").alias("n")), "queue-blocks")
-    totals = blocks.groupBy("source").agg(F.sum("n").alias("n")).limit(MOST_SOURCES + 1).collect()
-    if len(totals) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources; group them first")
+    totals = blocks.groupBy("source").agg(F.sum("n").alias("n")).collect()
     totals = sorted(((r.source, r.n) for r in totals), key=lambda x: (x[0] is None, x[0] or ""))
     number = {s: i for i, (s, _) in enumerate(totals)}
     tokens = np.array([n for _, n in totals], dtype=np.int64)
@@ -147,39 +216,21 @@ def pack(
     placed = queue.join(ahead, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part")))
     placed = placed.select("doc_id", "source", "n", (F.col("before") + F.col("local")).alias("first"), "ids")
 
-    def cut_rows(part: pd.DataFrame, plan: Schedule, stored: str) -> list[tuple]:
-        names = [None if pd.isna(s) else s for s in part["source"]]
-        queue_of = np.array([number[s] for s in names], dtype=np.int64)
-        first, n = part["first"].to_numpy(np.int64), part["n"].to_numpy(np.int64)
-        low, _ = plan.window_of(queue_of, first)
-        _, high = plan.window_of(queue_of, first + n - 1)
-        wanted = np.unique(np.concatenate([np.arange(a - 1, b + 1) for a, b in zip(low, high, strict=True)]))
-        given = plan.after(wanted)
-        taken = np.diff(given, axis=0, prepend=given[:1])
-        offsets = np.cumsum(taken, axis=1) - taken
-        at, until = np.searchsorted(wanted, low - 1), np.searchsorted(wanted, high) + 1
-        out = []
-        for k, name in enumerate(names):
-            s, a = queue_of[k], at[k]
-            edges = given[a : until[k], s]  # after the window before the first one, after the first one, ...
-            begin = np.maximum(edges[:-1], first[k])
-            stop = np.minimum(edges[1:], first[k] + n[k])
-            ids = np.frombuffer(part["ids"].iat[k], dtype=stored).astype("<u4")
-            for j in np.nonzero(stop > begin)[0]:
-                x, y, w = int(begin[j] - first[k]), int(stop[j] - first[k]), a + 1 + j
-                place = int(offsets[w, s] + begin[j] - edges[j])
-                out.append((part["doc_id"].iat[k], name, x, y - x, zlib.crc32(ids[x:y]), int(n[k]), int(wanted[w]), place))
-        return out
-
     def cut(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        plan, stored = Schedule(tokens, rates, window), encoder(path).kind
+        plan, stored = Rounds(tokens, rates, window), encoder(path).kind
         for whole_part in parts:
             for at_row in range(0, len(whole_part), 512):
                 part = whole_part.iloc[at_row : at_row + 512]
-                out = cut_rows(part, plan, stored)
-                yield pd.DataFrame(
-                    out, columns=["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
-                ).astype({"doc_id": object, "source": object})
+                source = np.fromiter((number[None if s != s else s] for s in part["source"]), np.int64, len(part))
+                n = part["n"].to_numpy(np.int64)
+                row, begin, length, at, offset = plan.cut(source, part["first"].to_numpy(np.int64), n)
+                ids = memoryview(np.frombuffer(b"".join(part["ids"]), dtype=stored).astype("<u4")).cast("B")
+                place = 4 * ((np.cumsum(n) - n)[row] + begin)
+                crc = [zlib.crc32(ids[x:y]) for x, y in zip(place.tolist(), (place + 4 * length).tolist(), strict=True)]
+                yield pd.DataFrame({
+                    "doc_id": part["doc_id"].to_numpy(object)[row], "source": part["source"].to_numpy(object)[row], "start": begin,
+                    "length": length, "ids_crc32": crc, "doc_tokens": n[row], "sequence_id": at, "offset": offset,
+                })
 
     pieces = placed.mapInPandas(cut, PIECES)
     return pieces.select(F.col("doc_id").cast(kind).alias(doc_id), *[c for c in pieces.columns if c != "doc_id"])

@@ -56,6 +56,58 @@ def test_packing_holds_the_mixture_in_every_window():
     assert (heavy.after(np.arange(5))[:, 0] == [5, 10, 15, 20, 25]).all()
 
 
+def turns(totals, weights, window):
+    """Sequential round-robin: the queue whose next token is due first is served, until all are empty."""
+    given, at, out = [0] * len(totals), 0, []
+    while sum(given) < sum(totals):
+        taken = [0] * len(totals)
+        while sum(taken) < window and sum(given) < sum(totals):
+            s = min((k for k in range(len(totals)) if given[k] < totals[k]), key=lambda k: ((given[k] + 0.5) / weights[k], k))
+            given[s] += 1
+            taken[s] += 1
+        out += [(s, given[s] - n, n, at, sum(taken[:s])) for s, n in enumerate(taken) if n]
+        at += 1
+    return sorted(out)
+
+
+def test_schedule_equals_sequential_turns():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        size, window = int(rng.integers(1, 12)), int(rng.integers(3, 60))
+        totals = rng.integers(1, 300, size)
+        weights = totals if rng.random() < 0.4 else rng.integers(1, 9, size)
+        plan = packing.Rounds(totals, weights.astype(float), window)
+        row, begin, length, at, offset = plan.cut(np.arange(size), np.zeros(size, np.int64), totals)
+        assert sorted(zip(row.tolist(), begin.tolist(), length.tolist(), at.tolist(), offset.tolist())) == turns(totals.tolist(), weights.tolist(), window)
+        # deficits: what a queue is owed stays under one token while it and the others last
+        plan = packing.Schedule(totals, totals.astype(float), window)
+        owed = plan.after(np.arange(totals.sum() // window)) - (np.arange(totals.sum() // window)[:, None] + 1) * window * totals / totals.sum()
+        assert (abs(owed) <= 1).all()
+
+
+def test_thousands_of_sources_fill_every_window():
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    totals = rng.integers(1, 400, 3000)
+    plan = packing.Rounds(totals, totals.astype(float), 512)
+    tracemalloc.start()
+    row, begin, length, at, offset = plan.cut(np.arange(3000), np.zeros(3000, np.int64), totals)
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+    assert len(plan.levels) == 2 and (np.bincount(row, length) == totals).all()
+    fill = np.bincount(at, length)
+    assert (fill[:-1] == 512).all() and fill.sum() == totals.sum()
+    order = np.lexsort((offset, at))
+    ends = offset + length
+    assert (offset[order][1:] == np.where(at[order][1:] == at[order][:-1], ends[order][:-1], 0)).all()
+    # the groups' shares in every window
+    taken = np.zeros((len(fill), 47))
+    np.add.at(taken, (at, row // 64), length)
+    share = np.add.reduceat(totals, np.arange(0, 3000, 64)) / totals.sum()
+    assert (abs(taken[:-1] - 512 * share) <= 1.5).all()
+
+
 def test_token_store_round_trip(spark, odd_docs, ids):
     out = f"{stage_folder(spark)}/store-test-{id(odd_docs)}"
     token_store.write_store(odd_docs, PATH, out, partitions=3, shard_ids=50)

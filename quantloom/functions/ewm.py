@@ -5,17 +5,22 @@ running sums inside a block use weights q^-p for the position p in the block, so
 previous block enters as one carried value; older blocks would weigh at most q^block, which is below double precision
 for blocks of ``block_rows`` length. Nulls follow pandas with ``ignore_na=False``: a null row repeats the last value
 and widens the gap that discounts it.
+
+In a segmented series each segment is smoothed by itself first. What the rows before it add is an affine function of one
+state per mean: the last mean (or the sums behind it), its position and the number of values so far. Segments become one
+row each, their functions are composed by an associative scan in log2(segments) steps, and each segment gets the state
+it starts with. So the result is that of the whole key, however long a run of nulls is.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.operators.layout import DAILY, Series, lay_out
+from quantloom.operators.layout import DAILY, Layout, Series, lay_out
 
 _MAX_EXPONENT = 500.0  # exp(500) times any price stays far below the largest double
 
@@ -64,15 +69,95 @@ def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{sql} AS `{name}`" for name, sql in columns.items()]) if columns else df
 
 
-def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block: int) -> DataFrame:
-    """Add every mean in ``specs``. ``df`` needs ``_pos``, ``_blk`` and ``_p`` as made by ``add_blocks``."""
+def _ln(q: float) -> str:
+    return _num(math.log(q)) if q > 0 else "-1.0e6D"
+
+
+def _compose(df: DataFrame, maps: dict[str, tuple[str, list[str]]], part: str, rows: int) -> DataFrame:
+    """Prefix compositions of affine functions along ``_seg``: each of ``maps`` names a factor and its added terms.
+
+    In step k every row takes in the 2^k rows that end k rows before it; all steps share one sort.
+    """
+    step = 1
+    over = f"OVER (PARTITION BY {part} ORDER BY _seg)"
+    while step < rows:
+        df = _add(
+            df,
+            {f"_prev_{a}": f"lag({a}, {step}, 1D) {over}" for a, _ in maps.values()}
+            | {f"_prev_{b}": f"lag({b}, {step}, 0D) {over}" for _, terms in maps.values() for b in terms},
+        )
+        new = {b: f"{b} + {a} * _prev_{b}" for a, terms in maps.values() for b in terms} | {a: f"{a} * _prev_{a}" for a, _ in maps.values()}
+        df = df.selectExpr(*[f"`{c}`" for c in df.columns if c not in new and not c.startswith("_prev_")], *[f"{x} AS `{c}`" for c, x in new.items()])
+        step *= 2
+    return df
+
+
+def _starting_states(df: DataFrame, specs: list[Ewm], layout: Layout) -> DataFrame:
+    """A row per segment with what the rows before it hand over to each mean.
+
+    ``df`` holds the segments' own means. Columns: the key as ``_key``, ``_seg`` as ``_seg_in``; per column of values
+    the position of the last value and the number of values so far; per mean its last value, and the correction.
+    """
+    key = layout.part[0]
+    ends: dict[str, str] = {}
+    for s in specs:
+        known = f"CASE WHEN {s.col} IS NOT NULL THEN _pos END"
+        ends |= {f"_n_{s.col}": f"count({s.col})", f"_fp_{s.col}": f"min({known})", f"_lp_{s.col}": f"max({known})"}
+        if s.adjust:
+            ends |= {f"_{n}_{s.out}": f"max_by({x}, {known})" for n, x in (("en", f"_num_{s.out}"), ("ed", f"_den_{s.out}"))}
+        else:
+            ends |= {f"_x_{s.out}": f"min_by({s.col}, {known})", f"_y_{s.out}": f"max_by(_mean_{s.out}, {known})", f"_e_{s.out}": f"max_by(_left_{s.out}, {known})"}
+    summary = df.groupBy(key, "_seg").agg(*[F.expr(x).alias(n) for n, x in ends.items()])
+    before = f"OVER (PARTITION BY {key} ORDER BY _seg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    state = {}
+    for c in dict.fromkeys(s.col for s in specs):
+        state |= {f"_inpos_{c}": f"last(_lp_{c}, true) {before}", f"_incnt_{c}": f"coalesce(sum(_n_{c}) {before}, 0L)"}
+    summary = _add(summary, state)
+    # the function of each segment: factor and added term; none without values, constant where nothing came before
+    maps, weights, columns = {}, {}, {}
+    for s in specs:
+        a, none = f"_a_{s.out}", f"_n_{s.col} = 0"
+        if s.adjust:
+            columns[a] = f"CASE WHEN {none} THEN 1D WHEN _inpos_{s.col} IS NULL THEN 0D ELSE {_power(s.q, f'_lp_{s.col} - _inpos_{s.col}')} END"
+            columns |= {f"_b{n}_{s.out}": f"CASE WHEN {none} THEN 0D ELSE _{n}_{s.out} END" for n in ("en", "ed")}
+            maps[s.out] = (a, [f"_ben_{s.out}", f"_bed_{s.out}"])
+            continue
+        gap = _power(s.q, f"_fp_{s.col} - _inpos_{s.col}")
+        weights[f"_w_{s.out}"] = f"CASE WHEN {none} OR _inpos_{s.col} IS NULL THEN 0D ELSE {gap} / ({gap} + {_num(s.alpha)}) END"
+        columns[a] = f"CASE WHEN {none} THEN 1D ELSE _e_{s.out} * _w_{s.out} END"
+        columns[f"_b_{s.out}"] = f"CASE WHEN {none} THEN 0D ELSE _y_{s.out} - _e_{s.out} * _w_{s.out} * _x_{s.out} END"
+        maps[s.out] = (a, [f"_b_{s.out}"])
+    composed = _compose(_add(_add(summary, weights), columns), maps, key, layout.segments)
+    over = f"OVER (PARTITION BY {key} ORDER BY _seg)"
+    composed = _add(composed, {f"_in{b}": f"lag({b}) {over}" for _, terms in maps.values() for b in terms})
+    out = {f"_inpos_{s.col}": f"_inpos_{s.col}" for s in specs} | {f"_incnt_{s.col}": f"_incnt_{s.col}" for s in specs}
+    for s in specs:
+        begun = f"_inpos_{s.col} IS NOT NULL"
+        if s.adjust:
+            out |= {f"_in{n}_{s.out}": f"CASE WHEN {begun} THEN _in_b{n}_{s.out} END" for n in ("en", "ed")}
+            out[f"_last_{s.out}"] = f"CASE WHEN {begun} THEN try_divide(_in_ben_{s.out}, _in_bed_{s.out}) END"
+        else:
+            out[f"_last_{s.out}"] = f"CASE WHEN {begun} THEN _in_b_{s.out} END"
+            out[f"_shift_{s.out}"] = f"CASE WHEN {begun} THEN _w_{s.out} * (_in_b_{s.out} - _x_{s.out}) END"
+    return composed.selectExpr(f"`{key}` AS _key", "_seg AS _seg_in", *[f"{x} AS `{n}`" for n, x in out.items()])
+
+
+def add_ewm(df: DataFrame, specs: list[Ewm], layout: Layout, order: str, block: int) -> DataFrame:
+    """Add every mean in ``specs``. ``df`` needs ``_pos``, ``_blk`` and ``_p`` as made by ``add_blocks``.
+
+    In a segmented layout only a segment's own rows get means; its copies of other rows count for nothing.
+    """
+    part, kept, segmented = layout.part, list(df.columns), layout.own is not None
+    if segmented:
+        own = {s.col: f"_own_{s.col}" for s in specs}
+        df = df.withColumns({name: F.when(layout.own, F.col(c)) for c, name in own.items()})
+        specs = [replace(s, col=own[s.col], starts=None) for s in specs]
     group = ", ".join(part)
     up_to_here = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     so_far = f"OVER (PARTITION BY {group} ORDER BY _blk, {order} {up_to_here})"
     earlier = f"OVER (PARTITION BY {group} ORDER BY _blk, {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     in_block = f"OVER (PARTITION BY {group}, _blk ORDER BY {order} {up_to_here})"
     block_end = f"_p = {block - 1}"
-    kept = list(df.columns)
 
     def gap_of(s: Ewm) -> str | None:
         return None if s.adjust or s.starts else f"_gap_{s.col}"
@@ -94,6 +179,9 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
         if gap:
             divisor = f"{_power(s.q, gap)} + {_num(s.alpha)}"
             renorm[f"_c_{s.out}"] = f"sum(CASE WHEN {gap} > 1 THEN ln({divisor}) ELSE 0D END) {in_block}"
+            if segmented:
+                renorm[f"_opened_{s.out}"] = f"sum(CASE WHEN {gap} > 1 THEN ln({divisor}) ELSE 0D END) {so_far}"
+                renorm[f"_fp_{s.col}"] = f"min(CASE WHEN {s.col} IS NOT NULL THEN _pos END) {so_far}"
     df = _add(df, renorm)
 
     # running sums inside the block
@@ -125,6 +213,9 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
                 carry[f"_from_{n}_{s.out}"] = f"last(CASE WHEN {closing} THEN _{n}_{s.out} END, true) {earlier}"
             carry[f"_fromblk_{s.out}"] = f"last(CASE WHEN {closing} THEN _blk END, true) {earlier}"
             continue
+        if segmented:
+            # the weight that the segment's first value still has
+            carry[f"_left_{s.out}"] = f"exp((_pos - _fp_{s.col}) * {_ln(s.q)} - _opened_{s.out})"
         fade = _power(s.q, f"_at_{s.out}")
         shrink[f"_shrink_{s.out}"] = f"{fade} * exp(-_c_{s.out})" if gap_of(s) else fade
         closing = f"CASE WHEN {block_end} THEN _shrink_{s.out} * _sum_{s.out} END"
@@ -138,17 +229,35 @@ def add_ewm(df: DataFrame, specs: list[Ewm], part: list[str], order: str, block:
     for s in specs:
         if s.adjust:
             fade = _power(s.q, f"{block} * (_blk - _fromblk_{s.out})")
-            num, den = (f"_{n}_{s.out} + coalesce(_from_{n}_{s.out} * {fade}, 0D)" for n in ("num", "den"))
-            value = f"try_divide({num}, {den})"
-        else:
-            fade = _power(s.q, f"_blk * {block} - _frompos_{s.out}")
-            value = f"_shrink_{s.out} * (_sum_{s.out} + coalesce({fade} * _from_{s.out}, 0D))"
-        means[f"_mean_{s.out}"] = f"CASE WHEN {s.col} IS NOT NULL THEN {value} END"
+            means |= {f"_{n}_{s.out}": f"_{n}_{s.out} + coalesce(_from_{n}_{s.out} * {fade}, 0D)" for n in ("num", "den")}
+            continue
+        fade = _power(s.q, f"_blk * {block} - _frompos_{s.out}")
+        means[f"_mean_{s.out}"] = f"CASE WHEN {s.col} IS NOT NULL THEN _shrink_{s.out} * (_sum_{s.out} + coalesce({fade} * _from_{s.out}, 0D)) END"
+    df = df.selectExpr(*[f"`{c}`" for c in df.columns if c not in means], *[f"{x} AS `{n}`" for n, x in means.items()])
+    if segmented:
+        # sums count from the beginning of the block; below they count from the row itself
+        scale = {f"_{n}_{s.out}": f"_{n}_{s.out} * {_power(s.q, '_p')}" for s in specs if s.adjust for n in ("num", "den")}
+        df = df.selectExpr(*[f"`{c}`" for c in df.columns if c not in scale], *[f"{x} AS `{n}`" for n, x in scale.items()])
+        states = _starting_states(df, specs, layout)
+        df = df.join(states, (F.col(part[0]) == F.col("_key")) & (F.col("_seg") == F.col("_seg_in")), "left")
+        handed = {}
+        for s in specs:
+            if s.adjust:
+                fade = _power(s.q, f"_pos - _inpos_{s.col}")
+                handed |= {f"_{n}_{s.out}": f"_{n}_{s.out} + coalesce(_in{e}_{s.out} * {fade}, 0D)" for n, e in (("num", "en"), ("den", "ed"))}
+            else:
+                handed[f"_mean_{s.out}"] = f"_mean_{s.out} + coalesce(_left_{s.out} * _shift_{s.out}, 0D)"
+        df = df.selectExpr(*[f"`{c}`" for c in df.columns if c not in handed], *[f"{x} AS `{n}`" for n, x in handed.items()])
+    ratios = {f"_mean_{s.out}": f"CASE WHEN {s.col} IS NOT NULL THEN try_divide(_num_{s.out}, _den_{s.out}) END" for s in specs if s.adjust}
+    df = _add(df, ratios)
+    for s in specs:
         if s.starts:
             out[s.out] = f"_mean_{s.out}"
-        else:
-            out[s.out] = f"CASE WHEN _cnt_{s.col} >= {max(s.min_periods, 1)} THEN last(_mean_{s.out}, true) {so_far} END"
-    df = _add(df, means)
+            continue
+        number, last = f"_cnt_{s.col}", f"last(_mean_{s.out}, true) {so_far}"
+        if segmented:
+            number, last = f"{number} + coalesce(_incnt_{s.col}, 0L)", f"coalesce({last}, _last_{s.out})"
+        out[s.out] = f"CASE WHEN {number} >= {max(s.min_periods, 1)} THEN {last} END"
     return df.selectExpr(*[f"`{c}`" for c in kept if c not in out], *[f"{sql} AS `{n}`" for n, sql in out.items()])
 
 
@@ -170,8 +279,6 @@ def ewm_mean(
     """Exponentially weighted mean of one column, per key, with pandas' rules for nulls."""
     spec = Ewm(col, out, alpha_from(span, com), adjust, min_periods)
     block = block_rows([spec])
-    layout = lay_out(df, series, before=block)
-    smoothed = add_ewm(add_blocks(layout.df, block), [spec], layout.part, series.order, block)
-    so_far = Window.partitionBy(*layout.part).orderBy("_blk", series.order).rowsBetween(Window.unboundedPreceding, 0)
-    filled = smoothed.withColumn(out, F.last(out, ignorenulls=True).over(so_far))
-    return layout.finish(filled).drop("_pos", "_blk", "_p", "_seg")
+    layout = lay_out(df, series)
+    smoothed = add_ewm(add_blocks(layout.df, block), [spec], layout, series.order, block)
+    return layout.finish(smoothed).drop("_pos", "_blk", "_p", "_seg")

@@ -68,11 +68,57 @@ def ecdf_pair(reference: DataFrame, current: DataFrame, cols: Sequence[str], ser
     return both.filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).drop("_here", "least")
 
 
-def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
-    """Two-sided p-value of the Kolmogorov-Smirnov statistic from the limiting distribution.
+def ks_pvalue(statistic: Column, n_ref: Column, n_cur: Column, exact_rows: int = S.KS_EXACT_ROWS) -> Column:
+    """Two-sided p-value of the Kolmogorov-Smirnov statistic.
 
-    Small samples have an exact distribution that differs slightly; this engine always uses the limit.
+    Samples of at most ``exact_rows`` values have the exact law, larger ones and ``exact_rows=0`` the limit law.
     """
+    exact = _exact_pvalue(statistic, n_ref.cast("long"), n_cur.cast("long"))
+    return F.when(F.greatest(n_ref, n_cur) <= exact_rows, exact).otherwise(_limit_pvalue(statistic, n_ref, n_cur))
+
+
+def _exact_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
+    """The share of lattice paths that leave the strip of the statistic.
+
+    Without ties all orders of both samples are equally likely: a walk from (0, 0) to (n_ref, n_cur) that draws the next
+    value from one of the samples, in proportion to what they still hold. Step by step the fold keeps the probabilities
+    of the places inside the strip, one number for each place of the walk's diagonal, and sums up what leaves. The
+    strip of statistic d has about d * n_ref * n_cur / (n_ref + n_cur) places to each side.
+    """
+    both = n_ref + n_cur
+    reach = F.round(statistic * n_ref * n_cur).cast("long")
+    start = F.struct(F.lit(0).cast("long").alias("low"), F.array(F.lit(1.0)).alias("inside"), F.lit(0.0).alias("left"))
+
+    def bounds(t: Column) -> tuple[Column, Column]:
+        """Least and largest number of draws from the reference after t draws."""
+        low = F.greatest(F.floor((t * n_ref - reach) / both) + 1, t - n_cur, F.lit(0).cast("long"))
+        high = F.least(F.ceil((t * n_ref + reach) / both) - 1, n_ref, t)
+        return low.cast("long"), high.cast("long")
+
+    def step(acc: Column, t: Column) -> Column:
+        low, high = bounds(t + 1)
+        rest, old = (both - t).cast("double"), acc["low"]
+        last = old + F.size(acc["inside"]) - 1
+
+        def at(i: Column) -> Column:
+            return F.coalesce(F.get(acc["inside"], (i - old).cast("int")), F.lit(0.0))
+
+        def from_current(i: Column) -> Column:
+            return at(i) * (n_cur - t + i) / rest
+
+        def from_reference(i: Column) -> Column:
+            return at(i) * (n_ref - i) / rest
+
+        inside = F.when(low <= high, F.transform(F.sequence(low, high), lambda i: from_current(i) + from_reference(i - 1)))
+        gone = F.when(low > old, from_current(old)).otherwise(0.0) + F.when(high <= last, from_reference(last)).otherwise(0.0)
+        return F.struct(low.alias("low"), F.coalesce(inside, F.array().cast("array<double>")).alias("inside"), (acc["left"] + gone).alias("left"))
+
+    walked = F.aggregate(F.sequence(F.lit(0).cast("long"), both - 1), start, step, lambda acc: F.least(F.lit(1.0), acc["left"]))
+    return F.when(reach <= 0, F.lit(1.0)).when((n_ref > 0) & (n_cur > 0), walked)
+
+
+def _limit_pvalue(statistic: Column, n_ref: Column, n_cur: Column) -> Column:
+    """The p-value by the limit of large samples."""
     size = (n_ref.cast("double") * n_cur) / (n_ref + n_cur)
     lam = F.sqrt(size) * statistic
     squared = lam * lam
@@ -128,8 +174,15 @@ def _comparable() -> Column:
     return (F.col("feature") != ROWS) & (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
 
 
+def _with_pvalue(statistics: DataFrame) -> DataFrame:
+    """Add ``ks_pvalue``; where the distance decides, it is that of the limit law."""
+    args = [F.col(c) for c in ("ks", "n_ref", "n_cur")]
+    decides = F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS
+    return statistics.withColumn("ks_pvalue", F.when(decides, ks_pvalue(*args)).otherwise(ks_pvalue(*args, exact_rows=0)))
+
+
 def _drifted() -> Column:
-    by_rank = ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur")) < S.KS_ALPHA
+    by_rank = F.col("ks_pvalue") < S.KS_ALPHA
     by_distance = F.col("wasserstein") / F.col("spread") >= S.WASSERSTEIN_LIMIT
     return F.when(F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS, by_rank).otherwise(by_distance)
 
@@ -138,8 +191,7 @@ def column_verdicts(statistics: DataFrame) -> DataFrame:
     """``column_drift`` from a result of ``sample_statistics``."""
     small = F.col("n_ref") <= S.KS_MAX_REFERENCE_ROWS
     return (
-        statistics.filter(_comparable())
-        .withColumn("ks_pvalue", ks_pvalue(F.col("ks"), F.col("n_ref"), F.col("n_cur")))
+        _with_pvalue(statistics.filter(_comparable()))
         .withColumn("wasserstein_normed", F.col("wasserstein") / F.col("spread"))
         .select(
             KEY,
@@ -192,7 +244,7 @@ def key_verdicts(
     drifted = _drifted()
     feature = _comparable()
     rows = F.col("feature") == ROWS
-    per_key = statistics.groupBy(KEY).agg(
+    per_key = _with_pvalue(statistics).groupBy(KEY).agg(
         F.avg(F.when(feature, drifted.cast("double"))).alias("_share"),
         F.sort_array(F.collect_list(F.when(feature & drifted, F.col("feature")))).alias("_names"),
         F.count_if(feature).alias("_total"),

@@ -45,6 +45,7 @@ def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 _CHANGES = [1, 5, 10]
 _LAGS_USED = sorted({1, *_CHANGES, *LAGS, *(n + 1 for n in LAGS)})
+_REACH = max(*_LAGS_USED, *SMA_WINDOWS)
 
 
 def _window_features(over: str) -> dict[str, str]:
@@ -82,7 +83,7 @@ def compute_features(
     of a key, whose next close is unknown; scoring sets it to False.
     """
     key, order = series.key, series.order
-    layout = lay_out(bars.select(key, order, *BAR_VALUES), series, before=_BLOCK, after=1)
+    layout = lay_out(bars.select(key, order, *BAR_VALUES), series, before=_REACH, after=1)
     group = f"PARTITION BY {', '.join(layout.part)}"
     by_block = f"{group} ORDER BY _blk, {order}"
     by_row = f"{group} ORDER BY {order}" if series.per_key else by_block
@@ -98,8 +99,8 @@ def compute_features(
             "_range": "greatest(high - low, abs(high - _before), abs(low - _before))",
         },
     )
-    df = add_ewm(df, _FIRST_PASS, layout.part, order, _BLOCK)
-    df = add_ewm(_with(df, {"macd": "ema_12 - ema_26"}), _SECOND_PASS, layout.part, order, _BLOCK)
+    df = add_ewm(df, _FIRST_PASS, layout, order, _BLOCK)
+    df = add_ewm(_with(df, {"macd": "ema_12 - ema_26"}), _SECOND_PASS, layout, order, _BLOCK)
     df = _with(_with(df, _window_features(by_block)), _lag_features())
     df = layout.finish(_with(df, _ROW_FEATURES))
     if drop_warmup:

@@ -8,8 +8,8 @@ Every window in this package runs over the columns in ``Layout.part``. Two layou
 * **segmented** - for finer bars a key may hold any share of all rows. Each key is cut into segments of
   ``segment_rows`` consecutive rows. A segment also receives copies of the ``before`` rows in front of it and the
   ``after`` rows behind it, so windows need to look no further than their own segment. The copies are dropped by
-  ``Layout.finish``. Row positions come from counts per (key, time slice) and a running sum over these few counts,
-  so at no point does one task see a whole key.
+  ``Layout.finish``. Rows are numbered inside (key, time slice) and stored once; positions follow from the stored counts
+  per slice and a running sum over these few counts, so at no point does one task see a whole key.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantloom.schema import KEY, ORDER
+from quantloom.sources.stage import stage
 
 DAY_OR_LONGER = ("day", "week", "month", "quarter", "year")
 
@@ -60,9 +61,11 @@ class Layout:
     df: DataFrame
     part: list[str]
     own: Column | None
+    # the most segments that a key has
+    segments: int = 1
 
     def with_df(self, df: DataFrame) -> Layout:
-        return Layout(df, self.part, self.own)
+        return Layout(df, self.part, self.own, self.segments)
 
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop the rows copied from neighbouring segments."""
@@ -76,24 +79,26 @@ def with_positions(df: DataFrame, series: Series = DAILY) -> DataFrame:
         return df.withColumn("_pos", F.row_number().over(series.window).cast("long") - 1).withColumn(
             "_n", F.count(F.lit(1)).over(whole)
         )
-    sliced = df.withColumn("_slice", series.slice_column())
-    by_slice = Window.partitionBy(series.key).orderBy("_slice")
-    offsets = (
-        sliced.groupBy(series.key, "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
-            series.key,
-            "_slice",
-            F.coalesce(F.sum("_rows").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-            F.sum("_rows").over(Window.partitionBy(series.key)).alias("_n"),
-        )
-    )
+    return _placed(*_numbered(df, series), series)
+
+
+def _numbered(df: DataFrame, series: Series) -> tuple[DataFrame, DataFrame]:
+    """The rows numbered in their time slice, stored, and per slice the rows of the key before it and in all."""
     in_slice = Window.partitionBy(series.key, "_slice").orderBy(series.order)
-    return (
-        sliced.join(offsets, [series.key, "_slice"])
-        .withColumn("_pos", F.col("_off") + F.row_number().over(in_slice) - 1)
-        .drop("_slice", "_off")
+    numbered = stage(df.withColumn("_slice", series.slice_column()).withColumn("_row", F.row_number().over(in_slice)), "numbered")
+    by_slice = Window.partitionBy(series.key).orderBy("_slice")
+    counts = numbered.groupBy(series.key, "_slice").agg(F.max("_row").cast("long").alias("_rows"))
+    offsets = counts.select(
+        series.key,
+        "_slice",
+        F.coalesce(F.sum("_rows").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.sum("_rows").over(Window.partitionBy(series.key)).alias("_n"),
     )
+    return numbered, stage(offsets, "slice-offsets")
+
+
+def _placed(numbered: DataFrame, offsets: DataFrame, series: Series) -> DataFrame:
+    return numbered.join(offsets, [series.key, "_slice"]).withColumn("_pos", F.col("_off") + F.col("_row") - 1).drop("_slice", "_off", "_row")
 
 
 def lay_out(
@@ -105,8 +110,10 @@ def lay_out(
     if series.per_key:
         return Layout(df.withColumn("_pos", F.row_number().over(series.window).cast("long") - 1), [series.key], None)
     rows = series.segment_rows
-    placed = with_positions(df, series)
+    numbered, offsets = _numbered(df, series)
+    most = offsets.agg(F.max("_n")).first()[0] or 0
+    placed = _placed(numbered, offsets, series)
     first = F.expr(f"greatest(_pos - {after}, 0) div {rows}")
     last = F.expr(f"least(_pos + {before}, _n - 1) div {rows}")
     copies = placed.withColumn("_seg", F.explode(F.sequence(first, last))).drop("_n")
-    return Layout(copies, [series.key, "_seg"], F.expr(f"_pos div {rows} = _seg"))
+    return Layout(copies, [series.key, "_seg"], F.expr(f"_pos div {rows} = _seg"), -(-most // rows))

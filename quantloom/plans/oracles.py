@@ -178,14 +178,23 @@ def _pvalue(ks: str, n_ref: str, n_cur: str) -> str:
       THEN 1 - sqrt(2 * pi()) / {lam} * ({body}) ELSE 2 * ({tail}) END))"""
 
 
+def exact_law(name: str, source: str) -> str:
+    """Adds ``name``: the exact p-value ``pe`` of every (n, m, h) in ``source``, h being n * m times the statistic."""
+    return f"""{name}(n, m, h, t, a) USING KEY (n, m, h) AS (
+  SELECT n::BIGINT, m::BIGINT, h::BIGINT, 0::BIGINT, list_transform(range(0, n::BIGINT + 1), lambda i: (i = 0 AND h > 0)::INT::DOUBLE) FROM ({source})
+  UNION SELECT n, m, h, t + 1, list_transform(range(0, n + 1), lambda i: CASE WHEN abs(i * (n + m) - (t + 1) * n) < h AND t + 1 - i BETWEEN 0 AND m
+    THEN (a[i + 1] * (m - t + i) + CASE WHEN i > 0 THEN a[i] * (n - i + 1) ELSE 0 END) / (n + m - t) ELSE 0 END) FROM {name} WHERE t < n + m)"""
+
+
 def column_drift_cte(ref: str, cur: str, cols) -> str:
     """Adds ``cd``: test, score and verdict per key and feature."""
     return ecdf_cte(ref, cur, cols) + f""",
 ts AS (SELECT ticker, feature, max(n_ref) AS n_ref, max(n_cur) AS n_cur, max(abs(f_ref - f_cur)) AS ks,
   sum(abs(f_ref - f_cur) * coalesce(next_value - value, 0)) AS wasserstein FROM ec GROUP BY ALL),
 sd AS (SELECT ticker, feature, greatest(stddev_pop(value), 0.001::DOUBLE) AS spread FROM {tall(ref, cols)} GROUP BY ALL),
-cd0 AS (SELECT ticker, feature, n_ref, n_cur, ks, {_pvalue('ks', 'n_ref', 'n_cur')} AS ks_pvalue,
-  wasserstein / spread AS wasserstein_normed FROM ts JOIN sd USING (ticker, feature)),
+{exact_law("law", "SELECT DISTINCT n_ref AS n, n_cur AS m, round(ks * n_ref * n_cur) AS h FROM ts WHERE n_ref <= 1000 AND n_cur <= 10000")},
+cd0 AS (SELECT ticker, feature, n_ref, n_cur, ks, CASE WHEN h IS NULL THEN {_pvalue('ks', 'n_ref', 'n_cur')} ELSE 1 - list_sum(a) END AS ks_pvalue,
+  wasserstein / spread AS wasserstein_normed FROM ts JOIN sd USING (ticker, feature) LEFT JOIN law ON n = n_ref AND m = n_cur AND h = round(ks * n_ref * n_cur)),
 cd AS (SELECT *, CASE WHEN n_ref <= 1000 THEN 'ks' ELSE 'wasserstein' END AS test,
   CASE WHEN n_ref <= 1000 THEN ks_pvalue ELSE wasserstein_normed END AS score,
   CASE WHEN n_ref <= 1000 THEN ks_pvalue < 0.05::DOUBLE ELSE wasserstein_normed >= 0.1::DOUBLE END AS drifted FROM cd0)"""

@@ -469,6 +469,38 @@ def _(spark, sf):
     return ewm_mean(null_bars(spark, sf), "close", "y", span=26, adjust=False).select(KEY, ORDER, F.round("y", 2).alias("y"))
 
 
+_GAP_BARS = Q.NULL_BARS.replace("o_orderstatus <> 'P'", "year(o_orderdate) % 2 = 1")
+
+
+@query(
+    "ewm_nulls_segmented",
+    f"""WITH RECURSIVE b AS ({_GAP_BARS}), s AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i FROM b),
+w AS (SELECT ticker, date, i, close AS y, CASE WHEN close IS NULL THEN NULL::DOUBLE ELSE 1.0::DOUBLE END AS old, close AS z,
+    CASE WHEN close IS NULL THEN NULL::DOUBLE ELSE 1.0::DOUBLE END AS weight, (close IS NOT NULL)::INT AS seen FROM s WHERE i = 0
+  UNION ALL
+  SELECT s.ticker, s.date, s.i,
+    CASE WHEN w.y IS NULL THEN s.close WHEN s.close IS NULL THEN w.y
+      ELSE (w.old * 25.0::DOUBLE / 27 * w.y + 2.0::DOUBLE / 27 * s.close) / (w.old * 25.0::DOUBLE / 27 + 2.0::DOUBLE / 27) END,
+    CASE WHEN s.close IS NOT NULL THEN 1.0::DOUBLE ELSE w.old * 25.0::DOUBLE / 27 END,
+    CASE WHEN w.z IS NULL THEN s.close WHEN s.close IS NULL THEN w.z
+      ELSE (w.weight * 13.0::DOUBLE / 14 * w.z + s.close) / (w.weight * 13.0::DOUBLE / 14 + 1) END,
+    CASE WHEN w.z IS NULL THEN CASE WHEN s.close IS NOT NULL THEN 1.0::DOUBLE END
+      ELSE w.weight * 13.0::DOUBLE / 14 + (s.close IS NOT NULL)::INT END,
+    w.seen + (s.close IS NOT NULL)::INT
+  FROM w JOIN s ON s.ticker = w.ticker AND s.i = w.i + 1)
+SELECT ticker, date, {r('y', 2, 'y')}, CASE WHEN seen >= 14 THEN {r('z', 2)} END AS z FROM w""",
+)
+def _(spark, sf):
+    # every second year is without prices: runs of nulls are longer than the segments of 64 rows
+    known = F.when(F.year("o_orderdate") % 2 == 1, F.col("o_totalprice"))
+    bars = B.bars_from_ticks(table(spark, sf, "orders"), "o_orderpriority", "o_orderdate", known, seq="o_orderkey")
+    cut = Series(bucket="day", segment_rows=64, force_segments=True)
+    means = ewm_mean(bars, "close", "y", span=26, adjust=False, series=cut)
+    means = ewm_mean(means, "close", "z", com=13, min_periods=14, series=cut)
+    return means.select(KEY, ORDER, F.round("y", 2).alias("y"), F.round("z", 2).alias("z"))
+
+
+
 # --- split, scale, sequences ----------------------------------------------------------------------------------------
 
 
@@ -754,8 +786,8 @@ def _(spark, sf):
 # --- drift ----------------------------------------------------------------------------------------------------------
 
 _DRIFT_COLS = ["returns_1d", "high_low_range", "close", "volume", "bb_pos", "log_volume"]
-_PAIR_SQL = f"WITH {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'), cu AS (SELECT * FROM k WHERE split <> 'train')"
-_EVENT_PAIR_SQL = f"WITH {Q.split_cte(Q.event_bars('hour'))}, rf AS (SELECT * FROM k WHERE split = 'train'), cu AS (SELECT * FROM k WHERE split <> 'train')"
+_PAIR_SQL = f"WITH RECURSIVE {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'), cu AS (SELECT * FROM k WHERE split <> 'train')"
+_EVENT_PAIR_SQL = f"WITH RECURSIVE {Q.split_cte(Q.event_bars('hour'))}, rf AS (SELECT * FROM k WHERE split = 'train'), cu AS (SELECT * FROM k WHERE split <> 'train')"
 
 
 def _pair(spark, sf, bars=order_bars, series=DAILY):
@@ -805,10 +837,33 @@ SELECT event_id, {r(Q.pvalue('d', '900', '400'), 8, 'p')} FROM a""",
 )
 def _(spark, sf):
     events = table(spark, sf, "events").filter("value IS NOT NULL")
-    p = drift.ks_pvalue(F.col("value") / 1000, F.lit(900), F.lit(400))
+    p = drift.ks_pvalue(F.col("value") / 1000, F.lit(900), F.lit(400), exact_rows=0)
     return events.select("event_id", F.round(p, 8).alias("p"))
 
 
+@query(
+    "ks_pvalue_exact",
+    """WITH RECURSIVE s AS (SELECT DISTINCT 1 + user_id % 23 AS n, 2 + event_id % 17 AS m, floor(value)::BIGINT AS v FROM events WHERE value IS NOT NULL),
+d AS (SELECT DISTINCT n, m, 1 + v % (n * m) AS h FROM s),
+paths(n, m, h, t, a) USING KEY (n, m, h) AS (
+  SELECT n, m, h, 0::BIGINT, list_transform(range(0, n + 1), lambda i: (i = 0)::INT::HUGEINT) FROM d
+  UNION SELECT n, m, h, t + 1, list_transform(range(0, n + 1), lambda i: CASE WHEN abs(i * m - (t + 1 - i) * n) < h AND t + 1 - i BETWEEN 0 AND m
+    THEN a[i + 1] + CASE WHEN i > 0 THEN a[i] ELSE 0 END ELSE 0 END) FROM paths WHERE t < n + m),
+every(n, m, t, a) USING KEY (n, m) AS (
+  SELECT DISTINCT n, m, 0::BIGINT, list_transform(range(0, n + 1), lambda i: (i = 0)::INT::HUGEINT) FROM d
+  UNION SELECT n, m, t + 1, list_transform(range(0, n + 1), lambda i: CASE WHEN t + 1 - i BETWEEN 0 AND m THEN a[i + 1] + CASE WHEN i > 0 THEN a[i] ELSE 0 END ELSE 0 END)
+  FROM every WHERE t < n + m)
+SELECT n AS n_ref, m AS n_cur, h, """ + r("1 - list_sum(p.a)::DOUBLE / list_sum(e.a)::DOUBLE", 10, "p") + """ FROM paths p JOIN every e USING (n, m)""",
+)
+def _(spark, sf):
+    # samples of 1 to 23 and 2 to 18 values; the statistic is h / (n_ref * n_cur)
+    events = table(spark, sf, "events").filter("value IS NOT NULL")
+    sizes = events.selectExpr("1 + user_id % 23 AS n_ref", "2 + event_id % 17 AS n_cur", "bigint(floor(value)) AS v")
+    cases = sizes.selectExpr("n_ref", "n_cur", "1 + v % (n_ref * n_cur) AS h").distinct()
+    p = drift.ks_pvalue(F.col("h") / (F.col("n_ref") * F.col("n_cur")), F.col("n_ref"), F.col("n_cur"))
+    return cases.withColumn("p", F.round(p, 10))
+
+
 _COLUMN_DRIFT = " SELECT ticker, feature, n_ref, n_cur, " + ", ".join(
     r(c, 5, c) for c in ("ks", "ks_pvalue", "wasserstein_normed", "score")
 ) + ", test, drifted FROM cd"
@@ -831,7 +886,7 @@ def _(spark, sf):
 _CURRENT_BARS = f"SELECT * FROM ({Q.ORDER_BARS}) WHERE date >= DATE '{ORDERS_ASOF}' - INTERVAL 180 DAY AND date < TIMESTAMP '{ORDERS_ASOF}'"
 
 
-_TWO_SETS = f"""WITH {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'),
+_TWO_SETS = f"""WITH RECURSIVE {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'),
 {Q.features_cte(_CURRENT_BARS, prefix='q')},
 cu AS (SELECT * FROM qf WHERE {Q.WARM})"""
 
@@ -868,10 +923,12 @@ pv AS (SELECT ticker, value, sum(nr) AS nr, sum(nc) AS nc FROM pu GROUP BY ALL),
 pe AS (SELECT ticker, sum(nr) OVER t AS n1, sum(nc) OVER t AS n2, sum(nr) OVER o AS ur, sum(nc) OVER o AS uc FROM pv
   WINDOW o AS (PARTITION BY ticker ORDER BY value), t AS (PARTITION BY ticker)),
 pk AS (SELECT ticker, max(abs(ur::DOUBLE / n1 - uc::DOUBLE / n2)) AS ks, max(n1) AS n1, max(n2) AS n2 FROM pe WHERE n1 > 0 AND n2 > 0 GROUP BY ticker),
+""" + Q.exact_law("plaw", "SELECT DISTINCT n1 AS n, n2 AS m, round(ks * n1 * n2) AS h FROM pk") + """,
 pd AS (SELECT q.ticker, coalesce(ks > 0.1::DOUBLE, false) AS drift_detected, round(coalesce(ks, 0), 4) AS drift_score,
   CASE WHEN ks > 0.1::DOUBLE THEN 'predictions' ELSE '' END AS drifted_features, 1::BIGINT AS total_features,
-  CASE WHEN ks IS NOT NULL THEN """ + r(Q.pvalue("ks", "n1", "n2"), 6) + """ END AS p_value, CASE WHEN ks IS NULL THEN 'No predictions on one side' END AS error
-  FROM (SELECT DISTINCT ticker FROM b UNION ALL SELECT 'NONE') q LEFT JOIN pk ON q.ticker = pk.ticker)"""
+  CASE WHEN ks IS NOT NULL THEN """ + r("1 - list_sum(a)", 6) + """ END AS p_value, CASE WHEN ks IS NULL THEN 'No predictions on one side' END AS error
+  FROM (SELECT DISTINCT ticker FROM b UNION ALL SELECT 'NONE') q LEFT JOIN pk ON q.ticker = pk.ticker
+  LEFT JOIN plaw ON n = n1 AND m = n2 AND h = round(ks * n1 * n2))"""
 
 
 def _predictions(history, current):

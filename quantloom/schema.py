@@ -55,6 +55,7 @@ WARMUP_DAYS = 60
 SCORE_LOOKBACK_DAYS = 90
 MONITOR_LOOKBACK_DAYS = 120
 DRIFT_THRESHOLD = 0.1
+KS_EXACT_ROWS = 10_000  # the largest sample with an exact p-value
 KS_ALPHA = 0.05
 KS_MAX_REFERENCE_ROWS = 1000
 WASSERSTEIN_LIMIT = 0.1

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -53,6 +55,38 @@ def test_pvalue_of_the_limit_distribution(spark):
     assert spark.range(1).select(D.ks_pvalue(D.F.lit(0.0), D.F.lit(5), D.F.lit(5)).alias("p")).first().p == 1.0
 
 
+def test_pvalue_counts_all_orders(spark):
+    from itertools import combinations
+
+    cases, want = [], {}
+    for n in range(1, 7):
+        for m in range(1, 6):
+            found = []
+            for chosen in combinations(range(n + m), n):
+                i = j = most = 0
+                for k in range(n + m):
+                    i, j = (i + 1, j) if k in chosen else (i, j + 1)
+                    most = max(most, abs(i * m - j * n))
+                found.append(most)
+            for h in range(0, n * m + 1):
+                cases.append((n, m, h))
+                want[n, m, h] = sum(x >= h for x in found) / len(found)
+    df = spark.createDataFrame(cases, "n int, m int, h int")
+    got = df.withColumn("p", D.ks_pvalue(D.F.col("h") / (D.F.col("n") * D.F.col("m")), D.F.col("n"), D.F.col("m"))).collect()
+    assert all(r.p == pytest.approx(want[r.n, r.m, r.h], rel=1e-12) for r in got)
+
+
+def test_exact_pvalue_of_larger_samples(spark):
+    # disjoint samples: two of all orders; and the exact law approaches the limit
+    n, m = 40, 60
+    one = spark.range(1)
+    law = lambda d, a, b, **k: one.select(D.ks_pvalue(D.F.lit(float(d)), D.F.lit(a), D.F.lit(b), **k).alias("p")).first().p
+    assert law(1.0, n, m) == pytest.approx(2 / math.comb(n + m, n), rel=1e-9)
+    for d in (0.02, 0.05, 0.08):
+        assert law(d, 1500, 1200) == pytest.approx(law(d, 1500, 1200, exact_rows=0), rel=0.08, abs=1e-3)
+    assert law(0.5, 20000, 3) == law(0.5, 20000, 3, exact_rows=0) and law(0.0, 5, 4) == 1.0
+
+
 def test_small_reference_uses_ks_and_large_uses_distance(spark):
     rng = np.random.default_rng(1)
     cur = samples(spark, close=rng.normal(0, 1, 100), open=rng.normal(9, 1, 100))

@@ -103,13 +103,32 @@ def test_ewm_matches_pandas(spark, pattern, how):
     np.testing.assert_allclose(got.y.astype(float).values, want.values, rtol=1e-11)
 
 
-def test_segmented_ewm(spark):
-    frame = random_walk(6000, 3, freq="h")
-    frame["close"] = NULL_PATTERNS["scattered"](frame["close"])
-    want = frame["close"].ewm(span=26, adjust=False).mean()
-    cut = dataclasses.replace(HOURLY, segment_rows=1000)
-    got = sorted_frame(ewm_mean(to_bars(spark, frame), "close", "y", span=26, adjust=False, series=cut))
-    np.testing.assert_allclose(got.y.astype(float).values, want.values, rtol=1e-11)
+@pytest.mark.parametrize("pattern", NULL_PATTERNS)
+@pytest.mark.parametrize("rows", [100, 1000])
+def test_segmented_ewm(spark, pattern, rows):
+    parts = []
+    for k, key in enumerate(("AAA", "BBB")):
+        frame = random_walk(6000 - 700 * k, 3 + k, key, freq="h")
+        frame["close"] = NULL_PATTERNS[pattern](frame["close"])
+        parts.append(frame)
+    bars = to_bars(spark, pd.concat(parts))
+    cut = dataclasses.replace(HOURLY, segment_rows=rows)
+    for how in (dict(span=26, adjust=False), dict(com=13, adjust=True, min_periods=14), dict(span=200, adjust=False), dict(span=1, adjust=False)):
+        want = np.concatenate([f["close"].ewm(**how).mean().values for f in parts])
+        got = sorted_frame(ewm_mean(bars, "close", "y", series=cut, **how))
+        np.testing.assert_allclose(got.y.astype(float).values, want, rtol=1e-11)
+
+
+@pytest.mark.parametrize("pattern", ["scattered", "runs", "long run", "few before a long run"])
+def test_segmented_features_with_nulls(spark, pattern):
+    frame = random_walk(6000, 9, freq="h")
+    for c in ("open", "high", "low", "close"):
+        frame[c] = NULL_PATTERNS[pattern](frame[c])
+    bars = to_bars(spark, frame)
+    want = sorted_frame(compute_features(bars, drop_warmup=False))
+    for rows in (150, 1000):
+        got = sorted_frame(compute_features(bars, dataclasses.replace(HOURLY, segment_rows=rows), drop_warmup=False))
+        assert_same(got, want, FEATURES + TARGETS)
 
 
 def test_hot_key_is_spread_over_segments(spark):

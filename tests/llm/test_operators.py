@@ -205,30 +205,19 @@ def test_snapshots_collapse(spark):
     assert snapshots.collapse_and_render(turns.where("false")).count() == 0
 
 
-def brute_lines(docs, least):
-    """Delete, in order, every run that a window of an earlier place repeats, extended while lines stay equal."""
-    order = sorted({(i is not None, i or 0, t) for i, t in docs})
-    lines = {k: [(n, x, len(x.split())) for n, x in enumerate(k[2].split("\n")) if x.split()] for k in order}
-    first, gone = {}, {k: set() for k in order}
-    for k in order:
-        for p in range(len(lines[k])):
-            e = p
-            while e < len(lines[k]) and sum(w for _, _, w in lines[k][p : e + 1]) < least:
-                e += 1
-            if e == len(lines[k]):
-                continue
-            window = tuple(x for _, x, _ in lines[k][p : e + 1])
-            if window not in first:
-                first[window] = (k, p)
-                continue
-            k0, p0 = first[window]
-            a, b = 0, 0
-            while p - a > 0 and p0 - a > 0 and lines[k][p - a - 1][1] == lines[k0][p0 - a - 1][1]:
-                a += 1
-            while p + b + 1 < len(lines[k]) and p0 + b + 1 < len(lines[k0]) and lines[k][p + b + 1][1] == lines[k0][p0 + b + 1][1]:
-                b += 1
-            gone[k] |= set(range(lines[k][p - a][0], lines[k][p + b][0] + 1))
-    return {k: "\n".join(x for n, x in enumerate(k[2].split("\n")) if n not in gone[k]) for k in order}
+def every_place(docs, least):
+    """Delete, in order, every line of a run of at least ``least`` words that starts at any earlier place too."""
+    order = sorted((i, t) for i, t in docs)
+    lines = {k: [(n, x, len(x.split())) for n, x in enumerate(k[1].split("\n")) if x.split()] for k in order}
+    places, gone = [(k, p) for k in order for p in range(len(lines[k]))], {k: set() for k in order}
+    for at, (k, p) in enumerate(places):
+        for k0, p0 in places[:at]:
+            n = 0
+            while p + n < len(lines[k]) and p0 + n < len(lines[k0]) and lines[k][p + n][1] == lines[k0][p0 + n][1]:
+                n += 1
+            if n and sum(w for _, _, w in lines[k][p : p + n]) >= least:
+                gone[k] |= set(range(lines[k][p][0], lines[k][p + n - 1][0] + 1))
+    return {k[0]: "\n".join(x for n, x in enumerate(k[1].split("\n")) if n not in gone[k]) for k in order}
 
 
 def test_winnow_equals_brute_force(spark, odd_docs, no_docs):
@@ -236,7 +225,7 @@ def test_winnow_equals_brute_force(spark, odd_docs, no_docs):
     pool = [" ".join(f"t{rng.integers(1000)}" for _ in range(int(rng.integers(1, 30)))) for _ in range(30)] + ["", " "]
     rows = [(i, "\n".join(pool[int(x)] for x in (list(range(s, s + 6)) if i % 2 else rng.integers(0, 32, 7)))) for i, s in enumerate(rng.integers(0, 25, 60))]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    want = {k[1]: v for k, v in brute_lines(rows, 20).items()}
+    want = every_place(rows, 20)
     got = winnow.dedup_lines(docs, min_words=20, report=True).collect()
     assert {r.doc_id: r.text for r in got} == want and sum(r.lines_removed > 0 for r in got) > 5
     out = winnow.dedup_lines(odd_docs)
@@ -311,21 +300,6 @@ def test_small_pairs_at_the_limit_are_linked(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in odd_sketch.near_duplicates(docs).collect()} == want
 
 
-def every_place(docs, least):
-    """Delete, in order, every line of a run of at least ``least`` words that starts at any earlier place too."""
-    order = sorted((i, t) for i, t in docs)
-    lines = {k: [(n, x, len(x.split())) for n, x in enumerate(k[1].split("\n")) if x.split()] for k in order}
-    places, gone = [(k, p) for k in order for p in range(len(lines[k]))], {k: set() for k in order}
-    for at, (k, p) in enumerate(places):
-        for k0, p0 in places[:at]:
-            n = 0
-            while p + n < len(lines[k]) and p0 + n < len(lines[k0]) and lines[k][p + n][1] == lines[k0][p0 + n][1]:
-                n += 1
-            if n and sum(w for _, _, w in lines[k][p : p + n]) >= least:
-                gone[k] |= set(range(lines[k][p][0], lines[k][p + n - 1][0] + 1))
-    return {k[0]: "\n".join(x for n, x in enumerate(k[1].split("\n")) if n not in gone[k]) for k in order}
-
-
 def test_winnow_compares_every_earlier_place(spark):
     rng = np.random.default_rng(7)
     word = lambda name, n: " ".join(f"{name}{j}" for j in range(n))
@@ -337,3 +311,17 @@ def test_winnow_compares_every_earlier_place(spark):
     rows = [(i, "\n".join(pool[int(x)] for x in rng.integers(0, len(pool), 9))) for i in range(70)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert {r.doc_id: r.text for r in winnow.dedup_lines(docs, min_words=20).collect()} == every_place(rows, 20)
+
+
+def test_winnow_fingerprints_are_fewer_than_windows(spark):
+    word = lambda name, n: " ".join(f"{name}{j}" for j in range(n))
+    rows = [(i, "\n".join(word(f"d{i}l{k}", 5) for k in range(60))) for i in range(40)] + [(99, "\n".join(word(f"d3l{k}", 5) for k in range(20, 45)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lines = winnow.line_table(docs)
+    prints, windows = winnow.fingerprints(lines).count(), 40 * 51 + 16
+    assert 0 < prints < windows / 3
+    got = {r.doc_id: r.lines_removed for r in winnow.dedup_lines(docs, report=True).collect()}
+    assert {k for k, n in got.items() if n} == {99} and got[99] == 25
+    # two places of one document; one that overlaps itself
+    same = [(1, "\n".join([word("a", 30)] * 3)), (2, f"{word('b', 50)}\nx\n\n{word('b', 50)}\ny")]
+    assert {r.doc_id: r.text for r in winnow.dedup_lines(spark.createDataFrame(same, "doc_id bigint, text string")).collect()} == every_place(same, 50) == {1: word("a", 30), 2: f"{word('b', 50)}\nx\n\ny"}

@@ -100,6 +100,13 @@ def _marked(lines: Column, places: Column) -> Column:
     )
 
 
+def _likely(rows: DataFrame, col: str, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``col`` a bitmap of the stored keys lets through, so that the others are not dealt out for a join."""
+    bits = filter_rows(keys.count())
+    bitmap = stage(key_filter(keys, F.col(key), bits), "winnow-filter")
+    return may_be_in(rows, F.col(col), bitmap, bits, "likely").where("likely").drop("likely")
+
+
 def fingerprints(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Rows (key, h, at) of the window minima of rows (key, lines)."""
     return lines.select("key", F.explode(_minima(F.col("lines"), min_words)).alias("f")).select("key", "f.h", "f.at")
@@ -118,9 +125,10 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     place = F.xxhash64("key", "at")
     several = prints.groupBy("h").agg(F.min(place).alias("one"), F.max(place).alias("other")).where("one <> other").select(F.col("h").alias("s_h"))
     # both sides are stored, so that a fingerprint with very many places is split
-    hits = prints.join(stage(several, "winnow-several"), F.col("h") == F.col("s_h")).groupBy("key").agg(F.collect_set("at").alias("at"))
+    several = stage(several, "winnow-several")
+    hits = _likely(prints, "h", several, "s_h").join(several, F.col("h") == F.col("s_h")).groupBy("key").agg(F.collect_set("at").alias("at"))
     hits = stage(hits.select(F.col("key").alias("h_key"), F.sort_array("at").alias("at")), "winnow-hits")
-    marked = rows.join(hits, F.col("key") == F.col("h_key")).select("key", "id", _marked(F.col("lines"), F.col("at")).alias("lines"))
+    marked = _likely(rows, "key", hits, "h_key").join(hits, F.col("key") == F.col("h_key")).select("key", "id", _marked(F.col("lines"), F.col("at")).alias("lines"))
     runs = marked.select("key", "id", "lines", F.explode(_runs(F.col("lines"), min_words)).alias("f")).select(
         "key", "id", F.col("f.k").alias("k"), F.col("f.m").alias("m"), F.col("f.a").alias("at"),
         F.get("lines", F.col("f.a"))["i"].alias("a"), F.get("lines", F.col("f.b"))["i"].alias("b"),

@@ -42,22 +42,19 @@ def order_column_message(bars: DataFrame, order: str = ORDER) -> tuple[str | Non
     return f"order_type {order}: {kind.simpleString()}", None
 
 
-def profile_bars(bars: DataFrame, limits: Limits = Limits(), key: str = KEY) -> DataFrame:
-    """The numbers behind the checks: one row per key, combined on the map side."""
+def bar_counts(bars: DataFrame, limits: Limits = Limits(), by: Sequence[Column | str] = (KEY,)) -> DataFrame:
+    """The counts behind the checks, one row per group. Counts of disjoint rows add up."""
     have = set(bars.columns)
     aggs = [F.count(F.lit(1)).alias("row_count")]
     for c in [p for p in PRICES if p in have]:
         aggs += [
-            F.avg(F.col(c).isNull().cast("double")).alias(f"{c}_null_share"),
-            F.coalesce(F.bool_or(F.col(c) < limits.min_price), F.lit(False)).alias(f"{c}_too_low"),
-            F.coalesce(F.bool_or(F.col(c) > limits.max_price), F.lit(False)).alias(f"{c}_too_high"),
+            F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"),
+            F.count_if(F.col(c) < limits.min_price).alias(f"{c}_low"),
+            F.count_if(F.col(c) > limits.max_price).alias(f"{c}_high"),
         ]
     if "volume" in have:
         volume = F.col("volume")
-        aggs += [
-            F.coalesce(F.bool_or(volume < 0), F.lit(False)).alias("volume_negative"),
-            F.avg(F.when(volume.isNotNull(), (volume == 0).cast("double"))).alias("zero_volume_share"),
-        ]
+        aggs += [F.count("volume").alias("volumes"), F.count_if(volume < 0).alias("negative_volumes"), F.count_if(volume == 0).alias("zero_volumes")]
     if set(PRICES) <= have:
         o, h, l, c = (F.col(p) for p in PRICES)
         whole = o.isNotNull() & h.isNotNull() & l.isNotNull() & c.isNotNull()
@@ -65,7 +62,32 @@ def profile_bars(bars: DataFrame, limits: Limits = Limits(), key: str = KEY) ->
             F.count_if(whole & (h < F.greatest(o, c, l))).alias("bad_high"),
             F.count_if(whole & (l > F.least(o, c, h))).alias("bad_low"),
         ]
-    return bars.groupBy(key).agg(*aggs)
+    return bars.groupBy(*by).agg(*aggs)
+
+
+def add_counts(counts: DataFrame, key: str = KEY) -> DataFrame:
+    """Counts of several disjoint parts as one row per key."""
+    names = [f.name for f in counts.schema.fields if isinstance(f.dataType, T.LongType) and f.name != key]
+    return counts.groupBy(key).agg(*[F.sum(c).alias(c) for c in names])
+
+
+def profile_counts(counts: DataFrame, key: str = KEY) -> DataFrame:
+    """Shares and flags from ``bar_counts``."""
+    have, out = set(counts.columns), ["row_count"]
+    for c in [p for p in PRICES if f"{p}_nulls" in have]:
+        out += [
+            F.try_divide(F.col(f"{c}_nulls"), F.col("row_count")).alias(f"{c}_null_share"),
+            (F.col(f"{c}_low") > 0).alias(f"{c}_too_low"),
+            (F.col(f"{c}_high") > 0).alias(f"{c}_too_high"),
+        ]
+    if "volumes" in have:
+        out += [(F.col("negative_volumes") > 0).alias("volume_negative"), F.try_divide("zero_volumes", "volumes").alias("zero_volume_share")]
+    return counts.select(key, *out, *[c for c in ("bad_high", "bad_low") if c in have])
+
+
+def profile_bars(bars: DataFrame, limits: Limits = Limits(), key: str = KEY) -> DataFrame:
+    """The numbers behind the checks: one row per key, combined on the map side."""
+    return profile_counts(bar_counts(bars, limits, [key]), key)
 
 
 def validate_bars(
@@ -76,6 +98,13 @@ def validate_bars(
     ``keys`` (column ``ticker``) lists the requested keys: one without rows fails as ``no_rows`` and skips other checks.
     Warnings never make a key fail. A finding reads ``check column: value``.
     """
+    return report_profile(profile_bars(bars, limits, key), bars, keys, limits, key, order)
+
+
+def report_profile(
+    profile: DataFrame, bars: DataFrame, keys: DataFrame | None = None, limits: Limits = Limits(), key: str = KEY, order: str = ORDER
+) -> DataFrame:
+    """``validate_bars`` from a result of ``profile_bars``; of ``bars`` only the columns and their types matter."""
     have = set(bars.columns)
     found = [p for p in PRICES if p in have]
 
@@ -107,7 +136,7 @@ def validate_bars(
         warnings.append(F.lit(type_warning))
 
     none = F.array().cast("array<string>")
-    report = profile_bars(bars, limits, key).select(
+    report = profile.select(
         F.col(key).alias(KEY),
         F.array_compact(F.array(*errors)).alias("errors"),
         (F.array_compact(F.array(*warnings)) if warnings else none).alias("warnings"),

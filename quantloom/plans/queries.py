@@ -18,7 +18,7 @@ from quantloom.plans.oracles import DIGITS, r, rounded
 from quantloom.schema import FEATURES, KEY, ORDER, TARGETS
 from quantloom.sources import bars as B
 from quantloom.sources.stage import stage, stage_folder
-from quantloom.streaming.ingest import store_delivery
+from quantloom.streaming.ingest import store_delivery, stored_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1053,6 +1053,25 @@ def _(spark, sf):
     return B.read_bars(spark, f"{root}/bars")
 
 
+@query(
+    "ingest_profile",
+    f"""WITH b AS (SELECT ticker, date, open, high, low, close, CASE WHEN date >= TIMESTAMP '1998-01-01' AND NOT (date >= TIMESTAMP '1999-01-01' AND date < TIMESTAMP '2001-01-01')
+  THEN 0 ELSE volume END AS volume FROM ({Q.ORDER_BARS}))
+SELECT ticker, count(*) AS row_count, count(volume) AS volumes, count(*) FILTER (WHERE volume < 0) AS negative_volumes, count(*) FILTER (WHERE volume = 0) AS zero_volumes,
+  count(*) FILTER (WHERE high < greatest(open, close, low)) AS bad_high, count(*) FILTER (WHERE low > least(open, close, high)) AS bad_low,
+  {", ".join(f"count(*) FILTER (WHERE {c} IS NULL) AS {c}_nulls, count(*) FILTER (WHERE {c} < 0.01) AS {c}_low, count(*) FILTER (WHERE {c} > 1000000) AS {c}_high" for c in ("open", "high", "low", "close"))}
+FROM b GROUP BY ticker""",
+)
+def _(spark, sf):
+    # the second delivery replaces all bars from 1998 on by ones without volume, the third takes back two years of it
+    bars = stage(order_bars(spark, sf).withColumn("seq", F.lit(0).cast("long")), "bars")
+    root = _new_root(spark, "profiled")
+    store_delivery(bars, root, "2002-01-01")
+    store_delivery(B.date_range(bars, "1998-01-01").withColumn("volume", F.lit(0.0)), root, "2002-01-02")
+    store_delivery(B.date_range(bars, "1999-01-01", "2001-01-01"), root, "2002-01-03")
+    return validate.add_counts(stored_counts(spark, root))
+
+
 @query("write_read_features", f"WITH {Q.features_cte(Q.ORDER_BARS)} SELECT ticker, date, {rounded(FEATURES)} FROM f WHERE {Q.WARM}")
 def _(spark, sf):
     path = _new_root(spark, "features")

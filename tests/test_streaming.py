@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantloom.schema import BAR_SCHEMA
-from quantloom.sources.bars import read_bars
-from quantloom.streaming.ingest import ingest_new_files, store_delivery
+from quantloom.operators.validate import Limits, add_counts, bar_counts, validate_bars
+from quantloom.sources.bars import read_bars, write_bars
+from quantloom.streaming.ingest import _versions, compact_profile, ingest_new_files, store_delivery, stored_counts
 
 
 def test_only_new_files_are_taken_and_later_runs_win(spark, tmp_path):
@@ -81,3 +82,55 @@ def test_a_bad_increment_is_not_held(spark, tmp_path):
     store_delivery(rows.limit(3).withColumn("close", F.lit(-5.0)), root, "2024-01-02")
     assert read_bars(spark, f"{root}/bars").filter("close < 0").count() == 0
     assert store_delivery(rows.limit(1), root, "2024-01-03").first().passed
+
+
+def counted(spark, root):
+    rows = add_counts(stored_counts(spark, root)).collect()
+    want = bar_counts(read_bars(spark, f"{root}/bars")).collect()
+    assert {r.ticker: r.asDict() for r in rows} == {r.ticker: r.asDict() for r in want}
+
+
+def test_profile_takes_overwritten_bars_out(spark, tmp_path):
+    root = str(tmp_path / "out")
+    frame = pd.concat([random_walk(300, 1, "AAA"), random_walk(200, 2, "BBB")])
+
+    def store(rows, day, batch=0, **changes):
+        df = to_bars(spark, rows).withColumn("seq", F.lit(0).cast("long")).withColumns({c: F.lit(v).cast("double") for c, v in changes.items()})
+        report = {r.ticker: r for r in store_delivery(df, root, day, batch=batch).collect()}
+        full = {r.ticker: r for r in validate_bars(read_bars(spark, f"{root}/bars")).collect()}
+        for k, r in report.items():
+            assert not r.passed or (r.errors, r.warnings, r.row_count) == (full[k].errors, full[k].warnings, full[k].row_count)
+        counted(spark, root)
+        return report
+
+    store(frame, "2024-01-01")
+    # zero volumes in, then out again; high prices stay in one month
+    some = frame[(frame.ticker == "AAA")].iloc[100:180] if "ticker" in frame else frame.iloc[100:180]
+    assert "zero_share" in store(some, "2024-01-02", volume=0)["AAA"].warnings[0]
+    assert not store(some, "2024-01-03", volume=5)["AAA"].warnings
+    assert any("price_ceiling" in w for w in store(some.head(3), "2024-01-04", high=1e9)["AAA"].warnings)
+    # a batch that is repeated with fewer rows gives up the others, also when later ones exist
+    assert any("price_ceiling" in w for w in store(some.head(1), "2024-01-04", high=1e9)["AAA"].warnings)
+    store(some.head(40), "2024-01-02", volume=7)
+    # a key that would fail is not stored and not counted
+    assert not store(some.head(3), "2024-01-05", close=-1)["AAA"].passed
+    compact_profile(spark, root)
+    assert len(_versions(spark, f"{root}/profile")) == 1
+    counted(spark, root)
+    store(some.head(2), "2024-01-06", high=1e9)
+
+
+def test_increment_reads_only_touched_months(spark, tmp_path):
+    root = str(tmp_path / "out")
+    frame = random_walk(300, 1, "AAA")
+    df = to_bars(spark, frame).withColumn("seq", F.lit(0).cast("long"))
+    store_delivery(df, root, "2024-01-01")
+    # bars that no delivery brought, in the first month: a check that reads them fails
+    stray = to_bars(spark, frame.head(5)).withColumn("close", F.lit(-5.0))
+    write_bars(stray, f"{root}/bars", "2024-01-01", 7)
+    newest = df.orderBy(F.desc("date")).limit(5)
+    report = store_delivery(newest, root, "2024-01-02").first()
+    assert report.passed and report.row_count == 300
+    # with other limits the profile does not hold, and all months are counted
+    report = store_delivery(newest, root, "2024-01-03", limits=Limits(min_price=0.02)).first()
+    assert not report.passed and report.errors == ["price_floor close: 0.02", *report.errors[1:]]

@@ -578,37 +578,43 @@ def _(spark, sf):
     return prep.fit_robust_scaler(scaled).select(KEY, "feature", F.round("center", 6).alias("center"))
 
 
-_SEQ_COLS = ["returns_1d", "sma_10", "bb_pos", "close", "volume"]
+def _weighted(lists: str, col: str) -> str:
+    """All steps of a feature in one number: the first step once, the second twice and so on."""
+    return r(f"list_sum(list_transform({lists}, lambda v, i: v::DOUBLE * i))", 2, col)
 
 
 def _sequence_sql(back: int, ahead: int) -> str:
-    o = "OVER (PARTITION BY ticker, split ORDER BY date)"
-    at = ", ".join(f"lag({c}::FLOAT, {n}) {o} AS {c}_{n}" for c in _SEQ_COLS for n in (back, ahead) )
-    out = ", ".join(f"{r(f'{c}_{n}::DOUBLE', 3, f'{c}_{p}')}" for c in _SEQ_COLS for n, p in ((back, "first"), (ahead, "last")))
-    return f"""{_SCALED_SQL}, l AS (SELECT ticker, date, split, target_next_close::FLOAT::DOUBLE AS y, row_number() {o} AS rn, {at} FROM x2)
-SELECT ticker, date, split, 30::BIGINT AS steps, {len(_SEQ_COLS)}::BIGINT AS width, {out}, {r('y', 2, 'y')} FROM l WHERE rn > {back}"""
+    o = "OVER (PARTITION BY ticker, split ORDER BY date"
+    frame = f"ROWS BETWEEN {back} PRECEDING AND {f'{ahead} PRECEDING' if ahead else 'CURRENT ROW'}"
+    steps = ", ".join(f"list({c}::FLOAT) {o} {frame}) AS {c}" for c in FEATURES)
+    return f"""{_SCALED_SQL}, l AS (SELECT ticker, date, split, target_next_close::FLOAT::DOUBLE AS y, row_number() {o}) AS rn, {steps} FROM x2)
+SELECT ticker, date, split, 30::BIGINT AS steps, {len(FEATURES)}::BIGINT AS width, {", ".join(_weighted(c, c) for c in FEATURES)}, {r('y', 2, 'y')} FROM l WHERE rn > {back}"""
+
+
+def _all_steps(steps):
+    """The same number for every feature of a sequence."""
+
+    def weighted(i: int):
+        return F.aggregate(F.transform(steps, lambda row, s: row[i].cast("double") * (s + 1)), F.lit(0.0), lambda a, v: a + v)
+
+    return [F.round(weighted(i), 2).alias(c) for i, c in enumerate(FEATURES)]
 
 
 def _sequence_view(sequences):
-    ends = [
-        F.round(F.element_at(F.element_at("X", place), i + 1).cast("double"), 3).alias(f"{c}_{name}")
-        for i, c in enumerate(_SEQ_COLS)
-        for place, name in ((1, "first"), (-1, "last"))
-    ]
     return sequences.select(
-        KEY, ORDER, "split", F.size("X").cast("long").alias("steps"), F.size(F.element_at("X", 1)).cast("long").alias("width"), *ends,
-        F.round(F.col("y").cast("double"), 2).alias("y"),
+        KEY, ORDER, "split", F.size("X").cast("long").alias("steps"), F.size(F.element_at("X", 1)).cast("long").alias("width"),
+        *_all_steps(F.col("X")), F.round(F.col("y").cast("double"), 2).alias("y"),
     )
 
 
 @query("make_sequences", _sequence_sql(30, 1))
 def _(spark, sf):
-    return _sequence_view(prep.make_sequences(_scaled(spark, sf), _SEQ_COLS))
+    return _sequence_view(prep.make_sequences(_scaled(spark, sf), FEATURES))
 
 
 @query("make_sequences_current", _sequence_sql(29, 0))
 def _(spark, sf):
-    return _sequence_view(prep.make_sequences(_scaled(spark, sf), _SEQ_COLS, include_current=True))
+    return _sequence_view(prep.make_sequences(_scaled(spark, sf), FEATURES, include_current=True))
 
 
 @query(
@@ -757,8 +763,10 @@ def _(spark, sf):
 SELECT ticker, date, {rounded(FEATURES)} FROM f WHERE sma_50 IS NOT NULL AND i >= 14""",
 )
 def _(spark, sf):
-    recent = B.lookback(order_bars(spark, sf), 120, ORDERS_ASOF)
-    return show(compute_features(recent, require_target=False), FEATURES)
+    # a scaler that changes nothing: what is compared is the choice of rows and their features
+    bars = order_bars(spark, sf)
+    same = bars.select(KEY).distinct().select(KEY, F.explode(F.array(*[F.lit(c) for c in FEATURES])).alias("feature"), F.lit(0.0).alias("center"), F.lit(1.0).alias("scale"))
+    return show(score.scoring_rows(bars, same, ORDERS_ASOF, 120), FEATURES)
 
 
 @query(
@@ -771,21 +779,19 @@ def _(spark, sf):
 
 @query(
     "last_sequence",
-    f"""{_SCALED_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM x2)
-SELECT ticker, max(date) AS date, 30::BIGINT AS steps, {r('max(CASE WHEN back = 30 THEN close::FLOAT END)::DOUBLE', 3, 'close_first')},
-  {r('max(CASE WHEN back = 1 THEN close::FLOAT END)::DOUBLE', 3, 'close_last')} FROM o WHERE back <= 30 GROUP BY ticker""",
+    f"""{_SCALED_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS back FROM x2),
+l AS (SELECT ticker, max(date) AS date, {", ".join(f"list({c}::FLOAT ORDER BY date) AS {c}" for c in FEATURES)} FROM o WHERE back <= 30 GROUP BY ticker)
+SELECT ticker, date, 30::BIGINT AS steps, {", ".join(_weighted(c, c) for c in FEATURES)} FROM l""",
 )
 def _(spark, sf):
-    rows = score.last_sequence(_scaled(spark, sf), ["close", "volume"])
-    first, last = (F.element_at(F.element_at("X", i), 1).cast("double") for i in (1, -1))
-    return rows.select(
-        KEY, ORDER, F.size("X").cast("long").alias("steps"), F.round(first, 3).alias("close_first"), F.round(last, 3).alias("close_last")
-    )
+    rows = score.last_sequence(_scaled(spark, sf), FEATURES)
+    return rows.select(KEY, ORDER, F.size("X").cast("long").alias("steps"), *_all_steps(F.col("X")))
 
 
 # --- drift ----------------------------------------------------------------------------------------------------------
 
-_DRIFT_COLS = ["returns_1d", "high_low_range", "close", "volume", "bb_pos", "log_volume"]
+# features that are the same to the last bit in any engine: sums of prices in another order may make one value two
+_EXACT = [c for c in FEATURES if c in ("open", "high", "low", "close", "volume", "high_low_range", "close_open_spread") or c.startswith(("returns_", "close_lag_", "return_lag_"))]
 _PAIR_SQL = f"WITH RECURSIVE {Q.split_cte(Q.ORDER_BARS)}, rf AS (SELECT * FROM k WHERE split = 'train'), cu AS (SELECT * FROM k WHERE split <> 'train')"
 _EVENT_PAIR_SQL = f"WITH RECURSIVE {Q.split_cte(Q.event_bars('hour'))}, rf AS (SELECT * FROM k WHERE split = 'train'), cu AS (SELECT * FROM k WHERE split <> 'train')"
 
@@ -797,36 +803,36 @@ def _pair(spark, sf, bars=order_bars, series=DAILY):
 
 def _ecdf_view(ecdf):
     # neighbouring sums of the same prices may differ in the last bit, so values are shown rounded
-    digits = {"value": 3, "next_value": 3, "f_ref": 6, "f_cur": 6}
+    digits = {"value": 9, "next_value": 9, "f_ref": 6, "f_cur": 6}
     return ecdf.select(KEY, "feature", *[F.round(c, d).alias(c) for c, d in digits.items()], "n_ref", "n_cur")
 
 
 @query(
     "ecdf_pair",
-    _PAIR_SQL + Q.ecdf_cte("rf", "cu", ["close", "volume", "high"]) + f" SELECT ticker, feature, {r('value', 3, 'value')}, {r('next_value', 3, 'next_value')}, {r('f_ref', 6, 'f_ref')}, {r('f_cur', 6, 'f_cur')}, n_ref, n_cur FROM ec",
+    _PAIR_SQL + Q.ecdf_cte("rf", "cu", _EXACT) + f" SELECT ticker, feature, {r('value', 9, 'value')}, {r('next_value', 9, 'next_value')}, {r('f_ref', 6, 'f_ref')}, {r('f_cur', 6, 'f_cur')}, n_ref, n_cur FROM ec",
 )
 def _(spark, sf):
     ref, cur = _pair(spark, sf)
-    return _ecdf_view(drift.ecdf_pair(ref, cur, ["close", "volume", "high"]))
+    return _ecdf_view(drift.ecdf_pair(ref, cur, _EXACT))
 
 
 @query(
     "ecdf_pair_sliced",
-    _EVENT_PAIR_SQL + Q.ecdf_cte("rf", "cu", ["close", "volume", "high"]) + f" SELECT ticker, feature, {r('value', 3, 'value')}, {r('next_value', 3, 'next_value')}, {r('f_ref', 6, 'f_ref')}, {r('f_cur', 6, 'f_cur')}, n_ref, n_cur FROM ec",
+    _EVENT_PAIR_SQL + Q.ecdf_cte("rf", "cu", _EXACT) + f" SELECT ticker, feature, {r('value', 9, 'value')}, {r('next_value', 9, 'next_value')}, {r('f_ref', 6, 'f_ref')}, {r('f_cur', 6, 'f_cur')}, n_ref, n_cur FROM ec",
 )
 def _(spark, sf):
     # hourly bars have no proven row bound: running counts in slices of neighbouring values
     ref, cur = _pair(spark, sf, event_bars, HOURLY)
-    return _ecdf_view(drift.ecdf_pair(ref, cur, ["close", "volume", "high"], HOURLY))
+    return _ecdf_view(drift.ecdf_pair(ref, cur, _EXACT, HOURLY))
 
 
 @query(
     "two_sample_statistics",
-    _PAIR_SQL + Q.ecdf_cte("rf", "cu", _DRIFT_COLS) + f""" SELECT ticker, feature, max(n_ref) AS n_ref, max(n_cur) AS n_cur,
+    _PAIR_SQL + Q.ecdf_cte("rf", "cu", FEATURES) + f""" SELECT ticker, feature, max(n_ref) AS n_ref, max(n_cur) AS n_cur,
   {r('max(abs(f_ref - f_cur))', 6, 'ks')}, {r('sum(abs(f_ref - f_cur) * coalesce(next_value - value, 0))', 4, 'wasserstein')} FROM ec GROUP BY ALL""",
 )
 def _(spark, sf):
-    stats = drift.two_sample(drift.ecdf_pair(*_pair(spark, sf), _DRIFT_COLS))
+    stats = drift.two_sample(drift.ecdf_pair(*_pair(spark, sf), FEATURES))
     return stats.withColumns({"ks": F.round("ks", 6), "wasserstein": F.round("wasserstein", 4)})
 
 
@@ -1110,14 +1116,11 @@ def _(spark, sf):
 @query(
     "last_sequence_tiled",
     f"""{_SCALED_SQL}, o AS (SELECT * FROM x2 QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY date DESC) = 1)
-SELECT ticker, date, 30::BIGINT AS steps, {r('close::FLOAT::DOUBLE', 3, 'close_first')}, {r('close::FLOAT::DOUBLE', 3, 'close_last')} FROM o""",
+SELECT ticker, date, 30::BIGINT AS steps, {", ".join(r(f"{c}::FLOAT::DOUBLE * 465", 2, c) for c in FEATURES)} FROM o""",
 )
 def _(spark, sf):
-    rows = score.last_sequence(_scaled(spark, sf), ["close", "volume"], tiled=True)
-    first, last = (F.element_at(F.element_at("X", i), 1).cast("double") for i in (1, -1))
-    return rows.select(
-        KEY, ORDER, F.size("X").cast("long").alias("steps"), F.round(first, 3).alias("close_first"), F.round(last, 3).alias("close_last")
-    )
+    rows = score.last_sequence(_scaled(spark, sf), FEATURES, tiled=True)
+    return rows.select(KEY, ORDER, F.size("X").cast("long").alias("steps"), *_all_steps(F.col("X")))
 
 
 # --- models: no SQL says the same, so these check rows only ---------------------------------------------------------

@@ -88,8 +88,25 @@ def build_registry(metrics: DataFrame, models: DataFrame, run_id: str, order: Se
     )
 
 
-def run_log(metrics: DataFrame, run_id: str, params: Mapping[str, Mapping[str, object]] | None = None) -> DataFrame:
-    """``run_id, ticker, model, kind, name, value, step``: every metric and parameter of a run, in long form."""
+def run_log(
+    metrics: DataFrame,
+    run_id: str,
+    params: Mapping[str, Mapping[str, object]] | None = None,
+    losses: DataFrame | None = None,
+    models: DataFrame | None = None,
+) -> DataFrame:
+    """``run_id, ticker, model, kind, name, value, step``: every metric and parameter of a run, in long form.
+
+    With ``losses`` (ticker, model, step, loss) also the loss after each step, with ``models`` (ticker, model, seconds)
+    the time of each fit.
+    """
+
+    def logged(df: DataFrame, kind: str, name: str, value: str, step: Column) -> DataFrame:
+        return df.select(
+            F.lit(run_id).alias("run_id"), KEY, "model", F.lit(kind).alias("kind"), F.lit(name).alias("name"),
+            F.col(value).cast("string").alias("value"), step.cast("long").alias("step"),
+        )
+
     names = [m for m in METRICS if m in metrics.columns]
     wide = metrics.select(KEY, "model", "split", *[F.col(m).cast("string") for m in names])
     tall = wide.unpivot([KEY, "model", "split"], names, "metric", "value")
@@ -102,6 +119,10 @@ def run_log(metrics: DataFrame, run_id: str, params: Mapping[str, Mapping[str, o
         "value",
         F.lit(0).cast("long").alias("step"),
     )
+    if losses is not None:
+        rows = rows.unionByName(logged(losses, "loss", "train_loss", "loss", F.col("step")))
+    if models is not None:
+        rows = rows.unionByName(logged(models, "time", "seconds", "seconds", F.lit(0)))
     if not params:
         return rows
     pairs = [(m, k, str(v)) for m, settings in params.items() for k, v in settings.items()]

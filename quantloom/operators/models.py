@@ -11,8 +11,14 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import (
+    GBTRegressionModel,
+    GBTRegressor,
+    LinearRegression,
+    LinearRegressionModel,
+    RandomForestRegressor,
+)
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.operators.layout import DAILY, Series
@@ -33,6 +39,7 @@ BOOSTED = {
 LINEAR = {"regParam": 0.1, "elasticNetParam": 0.0, "maxIter": 100}
 
 POOLED = "__pooled__"
+LOSSES = f"{KEY} string, model string, step long, loss double"
 
 
 @dataclass(frozen=True)
@@ -69,10 +76,12 @@ def default_models() -> list[ModelSpec]:
 
 @dataclass
 class TrainResult:
-    """``models``: ticker, model, model_path, seconds. ``predictions``: ticker, date, model, split, y, yhat."""
+    """``models``: ticker, model, model_path, seconds. ``predictions``: ticker, date, model, split, y, yhat. ``losses``:
+    ticker, model, step, loss on the training rows after each step of a fit that has steps."""
 
     models: DataFrame
     predictions: DataFrame
+    losses: DataFrame
     failed: list[str]
     settings: dict
 
@@ -95,6 +104,24 @@ def _inputs(spec: ModelSpec, scaled: DataFrame, sequences: DataFrame | None, col
     return scaled.select(KEY, ORDER, "split", *cols, F.col(TARGETS[0]).alias("y")).filter("y IS NOT NULL")
 
 
+def step_losses(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Mean squared error of boosted trees after each round, in one pass over ``rows``; the solver's history of a linear
+    model; nothing for a model that is fitted in one step."""
+    last = model.stages[-1]
+    if isinstance(last, GBTRegressionModel):
+        ready = PipelineModel(model.stages[:-1]).transform(rows)
+        return [float(x) for x in last.evaluateEachIteration(ready, "squared")]
+    if isinstance(last, LinearRegressionModel) and last.hasSummary:
+        return [float(x) for x in last.summary.objectiveHistory]
+    return []
+
+
+def _keep_lineage_short(spark: SparkSession) -> None:
+    """Boosting checkpoints its rows every few rounds where a folder is set."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{stage_folder(spark)}/boosting")
+
+
 def train_all(
     scaled: DataFrame,
     root: str,
@@ -118,6 +145,7 @@ def train_all(
     spark = scaled.sparkSession
     specs = list(specs or default_models())
     cols = feature_columns(scaled)
+    _keep_lineage_short(spark)
     if mode not in ("per_key", "pooled"):
         raise ValueError(f"unknown mode {mode!r}")
     if mode == "per_key" and keys is None:
@@ -151,6 +179,8 @@ def train_all(
         )
         seconds = time.monotonic() - started
         predicted.write.parquet(f"{stored}/{number}")
+        steps = [(key, spec.name, i, x) for i, x in enumerate(step_losses(model, train), 1)]
+        spark.createDataFrame(steps, LOSSES).coalesce(1).write.parquet(f"{stored}/losses/fit={number}")
         return key, spec.name, path, seconds, f"{stored}/{number}", predicted.schema
 
     tasks = [(k, s) for k in ([POOLED] if mode == "pooled" else keys) for s in specs]
@@ -165,6 +195,7 @@ def train_all(
     if not done:
         raise RuntimeError("no model could be fitted: " + "; ".join(failed))
     predictions = spark.read.schema(done[0][5]).parquet(*[item[4] for item in done])
+    losses = spark.read.schema(LOSSES).parquet(f"{stored}/losses/*")
     table = spark.createDataFrame(
         [(k, m, p, float(s)) for k, m, p, s, *_ in done], f"{KEY} string, model string, model_path string, seconds double"
     )
@@ -179,7 +210,7 @@ def train_all(
             ]
         )
         table = names.withColumn("_pairs", pairs).select(KEY, F.inline("_pairs"))
-    return TrainResult(table, predictions, failed, {s.name: {**s.settings, "mode": mode} for s in specs})
+    return TrainResult(table, predictions, losses, failed, {s.name: {**s.settings, "mode": mode} for s in specs})
 
 
 def load_model(path: str) -> PipelineModel:

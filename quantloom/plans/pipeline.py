@@ -102,12 +102,13 @@ def train(
         seq_len=seq_len,
         series=series,
     )
+    result.predictions.write.mode("overwrite").parquet(f"{root}/predictions/{run_id}")
     scored = stage(metrics.forecast_metrics(result.predictions), "metrics")
     # stored before the registry is replaced, because it is read from there
     merged = stage(_merged(spark, metrics.build_registry(scored, result.models, run_id), f"{root}/registry"), "registry")
     merged.write.mode("overwrite").parquet(f"{root}/registry")
     (
-        metrics.run_log(scored, run_id, result.settings)
+        metrics.run_log(scored, run_id, result.settings, result.losses, result.models)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("run_id")

@@ -15,7 +15,7 @@ from quantloom.operators.layout import DAILY, HOURLY, Series
 from quantloom.plans import oracles as Q
 from quantloom.plans import pipeline
 from quantloom.plans.oracles import DIGITS, r, rounded
-from quantloom.schema import FEATURES, KEY, ORDER, TARGETS
+from quantloom.schema import FEATURES, KEY, ORDER, SCORE_LOOKBACK_DAYS, TARGETS, WARMUP_DAYS
 from quantloom.sources import bars as B
 from quantloom.sources.stage import stage, stage_folder
 from quantloom.streaming.ingest import store_delivery, stored_counts
@@ -1123,7 +1123,7 @@ def _(spark, sf):
     return rows.select(KEY, ORDER, F.size("X").cast("long").alias("steps"), *_all_steps(F.col("X")))
 
 
-# --- models: no SQL says the same, so these check rows only ---------------------------------------------------------
+# --- models at their default settings: SQL says which rows there must be, and Spark whether they agree ---------------
 
 _ROOTS: dict[tuple[str, str], str] = {}
 
@@ -1139,9 +1139,7 @@ def _trained(spark, sf) -> str:
         report, missing = pipeline.prepare(spark, root, keys)
         report.write.parquet(f"{root}/split_report")
         missing.write.parquet(f"{root}/missing")
-        # fewer trees than the library's default settings: three fits in a minute on one machine
-        specs = [models.random_forest(numTrees=50), models.boosted_trees(maxIter=10), models.sequence_model()]
-        pipeline.train(spark, root, "run-1", specs=specs, mode="pooled")
+        pipeline.train(spark, root, "run-1", mode="pooled")
         _ROOTS[run] = root
     return _ROOTS[run]
 
@@ -1156,11 +1154,84 @@ def _(spark, sf):
     return spark.read.parquet(f"{_trained(spark, sf)}/run_log")
 
 
+@query(
+    "train_predictions",
+    f"""WITH {Q.split_cte(Q.ORDER_BARS)}, n AS (SELECT ticker, split, count(*) AS n FROM k GROUP BY ALL)
+SELECT ticker, model, split, CASE WHEN model = 'sequence' THEN greatest(n - 30, 0) ELSE n END AS n_rows, true AS logged, true AS known
+FROM n, (SELECT unnest(['random_forest', 'boosted_trees', 'sequence']) AS model)""",
+)
+def _(spark, sf):
+    # a forecast for every row of every split; the metrics in the run log are those of the stored forecasts
+    root = _trained(spark, sf)
+    stored = spark.read.parquet(f"{root}/predictions/run-1")
+    again = stored.groupBy(KEY, "model", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2)).alias("rmse"),
+        (F.count_if(F.isnan("yhat") | F.col("yhat").isNull() | F.col("y").isNull()) == 0).alias("known"),
+    )
+    log = spark.read.parquet(f"{root}/run_log").filter("kind = 'metric'").withColumn("split", F.regexp_extract("name", "^(train|val|test)_rmse$", 1))
+    log = log.filter("split <> ''").select(KEY, "model", "split", F.col("value").cast("double").alias("in_log"))
+    near = F.abs(F.col("rmse") - F.col("in_log")) < 1e-3
+    return again.join(log, [KEY, "model", "split"], "left").select(KEY, "model", "split", "n_rows", F.coalesce(near, F.lit(False)).alias("logged"), "known")
+
+
+@query(
+    "train_choice",
+    f"""WITH {Q.split_cte(Q.ORDER_BARS)} SELECT DISTINCT ticker, 3::BIGINT AS compared, true AS least, true AS saved, true AS tested FROM k""",
+)
+def _(spark, sf):
+    # the registry names the model with the least validation error of the stored forecasts, and where it is saved
+    root = _trained(spark, sf)
+    errors = spark.read.parquet(f"{root}/predictions/run-1").groupBy(KEY, "model", "split").agg(F.sqrt(F.avg((F.col("y") - F.col("yhat")) ** 2)).alias("rmse"))
+    val, test = (errors.filter(F.col("split") == x) for x in ("val", "test"))
+    best = val.groupBy(KEY).agg(F.min_by("model", F.round("rmse", 4)).alias("b_model"), F.count(F.lit(1)).alias("compared"))
+    test = test.select(KEY, F.col("model").alias("best_model"), F.col("rmse").alias("t_rmse"))
+    return spark.read.parquet(f"{root}/registry").join(best, KEY, "left").join(test, [KEY, "best_model"], "left").select(
+        KEY, "compared", (F.col("best_model") == F.col("b_model")).alias("least"),
+        F.col("model_path").endswith(F.concat(F.lit("/"), "best_model", F.lit("/" + models.POOLED))).alias("saved"),
+        (F.abs(F.col("test_metrics.rmse") - F.col("t_rmse")) < 1e-3).alias("tested"),
+    )
+
+
+@query(
+    "train_log_shape",
+    f"""WITH {Q.split_cte(Q.ORDER_BARS)}, n AS (SELECT count(DISTINCT ticker) AS n FROM k), kinds AS (SELECT unnest(['random_forest', 'boosted_trees', 'sequence']) AS model)
+SELECT model, 'metric' AS kind, s || '_' || x AS name, n AS rows, 1::BIGINT AS steps, true AS falls FROM n, kinds,
+  (SELECT unnest(['train', 'val', 'test']) AS s), (SELECT unnest(['mae', 'rmse', 'mape', 'r2']) AS x)
+UNION ALL SELECT model, 'time', 'seconds', n, 1, true FROM n, kinds
+UNION ALL SELECT 'boosted_trees', 'loss', 'train_loss', 200, 200, true""",
+)
+def _(spark, sf):
+    # names and numbers of what was logged; the loss of 200 rounds of boosting falls by more than half
+    log = spark.read.parquet(f"{_trained(spark, sf)}/run_log").filter("kind <> 'param' AND NOT (kind = 'loss' AND model = 'sequence')")
+    value = F.col("value").cast("double")
+    return log.groupBy("model", "kind", "name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("step").alias("steps"),
+        F.when(F.first("kind") == "loss", F.max_by(value, "step") < 0.5 * F.min_by(value, "step")).otherwise(F.lit(True)).alias("falls"),
+    )
+
+
+@query(
+    "score_dates",
+    f"""WITH b AS ({Q.ORDER_BARS}), l AS (SELECT ticker, max(date)::DATE AS d FROM b WHERE date > (SELECT max(date)::DATE FROM b) - {SCORE_LOOKBACK_DAYS + WARMUP_DAYS}
+  GROUP BY ticker HAVING count(*) >= 79)
+SELECT ticker, (d + (CASE dayofweek(d) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END)::INTEGER)::DATE::VARCHAR AS prediction_date, 40::BIGINT AS features_used, true AS best, true AS plausible FROM l""",
+)
+def _(spark, sf):
+    # one forecast per key with 30 rows past the warm-up in the look-back, from its best model, dated at the next weekday and inside ten times the range of its closes
+    root = _trained(spark, sf)
+    closes = order_bars(spark, sf).groupBy(KEY).agg(F.min("close").alias("low"), F.max("close").alias("high"))
+    best = spark.read.parquet(f"{root}/registry").select(KEY, "best_model")
+    reach = 10 * (F.col("high") - F.col("low"))
+    return pipeline.score_keys(spark, root).join(best, KEY).join(closes, KEY).select(
+        KEY, F.col("prediction_date").cast("string").alias("prediction_date"), "features_used", (F.col("model_used") == F.col("best_model")).alias("best"),
+        F.col("predicted_close").between(F.col("low") - reach, F.col("high") + reach).alias("plausible"),
+    )
+
+
 @query("train_per_key")
 def _(spark, sf):
     root = _trained(spark, sf)
-    specs = [models.random_forest(numTrees=10, maxDepth=5)]
-    result = models.train_all(pipeline.read_splits(spark, root), f"{root}/per_key", specs=specs, mode="per_key")
+    result = models.train_all(pipeline.read_splits(spark, root), f"{root}/per_key", mode="per_key", parallelism=8)
     return metrics.forecast_metrics(result.predictions)
 
 

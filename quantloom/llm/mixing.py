@@ -4,7 +4,7 @@ Every document gets a rate, the expected number of its copies. Among all rates b
 source its target number of words, the ones closest to 1 in relative entropy are exponentially tilted:
 ``min(most, exp(lambda_s * size))``. The dual over lambda is convex; Newton steps solve it, each step one aggregate over
 the documents for all sources at once, guarded by a bracket. Rates become copies by comparing their fraction with a
-random number that belongs to the document's id, shifted by a constant of the source that the same kind of aggregate
+random number that belongs to the document's id and text, shifted by a constant of the source that the same kind of aggregate
 finds, so reruns agree and whether a document stays depends on nothing but its source's constants. What is left to the
 target is filled with the largest documents that fit.
 """
@@ -101,7 +101,7 @@ class Mixture:
 
     def rows(self, docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
         return docs.select(
-            F.col(doc_id).alias("id"), F.xxhash64(F.lit(5), F.col(doc_id)).alias("key"), word_count(whole(text)).alias("size"),
+            F.col(doc_id).alias("id"), _key(doc_id, text).alias("key"), word_count(whole(text)).alias("size"),
             F.col(source).cast("string").alias("source"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
         ).withColumn("u", _number())
 
@@ -109,11 +109,16 @@ class Mixture:
         """Add source_size, target and copies to rows with key, size, source and u."""
         joined = rows.join(_table(self.spark, self.sources), F.col("source").eqNullSafe(F.col("m_source")))
         base = _bounded(_copies(_rate(self.most), F.col("shift")), self.most)
-        return joined.withColumn("copies", base + F.array_contains("fills", F.col("key")).cast("long"))
+        return joined.withColumn("copies", _bounded(base + F.array_contains("fills", F.col("key")).cast("long"), self.most))
+
+
+def _key(doc_id: str, text: str) -> Column:
+    """A document's own key; rows without an id, or with the same one, differ by their texts."""
+    return F.xxhash64(F.lit(5), F.col(doc_id), whole(text))
 
 
 def _number() -> Column:
-    """A number in [0, 1) that belongs to the id."""
+    """A number in [0, 1) that belongs to the key."""
     return F.pmod(F.xxhash64(F.lit(7), F.col("key")), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
@@ -123,7 +128,7 @@ def fit_mixture(
 ) -> Mixture:
     spark = docs.sparkSession
     slim = docs.select(
-        F.xxhash64(F.lit(5), F.col(doc_id)).alias("key"), word_count(whole(text)).alias("size"), F.col(source).cast("string").alias("source")
+        _key(doc_id, text).alias("key"), word_count(whole(text)).alias("size"), F.col(source).cast("string").alias("source")
     ).withColumn("u", _number())
     slim = stage(slim, "mix-sizes")
     found = slim.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()
@@ -202,22 +207,36 @@ def _solve_shifts(slim: DataFrame, mixture: Mixture) -> None:
 
 
 def _fill(slim: DataFrame, mixture: Mixture) -> None:
-    """One more copy of the largest document that fits what is left, a few times over; each round is one aggregate."""
+    """One more copy of the largest document that fits what is left, a few times over; each round is two aggregates.
+
+    Rows that repeat id and text share a key and would all get the copy: they are counted, and passed over if together
+    they do not fit.
+    """
     rows = mixture.copies(slim).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken")).collect()
     taken = {r.source: r.taken for r in rows}
     open_ = [s for s in mixture.sources if 0 < s.target < mixture.most * s.size]
+    largest = {s.name: float(s.target - taken[s.name]) for s in open_}
     for _ in range(FILLS):
         if not open_:
             return
-        gaps = [{"g_source": s.name, "gap": float(s.target - taken[s.name])} for s in open_]
-        gaps = _literal(mixture.spark, gaps, "g_source: string, gap: double")
-        free = mixture.copies(slim).join(gaps, F.col("source").eqNullSafe(F.col("g_source")))
-        fits = free.where((F.col("copies") < mixture.most) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")))
+        gaps = _literal(mixture.spark, [{"g_source": s.name, "gap": largest[s.name]} for s in open_], "g_source: string, gap: double")
+        free = mixture.copies(slim).where((F.col("copies") < mixture.most) & (F.col("size") > 0))
+        fits = free.join(gaps, F.col("source").eqNullSafe(F.col("g_source"))).where(F.col("size") <= F.col("gap"))
         found = {r.source: r.best for r in fits.groupBy("source").agg(F.max(F.struct("size", "key")).alias("best")).collect()}
         open_ = [s for s in open_ if s.name in found and found[s.name].key not in s.fills]
+        if not open_:
+            return
+        chosen = _literal(mixture.spark, [{"c_source": s.name, "c_key": found[s.name].key} for s in open_], "c_source: string, c_key: bigint")
+        same = free.join(chosen, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("key") == F.col("c_key")))
+        times = {r.source: r.n for r in same.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
         for s in open_:
-            s.fills += (found[s.name].key,)
-            taken[s.name] += found[s.name]["size"]
+            words = found[s.name]["size"]
+            if times[s.name] * words <= s.target - taken[s.name]:
+                s.fills += (found[s.name].key,)
+                taken[s.name] += times[s.name] * words
+                largest[s.name] = float(s.target - taken[s.name])
+            else:
+                largest[s.name] = words - 1.0
 
 
 def mix(docs: DataFrame, mixture: Mixture, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -231,8 +250,8 @@ def mixture_report(docs: DataFrame, mixture: Mixture, doc_id: str = "doc_id", te
     """Rows (doc_id, size, source_size, target, copies, taken), one for each document.
 
     Size is the number of words; null text has none. A null source is a source of its own. Documents without words keep
-    rate 1 and take nothing. Rows that repeat an id are documents with the same random number. Null ids share one number.
-    An empty table gives no rows; columns of other names are kept out.
+    rate 1 and take nothing. Rows without an id or that repeat one are told apart by their texts; rows that repeat id and
+    text are taken equally often. An empty table gives no rows; columns of other names are kept out.
     """
     rows = mixture.copies(mixture.rows(docs, doc_id, text, source))
     return rows.select(F.col("id").alias(doc_id), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))

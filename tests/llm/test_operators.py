@@ -189,6 +189,40 @@ def test_mixture_meets_targets(spark):
     assert mixing.mix(docs, mixture).count() == sum(r.copies for r in got)
 
 
+def test_mixture_without_ids_and_with_repeated_ones(spark, odd_docs, no_docs):
+    rng = np.random.default_rng(6)
+    rows = [(None if i % 3 == 0 else i % 40 if i % 3 == 1 else i, f"t{i} " + "w " * int(rng.integers(1, 400)), "abc"[i % 7 % 3], "taken", 1.0) for i in range(900)]
+    rows += [(5, "the same text " * 30, "a", "x", 2.0)] * 25
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, copies string, tilt double")
+    got = mixing.mixture_report(docs, mixing.fit_mixture(docs)).collect()
+    assert len(got) == len(rows) and all(r.copies <= 2 and r.taken <= 2 * r["size"] for r in got)
+    taken, target = Counter(), {}
+    for r in got:
+        taken[r.source_size] += r.taken
+        target[r.source_size] = r.target
+    assert all(target[s] * 0.97 - 90 <= taken[s] <= target[s] * 1.0001 for s in target)
+    assert mixing.mix(docs, mixing.fit_mixture(docs)).columns == docs.columns
+    assert len(mixing.mixture_report(odd_docs, mixing.fit_mixture(odd_docs)).collect()) == 13
+    assert mixing.mixture_report(no_docs, mixing.fit_mixture(no_docs)).count() == 0
+
+
+def test_tilts_have_the_least_entropy(spark):
+    """The rates before rounding, against a plain bisection of the dual in numpy."""
+    rng = np.random.default_rng(8)
+    rows = [(i, "w " * int(rng.integers(1, 300)), "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    mixture = mixing.fit_mixture(docs)
+    for s in mixture.sources:
+        size = np.array([len(t.split()) for _, t, k in rows if k == s.name], dtype=float)
+        low, high = -1.0, 1.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            over = (np.minimum(2, np.exp(np.minimum(50, mid * size))) * size).sum() > s.target
+            low, high = (low, mid) if over else (mid, high)
+        if 0 < s.target < 2 * s.size:
+            assert s.tilt / s.unit == pytest.approx(low, rel=1e-3, abs=1e-9)
+
+
 def test_targets_stop_at_twice_the_size():
     got = mixing.targets({"a": 10, "b": 100, None: 1000, "c": 0})
     assert got["a"] == 20 and got["c"] == 0 and sum(got.values()) == pytest.approx(1665) and all(got[s] <= 2 * n for s, n in {"a": 10, "b": 100, None: 1000}.items())

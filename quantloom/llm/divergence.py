@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence.
 
 A document is compared with references of its language: the shares of its character classes, and the shares of the
-language's most common short words among its words. The measure is the Jensen-Shannon distance (base 2, 0 to 1). Short texts
+language's most common words among its words. The measure is the Jensen-Shannon distance (base 2, 0 to 1). Short texts
 are noisy, so each comparison needs a minimum length. The references are sums over all documents of a language, so one
 odd document hardly moves them. All of it is DataFrame expressions: one pass makes the references, a second one judges
 each row by itself.
@@ -27,7 +27,6 @@ class Limits:
     min_words: int = 20  # base rule
     repeat_percent: int = 30  # base rule
     n_common: int = 24
-    longest_common: int = 6  # common words are counted among words of at most so many characters
     char_guard: int = 200  # characters below which classes are not compared
     word_guard: int = 60  # words below which common words are not compared
     char_distance: float = 0.34
@@ -76,15 +75,13 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", limits:
     sums = [F.sum(F.col("classes")[i]) for i in range(len(CLASSES))]
     chars = _with_classes(rows).groupBy("lang").agg(F.array(*sums).alias("sums"))
     chars = chars.select("lang", _shares(F.col("sums")).alias("char_shares"))
-    # long words meet in one row, which gives the total its share of them
-    each = rows.select("lang", F.explode(words(F.col("t"))).alias("w"))
-    each = each.select("lang", F.when(F.length("w") <= limits.longest_common, F.lower("w")).alias("w"))
+    each = rows.select("lang", F.explode(words(F.col("t"))).alias("w")).select("lang", F.lower("w").alias("w"))
     counts = stage(each.groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")), "language-words")
     total = counts.groupBy(F.col("lang").alias("t_lang")).agg(F.sum("n").cast("double").alias("total"))
     chars = chars.join(total, F.col("lang").eqNullSafe(F.col("t_lang")), "left").select("lang", "char_shares", F.coalesce("total", F.lit(0.0)).alias("total"))
     # the limit on the rank keeps a few words of each task before anything is dealt out
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "w")
-    top = counts.where("w is not null").withColumn("k", F.row_number().over(order)).where(F.col("k") <= limits.n_common)
+    top = counts.withColumn("k", F.row_number().over(order)).where(F.col("k") <= limits.n_common)
     top = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("k", "w", "n"))).alias("top"))
     top = top.withColumnRenamed("lang", "w_lang")
     out = chars.join(top, F.col("lang").eqNullSafe(F.col("w_lang")), "left")

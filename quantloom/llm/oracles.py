@@ -62,7 +62,7 @@ WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
 b AS (SELECT doc_id, lang, t, {WORDS.format(t="t")} AS w, [{classes}] AS cls,
              list_filter(string_split(t, chr(10)), lambda x: length(trim(x, {spaces})) > 0) AS lines FROM d),
 wl AS (SELECT doc_id, lang, unnest(w) AS w0 FROM b),
-wn AS (SELECT doc_id, lang, lower(w0) AS w FROM wl WHERE length(w0) <= {limits.longest_common}),
+wn AS (SELECT doc_id, lang, lower(w0) AS w FROM wl),
 wc AS (SELECT lang, w, count(*) AS n FROM wn GROUP BY 1, 2),
 top AS (SELECT * FROM (SELECT lang, w, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) AS k FROM wc) WHERE k <= {limits.n_common}),
 topl AS (SELECT lang, list(w ORDER BY k) AS common, list(n::DOUBLE ORDER BY k) AS cn FROM top GROUP BY lang),

@@ -167,6 +167,18 @@ def test_quality_keeps_columns_and_rejects_repeats(odd_docs, no_docs):
     assert divergence.keep_good(no_docs, divergence.fit_references(no_docs)).count() == 0
 
 
+def test_common_words_of_any_length_are_compared(spark):
+    long = [f"gemeinschaftswort{k}" for k in range(12)]
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(long[k] if k < 12 else f"sonst{i}x{j}" for j, k in enumerate(rng.integers(0, 16, 120))), "de") for i in range(60)]
+    rows.append((99, " ".join(f"fremd{j}" for j in range(120)), "de"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    ref = divergence.fit_references(docs)
+    assert set(long) <= set(ref.first().common)
+    got = {r.doc_id: r for r in divergence.judged(docs, ref).select("row.doc_id", "word_js", "kept").collect()}
+    assert not got[99].kept and got[99].word_js > 0.42 and sum(r.kept for r in got.values()) == 60
+
+
 def test_mixture_meets_targets(spark):
     rng = np.random.default_rng(1)
     rows = [(i, "w " * int(rng.integers(1, 400)), [None, "a", "b", "c", ""][i % 5] if i % 3 else "a") for i in range(1500)]

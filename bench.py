@@ -32,6 +32,7 @@ HEADLINE = [
     "forecast_metrics",
     "select_best",
     "latest_features",
+    "score_latest",
     "column_drift",
     "data_drift",
     "monitor",

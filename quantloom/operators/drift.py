@@ -28,21 +28,28 @@ def numeric_columns(reference: DataFrame, current: DataFrame, features: Sequence
 ROWS = "__rows__"  # pseudo feature that counts the rows of both sides
 
 
-def _both_sides(
-    reference: DataFrame, current: DataFrame, cols: Sequence[str], series: Series, count_rows: bool = False
-) -> DataFrame:
-    """Distinct values per key and feature with running counts of both sides; either table is read once."""
-    zero, one = F.lit(0), F.lit(1)
+def _side(df: DataFrame, cols: Sequence[str], key: str, count_rows: bool, name: str = "n") -> DataFrame:
+    """``key, feature, value`` and a 1 under ``name``, a row for each known value; with ``count_rows`` also one for each row."""
+    df = df.select(key, *cols)
     names = [*cols, ROWS] if count_rows else list(cols)
+    return long_values(df.withColumn(ROWS, F.lit(0.0)) if count_rows else df, names, key, {name: F.lit(1)})
 
-    def side(df: DataFrame, counts) -> DataFrame:
-        df = df.select(series.key, *cols)
-        return long_values(df.withColumn(ROWS, F.lit(0.0)) if count_rows else df, names, series.key, counts)
 
-    tall = side(reference, {"n_ref": one, "n_cur": zero}).unionByName(side(current, {"n_ref": zero, "n_cur": one}))
+def _both_sides(reference: DataFrame, current: DataFrame, series: Series) -> DataFrame:
+    """Distinct values per key and feature with running counts of both sides, each given with its counts ``n``."""
+    zero = F.lit(0).cast("long")
+    columns = [series.key, "feature", "value"]
+    tall = reference.select(*columns, F.col("n").alias("n_ref"), zero.alias("n_cur")).union(current.select(*columns, zero, "n"))
     return running_counts(tall, ["n_ref", "n_cur"], series.key, sliced=not series.per_key)
 
 
+def baseline(reference: DataFrame, cols: Sequence[str] | None = None, series: Series = DAILY) -> DataFrame:
+    """``key, feature, value, n``: the distinct values of every feature with their numbers, and the number of rows as a
+    feature of its own. What a comparison needs of the reference, to be stored once."""
+    cols = list(numeric_columns(reference, reference) if cols is None else cols)
+    return _side(reference, cols, series.key, True).groupBy(series.key, "feature", "value").agg(F.sum("n").alias("n"))
+
+
 def _functions(ranked: DataFrame, key: str) -> DataFrame:
     """Both distribution functions; null on a side without values."""
     return ranked.select(
@@ -64,7 +71,8 @@ def ecdf_pair(reference: DataFrame, current: DataFrame, cols: Sequence[str], ser
 
     ``ticker, feature, value, next_value, n_ref, n_cur, f_ref, f_cur``; only groups with values on both sides.
     """
-    both = _functions(_both_sides(reference, current, cols, series), series.key)
+    sides = (_side(df, cols, series.key, False) for df in (reference, current))
+    both = _functions(_both_sides(*sides, series), series.key)
     return both.filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).drop("_here", "least")
 
 
@@ -159,7 +167,13 @@ def sample_statistics(
     A feature without values on one side keeps its counts and has null statistics. The spread is the population
     standard deviation, at least the fixed minimum. It is summed from distances to the smallest value.
     """
-    functions = _functions(_both_sides(reference, current, cols, series, count_rows=True), series.key)
+    return baseline_statistics(_side(reference, cols, series.key, True), current, cols, series)
+
+
+def baseline_statistics(stored: DataFrame, current: DataFrame, cols: Sequence[str], series: Series = DAILY) -> DataFrame:
+    """``sample_statistics`` against a stored ``baseline``: the reference's rows are not read."""
+    stored = stored.filter(F.col("feature").isin([*cols, ROWS]))
+    functions = _functions(_both_sides(stored, _side(current, cols, series.key, True), series), series.key)
     distance = F.col("value") - F.col("least")
     mean, mean_square = (
         F.try_divide(F.sum(F.col("_here") * x), F.sum("_here")) for x in (distance, distance * distance)

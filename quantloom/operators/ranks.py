@@ -1,8 +1,8 @@
 """Values of one column per key and feature, collapsed to distinct values with running counts.
 
-These are the shared steps of exact quantiles and of two-sample statistics. The first aggregate counts equal values and
-combines on the map side. The running sum then needs the distinct values of a (key, feature) group in order. For keys
-with a proven row bound one window does that. Otherwise each group is cut into slices of neighbouring values, bounded by
+These are the shared steps of exact quantiles and of two-sample statistics. An aggregate counts equal values; the running
+sum then needs the distinct values of a (key, feature) group in order. For keys with a proven row bound rows are dealt
+out by group once and one window does that. Otherwise the counts combine on the map side and each group is cut into slices of neighbouring values, bounded by
 approximate quantiles; the slices are summed on their own, and the few slice totals are added as offsets. The slice
 bounds only steer the work: the counts are exact whatever they are. This second form runs a job when it is called, as it
 stores the counts.
@@ -43,7 +43,8 @@ def running_counts(
     count column, ``next_value`` (null on the last) and ``least`` (the smallest value of the group)."""
     group = [key, "feature"]
     if not sliced:
-        merged = tall.groupBy(*group, "value").agg(*[F.sum(c).alias(c) for c in counts])
+        # dealt out by group once: equal values meet there, and the windows need no second exchange
+        merged = tall.repartition(*group).groupBy(*group, "value").agg(*[F.sum(c).alias(c) for c in counts])
         by_value = Window.partitionBy(*group).orderBy("value")
         whole = Window.partitionBy(*group)
         return merged.withColumns(

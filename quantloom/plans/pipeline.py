@@ -1,7 +1,7 @@
 """The stages end to end: ingest, prepare, train, score, monitor. Each stage reads stored tables and stores its own.
 
 ``root`` is any folder Spark can write to that all executors share. Layout below it: ``bars``, ``features``, ``splits``,
-``scaler``, ``sequences``, ``models``, ``registry``, ``run_log``, ``drift``.
+``scaler``, ``baseline``, ``sequences``, ``models``, ``registry``, ``run_log``, ``drift``.
 """
 
 from __future__ import annotations
@@ -53,6 +53,7 @@ def prepare(
     features = B.read_stored(spark, f"{root}/features")
     split = prep.chrono_split(features, series=series)
     B.write_scaler(prep.fit_robust_scaler(split, series=series), f"{root}/scaler")
+    write_baseline(features, root, series)
     scaler = B.read_stored(spark, f"{root}/scaler")
     B.write_splits(prep.apply_scaler(split, scaler), f"{root}/splits")
     scaled = read_splits(spark, root)
@@ -67,6 +68,12 @@ def prepare(
     return prep.split_report(scaled), missing
 
 
+def write_baseline(features: DataFrame, root: str, series: Series = DAILY) -> None:
+    """Store the distinct values of the training part of the features, sorted, as the reference of later comparisons."""
+    counts = drift.baseline(prep.reference_slice(features, series), series=series)
+    counts.repartition(series.key, "feature").sortWithinPartitions(series.key, "feature", "value").write.mode("overwrite").parquet(f"{root}/baseline")
+
+
 def read_splits(spark: SparkSession, root: str) -> DataFrame:
     """The scaled rows, keys spelled as they were stored."""
     return B.read_stored(spark, f"{root}/splits")
@@ -147,11 +154,13 @@ def monitor(
     series: Series = DAILY,
     seq_len: int = SEQ_LEN,
 ) -> DataFrame:
-    """Feature and prediction drift of every requested key; stores the summary and the detail per feature."""
-    features = B.read_stored(spark, f"{root}/features")
+    """Feature and prediction drift of every requested key; stores the summary and the detail per feature.
+
+    Features are compared with the baseline that ``prepare`` stored, the reference rows are not read.
+    """
+    reference = B.read_stored(spark, f"{root}/baseline")
     registry = B.read_stored(spark, f"{root}/registry")
     scaler = B.read_stored(spark, f"{root}/scaler")
-    reference = prep.reference_slice(features, series)
     recent = B.lookback(B.read_bars(spark, f"{root}/bars"), lookback_days, asof)
     current = stage(compute_features(recent, series), "current")
 
@@ -161,8 +170,8 @@ def monitor(
         best = score.predict_rows(rows, registry, scaler, sequences)
         return stage(best.select(KEY, F.col("yhat").alias("predictions")), "predictions")
 
-    cols = drift.numeric_columns(reference, current)
-    statistics = stage(drift.sample_statistics(reference, current, cols, series), "statistics")
+    cols = drift.numeric_columns(current, current)
+    statistics = stage(drift.baseline_statistics(reference, current, cols, series), "statistics")
     drift.write_drift_summary(drift.column_verdicts(statistics), f"{root}/drift/columns", run_date)
     live = stage(prep.apply_scaler(current, scaler).withColumn("split", F.lit("val")), "live")
     predictions = drift.prediction_drift(predicted(read_splits(spark, root)), predicted(live), keys, series=series)

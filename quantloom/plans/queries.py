@@ -19,6 +19,7 @@ from quantloom.schema import FEATURES, KEY, ORDER, SCORE_LOOKBACK_DAYS, TARGETS,
 from quantloom.sources import bars as B
 from quantloom.sources.stage import stage, stage_folder
 from quantloom.streaming.ingest import store_delivery, stored_counts
+from quantloom.streaming.ticks import TickColumns, ingest_ticks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -884,6 +885,16 @@ def _(spark, sf):
     return _column_view(drift.column_drift(*_pair(spark, sf)))
 
 
+@query("drift_from_baseline", _PAIR_SQL + Q.column_drift_cte("rf", "cu", FEATURES) + _COLUMN_DRIFT)
+def _(spark, sf):
+    # the reference is written as values and counts, and only that is read again
+    root, bars = _new_root(spark, "baseline"), order_bars(spark, sf)
+    features = stage(compute_features(bars), "features")
+    pipeline.write_baseline(features, root)
+    current = prep.chrono_split(features).filter("split <> 'train'")
+    return _column_view(drift.column_verdicts(drift.baseline_statistics(B.read_stored(spark, f"{root}/baseline"), current, FEATURES)))
+
+
 @query("column_drift_small_reference", _EVENT_PAIR_SQL + Q.column_drift_cte("rf", "cu", FEATURES) + _COLUMN_DRIFT)
 def _(spark, sf):
     return _column_view(drift.column_drift(*_pair(spark, sf, event_bars, HOURLY), series=HOURLY))
@@ -1059,6 +1070,16 @@ def _(spark, sf):
     return B.read_bars(spark, f"{root}/bars")
 
 
+@query("bars_from_stream", f"SELECT ticker, date, open, high, low, close, volume FROM ({Q.ORDER_BARS})")
+def _(spark, sf):
+    # orders in files of mixed dates, a few files at a time; the delay covers the whole table
+    root, orders = _new_root(spark, "stream"), table(spark, sf, "orders")
+    orders.repartition(6, F.xxhash64("o_orderkey")).write.parquet(f"{root}/ticks")
+    columns = TickColumns("o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey")
+    ingest_ticks(spark, f"{root}/ticks", orders.schema, f"{root}/bars", f"{root}/check", columns, "2002-01-01", delay="10000 days", files_per_trigger=2)
+    return B.read_bars(spark, f"{root}/bars")
+
+
 @query(
     "ingest_profile",
     f"""WITH b AS (SELECT ticker, date, open, high, low, close, CASE WHEN date >= TIMESTAMP '1998-01-01' AND NOT (date >= TIMESTAMP '1999-01-01' AND date < TIMESTAMP '2001-01-01')

@@ -89,3 +89,9 @@ def test_drift_reads_each_side_once(bars):
     features = stage(compute_features(bars), "plan-features")
     text = plan(drift.data_drift(features, features, series=DAILY))
     assert text.count("FileScan") == 2 and "Python" not in text and "CartesianProduct" not in text
+
+
+def test_distributions_need_one_exchange(spark):
+    rows = spark.createDataFrame([("A", 1.0, 2.0), ("B", 2.0, 3.0)], "ticker string, x double, y double")
+    assert exchanges(drift.ecdf_pair(rows, rows, ["x", "y"])) == 1
+    assert exchanges(drift.sample_statistics(rows, rows, ["x", "y"])) == 1

@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from quantloom.schema import BAR_SCHEMA
 from quantloom.operators.validate import Limits, add_counts, bar_counts, validate_bars
-from quantloom.sources.bars import read_bars, write_bars
+from quantloom.sources.bars import bars_from_ticks, read_bars, write_bars
+from quantloom.streaming.ticks import TickColumns, ingest_ticks
 from quantloom.streaming.ingest import _versions, compact_profile, ingest_new_files, store_delivery, stored_counts
 
 
@@ -134,3 +135,44 @@ def test_increment_reads_only_touched_months(spark, tmp_path):
     # with other limits the profile does not hold, and all months are counted
     report = store_delivery(newest, root, "2024-01-03", limits=Limits(min_price=0.02)).first()
     assert not report.passed and report.errors == ["price_floor close: 0.02", *report.errors[1:]]
+
+
+def ticks(spark, days, per_day, keys=("AAA", "B 1")):
+    rows = []
+    for k, key in enumerate(keys):
+        for d in range(days):
+            for i in range(per_day):
+                at = pd.Timestamp("2024-01-01") + pd.Timedelta(days=d, minutes=(i * 37 + k) % 1440)
+                rows.append((key, at.to_pydatetime(), float((i * 7919 + d * 31) % 97), len(rows)))
+    return spark.createDataFrame(rows, "sym string, at timestamp_ntz, px double, n long"), rows
+
+
+def test_replay_in_any_file_order_gives_the_batch_bars(spark, tmp_path):
+    source, path, check = (str(tmp_path / n) for n in ("in", "bars", "check"))
+    df, _rows = ticks(spark, 12, 25)
+    columns = TickColumns("sym", "at", "px", "n")
+    # files hold days at random, and each trigger takes two of them
+    df.repartition(7, F.xxhash64("n")).write.parquet(source)
+    counted = ingest_ticks(spark, source, df.schema, path, check, columns, "2024-02-01", delay="30 days", files_per_trigger=2)
+    assert counted == {"rows": 600, "late": 0}
+    got = {tuple(r) for r in read_bars(spark, path).select(*BAR_SCHEMA.names).collect()}
+    assert got == {tuple(r) for r in bars_from_ticks(df, "sym", "at", "px", seq="n").collect()} and len(got) == 24
+    # more files later on: open bars are handed out again
+    more = df.limit(3).withColumn("px", F.lit(1000.0)).withColumn("n", F.col("n") + 10_000)
+    more.write.mode("append").parquet(source)
+    assert ingest_ticks(spark, source, df.schema, path, check, columns, "2024-02-01", delay="30 days") == {"rows": 3, "late": 0}
+    both = bars_from_ticks(df.union(more), "sym", "at", "px", seq="n")
+    assert {tuple(r) for r in read_bars(spark, path).select(*BAR_SCHEMA.names).collect()} == {tuple(r) for r in both.collect()}
+
+
+def test_late_ticks_are_counted_and_left_out(spark, tmp_path):
+    source, path, check = (str(tmp_path / n) for n in ("in", "bars", "check"))
+    df, _rows = ticks(spark, 10, 12, ("AAA",))
+    columns, bounds = TickColumns("sym", "at", "px", "n"), {"delay": "1 day", "bucket": "hour"}
+    df.coalesce(1).write.parquet(source)
+    assert ingest_ticks(spark, source, df.schema, path, check, columns, "2024-02-01", **bounds)["late"] == 0
+    closed = {tuple(r) for r in read_bars(spark, path).select(*BAR_SCHEMA.names).collect()}
+    late = df.filter("at < timestamp_ntz'2024-01-04'").withColumn("px", F.lit(-1.0)).withColumn("n", F.col("n") + 10_000)
+    late.coalesce(1).write.mode("append").parquet(source)
+    assert ingest_ticks(spark, source, df.schema, path, check, columns, "2024-02-01", **bounds) == {"rows": 36, "late": 36}
+    assert {tuple(r) for r in read_bars(spark, path).select(*BAR_SCHEMA.names).collect()} == closed

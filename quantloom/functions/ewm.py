@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantloom.operators.layout import DAILY, Layout, Series, lay_out
+from quantloom.sources.stage import stage
 
 _MAX_EXPONENT = 500.0  # exp(500) times any price stays far below the largest double
 
@@ -238,6 +239,10 @@ def add_ewm(df: DataFrame, specs: list[Ewm], layout: Layout, order: str, block:
         # sums count from the beginning of the block; below they count from the row itself
         scale = {f"_{n}_{s.out}": f"_{n}_{s.out} * {_power(s.q, '_p')}" for s in specs if s.adjust for n in ("num", "den")}
         df = df.selectExpr(*[f"`{c}`" for c in df.columns if c not in scale], *[f"{x} AS `{n}`" for n, x in scale.items()])
+        # stored: the summary and the rows below would work out all windows twice
+        needed = [n for s in specs for n in ((f"_num_{s.out}", f"_den_{s.out}") if s.adjust else (f"_mean_{s.out}", f"_left_{s.out}"))]
+        columns = [*kept, *own.values(), *[f"_cnt_{c}" for c in own.values()], *needed]
+        df = stage(df.select(*dict.fromkeys(columns)), "segment-means")
         states = _starting_states(df, specs, layout)
         df = df.join(states, (F.col(part[0]) == F.col("_key")) & (F.col("_seg") == F.col("_seg_in")), "left")
         handed = {}

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quantloom.operators import linear
 from quantloom.operators.features import compute_features
 from quantloom.operators.layout import DAILY, Series
 from quantloom.operators.models import POOLED, label_scale, load_model, sequence_vectors
@@ -80,7 +81,8 @@ def predict_rows(
     """``ticker, date, model, yhat`` of the best model of each key.
 
     The registry says which saved model serves which keys. Rows are dealt out by saved model and stored once, so that each
-    model reads its own rows alone, and its forecasts are stored in turn: no plan grows with the number of models.
+    model reads its own rows alone, and its forecasts are stored in turn: no plan grows with the number of models. Ridge
+    models are one table for all keys, so they take one join however many keys they serve.
     """
     spark = scaled.sparkSession
     saved = registry.select("best_model", "model_path").distinct().collect()
@@ -105,6 +107,10 @@ def predict_rows(
         rows = (in_order if model == "sequence" else by_row).filter(F.col("_path") == path)
         if model == "sequence":
             rows = sequence_vectors(rows)
+        if model == linear.NAME:  # one table holds the models of all its keys
+            out = linear.predict_ridge(rows, spark.read.parquet(path), feature_columns(rows)).select(KEY, ORDER, F.lit(model).alias("model"), "yhat")
+            out.write.parquet(f"{folder}/out/{number}")
+            return f"{folder}/out/{number}", out.schema
         yhat = F.col("_prediction")
         if path.rsplit("/", 1)[-1] == POOLED:
             rows = rows.join(label_scale(scaler), KEY)

@@ -202,3 +202,20 @@ cd AS (SELECT *, CASE WHEN n_ref <= 1000 THEN 'ks' ELSE 'wasserstein' END AS tes
 
 def pvalue(ks: str, n_ref: str, n_cur: str) -> str:
     return _pvalue(ks, n_ref, n_cur)
+
+
+def ridge_cte(rows: str, cols, label: str, reg: float) -> str:
+    """Adds ``rc``: intercept and coefficient ``i`` per key, from the training rows, by elimination row after row."""
+    p = len(cols)
+    return f""",
+rv AS (SELECT ticker, [{", ".join([*cols, label])}] AS v FROM {rows} WHERE split = 'train'),
+rm AS (SELECT ticker, i, count(*) AS n, avg(v[i]) AS m, stddev_pop(v[i]) AS s FROM rv, range(1, {p + 2}) g(i) GROUP BY ALL),
+re AS (SELECT rv.ticker, a.i, b.i AS j, avg((v[a.i] - a.m) * (v[b.i] - b.m)) / any_value(a.s) / any_value(b.s) AS c
+  FROM rv JOIN rm a ON a.ticker = rv.ticker JOIN rm b ON b.ticker = rv.ticker WHERE a.i <= {p} GROUP BY ALL),
+rr AS (SELECT ticker, i, list(CASE WHEN i = j THEN 1 + {reg}::DOUBLE ELSE c END ORDER BY j) AS line FROM re GROUP BY ALL),
+rg(ticker, k, a) AS (SELECT ticker, 1::BIGINT, list(line ORDER BY i) FROM rr GROUP BY ticker
+  UNION ALL SELECT ticker, k + 1, list_transform(a, lambda line, i: CASE WHEN i = k THEN list_transform(line, lambda x: x / line[k])
+    ELSE list_transform(line, lambda x, j: x - line[k] / a[k][k] * a[k][j]) END) FROM rg WHERE k <= {p}),
+rb AS (SELECT rg.ticker, n, i, a[i][{p + 1}] * (SELECT s FROM rm y WHERE y.ticker = rg.ticker AND y.i = {p + 1}) / s AS coefficient, m
+  FROM rg JOIN rm ON rm.ticker = rg.ticker AND i <= {p} WHERE k = {p + 1}),
+rc AS (SELECT ticker, n, i, coefficient, (SELECT m FROM rm y WHERE y.ticker = rb.ticker AND y.i = {p + 1}) - sum(coefficient * m) OVER (PARTITION BY ticker) AS intercept FROM rb)"""

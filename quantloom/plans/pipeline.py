@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantloom.operators import drift, gates, metrics, models, prep, score, validate
+from quantloom.operators import drift, gates, linear, metrics, models, prep, score, validate
 from quantloom.operators.features import compute_features
 from quantloom.operators.layout import DAILY, Series
 from quantloom.schema import KEY, MONITOR_LOOKBACK_DAYS, SCORE_LOOKBACK_DAYS, SEQ_LEN
@@ -98,17 +98,23 @@ def train(
     seq_len: int = SEQ_LEN,
     series: Series = DAILY,
 ) -> tuple[DataFrame, list[str]]:
-    """Fit all models, choose the best per key, store registry and run log. Returns the registry and failed fits."""
-    result = models.train_all(
-        read_splits(spark, root),
-        f"{root}/models/{run_id}",
-        keys,
-        specs,
-        mode=mode,
-        scaler=B.read_stored(spark, f"{root}/scaler"),
-        seq_len=seq_len,
-        series=series,
-    )
+    """Fit all models, choose the best per key, store registry and run log. Returns the registry and failed fits.
+
+    ``mode`` is that of ``models.train_all`` or ``tables``: a ridge model for every key, all in one table.
+    """
+    if mode == "tables":
+        result = linear.train_tables(read_splits(spark, root), f"{root}/models/{run_id}", keys)
+    else:
+        result = models.train_all(
+            read_splits(spark, root),
+            f"{root}/models/{run_id}",
+            keys,
+            specs,
+            mode=mode,
+            scaler=B.read_stored(spark, f"{root}/scaler"),
+            seq_len=seq_len,
+            series=series,
+        )
     result.predictions.write.mode("overwrite").parquet(f"{root}/predictions/{run_id}")
     scored = stage(metrics.forecast_metrics(result.predictions), "metrics")
     # stored before the registry is replaced, because it is read from there

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantloom.functions.ewm import ewm_mean
-from quantloom.operators import drift, gates, metrics, models, prep, score, validate
+from quantloom.operators import drift, gates, linear, metrics, models, prep, score, validate
 from quantloom.operators.features import compute_features
 from quantloom.operators.layout import DAILY, HOURLY, Series
 from quantloom.plans import oracles as Q
@@ -1256,6 +1256,27 @@ def _(spark, sf):
     return metrics.forecast_metrics(result.predictions)
 
 
+# --- ridge models of all keys as one table ---------------------------------------------------------------------------
+
+_RIDGE_SQL = _SCALED_SQL.replace("WITH", "WITH RECURSIVE", 1) + Q.ridge_cte("x2", FEATURES, "target_next_close", models.LINEAR["regParam"])
+
+
+@query("ridge_per_key", _RIDGE_SQL + f""" SELECT ticker, n, {r("intercept", 2, "intercept")}, feature, {r("coefficient", 2, "coefficient")} FROM rc
+  JOIN (SELECT unnest({FEATURES}) AS feature, unnest(range(1, {len(FEATURES) + 1})) AS i) USING (i)""")
+def _(spark, sf):
+    scaled = stage(_scaled(spark, sf), "scaled")
+    stats = stage(linear.moments(scaled.filter("split = 'train'"), FEATURES), "moments")
+    rows = linear.fit_ridge(stats).select(KEY, "n", "intercept", F.inline(F.arrays_zip("features", "coefficients")))
+    return rows.select(KEY, "n", F.round("intercept", 2).alias("intercept"), F.col("features").alias("feature"), F.round("coefficients", 2).alias("coefficient"))
+
+
+@query("train_tables", _RIDGE_SQL + f""" SELECT x2.ticker, date, 'ridge' AS model, split, {r("target_next_close", 2, "y")}, {r("any_value(intercept) + sum(coefficient * ([" + ", ".join(FEATURES) + "])[i])", 2, "yhat")}
+  FROM x2 JOIN rc ON x2.ticker = rc.ticker GROUP BY ALL""")
+def _(spark, sf):
+    result = linear.train_tables(stage(_scaled(spark, sf), "scaled"), _new_root(spark, "tables"))
+    return result.predictions.select(KEY, ORDER, "model", "split", F.round("y", 2).alias("y"), F.round("yhat", 2).alias("yhat"))
+
+
 @query("score_latest")
 def _(spark, sf):
     return pipeline.score_keys(spark, _trained(spark, sf))

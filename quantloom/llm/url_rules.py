@@ -2,8 +2,9 @@
 
 A URL becomes a set of tokens: labels of its host, segments of its path, names of its query's keys, with numbers made
 alike. FP-growth over labelled URLs finds token combinations that go with a label; rules below the support or the
-confidence go. The rules are matched by an inverted index on each rule's rarest token: a URL meets only the rules whose
-rarest token it has, and is then tested for the others. Mining and matching work on distinct token sets.
+confidence go. Tokens that always occur together are mined as one item. The rules are matched by an inverted index on each
+rule's rarest group of tokens: a URL meets only the rules of which it has a rarest token, and is then tested for the
+others. Counting and matching work on distinct token sets.
 """
 
 from __future__ import annotations
@@ -69,26 +70,51 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_sort(F.array_distinct(tokens))
 
 
+def token_groups(sets: DataFrame, least: float) -> DataFrame:
+    """Rows (item, members, freq): tokens that ``least`` rows have, those that always occur together as one item.
+
+    ``sets`` holds distinct token sets and how many rows have each. Tokens go together when they are in the same sets, told
+    by two 64-bit sums of hashes of the sets. All members are in one URL, so a group is no longer than that.
+    """
+    each = sets.select("n", *[F.xxhash64(F.lit(k), "tokens").alias(f"s{k}") for k in (1, 2)], F.explode("tokens").alias("token"))
+    per_token = each.groupBy("token").agg(F.sum("n").alias("freq"), F.bit_xor("s1").alias("x1"), F.bit_xor("s2").alias("x2"))
+    grouped = per_token.where(F.col("freq") >= least).groupBy("freq", "x1", "x2").agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return grouped.select(F.col("members")[0].alias("item"), "members", "freq")
+
+
 def mine_rules(labelled: DataFrame, tokens: str, label: str, support: float, confidence: float) -> DataFrame:
-    """Rows (tokens, label, support, confidence, first): rules that reach both bounds; ``first`` is the rarest token.
+    """Rows (tokens, label, support, confidence, groups, first): rules that reach both bounds.
 
+    Tokens that always occur together are mined as one item, so many of them in one URL add one item, not all their
+    subsets. ``groups`` holds the members of each item of a rule and ``tokens`` all of them: a rule stands for every choice of
+    at least one token from each group, for all these have its support and confidence. ``first`` is the rarest group.
     ``support`` is the share of labelled rows that hold the combination together with the label.
     """
     spark = labelled.sparkSession
-    schema = "tokens array<string>, label string, support double, confidence double, first string"
-    baskets = labelled.where(F.col(label).isNotNull()).select(F.concat(tokens, F.array(F.concat(F.lit(LABEL), label))).alias("items"))
-    if baskets.isEmpty():
+    schema = "tokens array<string>, label string, support double, confidence double, groups array<array<string>>, first array<string>"
+    rows = labelled.where(F.col(label).isNotNull()).select(F.col(tokens).alias("tokens"), F.col(label).alias("label"))
+    # one row per distinct token set and label
+    sets = stage(rows.groupBy("tokens", "label").agg(F.count(F.lit(1)).alias("n")), "url-sets")
+    total = sets.agg(F.sum("n")).first()[0]
+    if not total:
         return spark.createDataFrame([], schema)
+    distinct = stage(sets.groupBy("tokens").agg(F.sum("n").alias("n")), "url-distinct")
+    groups = stage(token_groups(distinct, support * total), "url-groups")
+    items = distinct.select("tokens", F.explode("tokens").alias("token")).join(groups.select("item", F.explode("members").alias("token")), "token")
+    items = items.groupBy("tokens").agg(F.collect_set("item").alias("items"))
+    marked = sets.join(items, "tokens", "left").select(
+        F.concat(F.coalesce("items", F.array().cast("array<string>")), F.array(F.concat(F.lit(LABEL), "label"))).alias("items"), "n"
+    )
+    baskets = stage(marked.select("items", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy")).select("items"), "url-baskets")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
     rules = model.associationRules.where(F.col("consequent")[0].startswith(LABEL))
     rules = rules.where(~F.exists("antecedent", lambda a: a.startswith(LABEL)))
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     rules = rules.select(
-        F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1 << 20).alias("label"), "support", "confidence"
+        F.array_sort("antecedent").alias("rule"), F.substring(F.col("consequent")[0], len(LABEL) + 1, 1 << 20).alias("label"), "support", "confidence"
     )
-    rare = rules.select("tokens", F.explode("tokens").alias("token")).distinct().join(single, "token")
-    rare = rare.groupBy("tokens").agg(F.min_by("token", F.struct("freq", "token")).alias("first"))
-    return rules.join(rare, "tokens").select("tokens", "label", "support", "confidence", "first")
+    told = rules.select("rule", F.explode("rule").alias("item")).distinct().join(groups, "item")
+    told = told.groupBy("rule").agg(F.array_sort(F.collect_list("members")).alias("groups"), F.min_by("members", F.struct("freq", "item")).alias("first"))
+    return rules.join(told, "rule").select(F.array_sort(F.flatten("groups")).alias("tokens"), "label", "support", "confidence", "groups", "first")
 
 
 def judge_urls(
@@ -104,8 +130,8 @@ def judge_urls(
     """Rows (page_id, host, path, rule, verdict, mined), one for each input row.
 
     ``rule`` is the fitting list rule and decides where there is one. Else the matching mined rule of the highest
-    confidence does, then the one of the highest support, of most tokens, and the first in order; ``mined`` holds its
-    tokens. Else ``default`` does. ``label`` labels the rows to mine from; without it they are the rows on which the list
+    confidence does, then the one of the highest support, of most tokens, and the last in order; ``mined`` holds those of
+    its tokens that the URL has. Else ``default`` does. ``label`` labels the rows to mine from; without it they are the rows on which the list
     decides, labelled with its verdict. Null or odd URLs have empty host and path and no tokens, so they get the default.
     Null ids and repeated rows are judged row by row; an empty table gives no rows; other columns are ignored.
     """
@@ -116,11 +142,12 @@ def judge_urls(
     rows = rows.select("page_id", "host", "path", site.alias("rule"), verdict.alias("list_verdict"), url_tokens(F.col("u"), F.col("host"), F.col("path")).alias("tokens"), *(["given"] if label is not None else []))
     rows = stage(rows.withColumn("key", F.xxhash64("tokens")), "url-rows")
     mined = stage(mine_rules(rows, "tokens", "given" if label is not None else "list_verdict", support, confidence), "url-rules")
-    mined = mined.select(F.col("tokens").alias("r_tokens"), "label", "support", "confidence", "first")
+    mined = mined.select(F.col("tokens").alias("r_tokens"), "label", "support", "confidence", "groups", F.explode("first").alias("first"))
     # a token set is judged once, however many pages have it
     sets = rows.where("rule is null").groupBy("key").agg(F.first("tokens").alias("tokens"))
     met = sets.select("key", "tokens", F.explode("tokens").alias("first")).join(mined, "first")
-    met = met.where(F.forall("r_tokens", lambda t: F.array_contains(F.col("tokens"), t)))
+    met = met.where(F.forall("groups", lambda g: F.arrays_overlap(F.col("tokens"), g)))
+    met = met.withColumn("r_tokens", F.array_sort(F.array_intersect("tokens", "r_tokens")))
     rank = F.struct("confidence", "support", F.size("r_tokens").alias("n"), "r_tokens", "label")
     best = stage(met.groupBy(F.col("key").alias("b_key")).agg(F.max(rank).alias("best")), "url-verdicts")
     out = rows.join(best, F.col("key") == F.col("b_key"), "left")

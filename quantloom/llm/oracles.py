@@ -15,10 +15,11 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 SNAPSHOTS = """
-WITH t AS (SELECT conv_id, turn, role, text FROM conversations GROUP BY ALL),
-c AS (SELECT conv_id, list({'r': role, 't': text} ORDER BY turn) AS turns,
+WITH t AS (SELECT conv_id, CASE WHEN conv_id IS NOT NULL THEN turn END AS turn, role, text, CASE WHEN conv_id IS NULL THEN {'r': role, 't': text} END AS own
+      FROM conversations GROUP BY ALL),
+c AS (SELECT conv_id, own, list({'r': role, 't': text} ORDER BY turn) AS turns,
              string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10), '' ORDER BY turn) AS rendered
-      FROM t GROUP BY conv_id),
+      FROM t GROUP BY conv_id, own),
 u AS (SELECT turns, min(conv_id) AS conv_id, count(*) AS copies, any_value(rendered) AS rendered FROM c GROUP BY turns),
 p AS (SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM u))
 SELECT u.conv_id, len(u.turns)::BIGINT AS n_turns, u.copies, u.rendered FROM u ANTI JOIN p ON u.turns = p.turns

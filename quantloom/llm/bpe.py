@@ -22,6 +22,7 @@ PIECES = re.compile(
     rf"'(?:s|t|re|ve|m|ll|d)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
 )
 CACHE_ENTRIES = 1 << 19
+PIECE_CHARS = 64  # longer pre-tokens are encoded anew each time, so a full cache stays at some 200 MB
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -32,7 +33,7 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class _Pieces(dict):
-    """Pre-token to encoded value; misses are encoded, and kept while there is room."""
+    """Pre-token to encoded value; misses are encoded, and kept if they are short and while there is room."""
 
     def __init__(self, encode, room: int):
         super().__init__()
@@ -40,7 +41,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str):
         value = self.encode(piece)
-        if len(self) < self.room:
+        if len(piece) <= PIECE_CHARS and len(self) < self.room:
             self[piece] = value
         return value
 

@@ -15,8 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantloom.llm.bpe import PIECES, encoder
+from quantloom.llm.bpe import PIECE_CHARS, PIECES, encoder
 from quantloom.llm.common import whole
+from quantloom.sources.stage import stage
 
 TABLE_ENTRIES = 16384
 SUMMARY_ENTRIES = 1 << 18
@@ -25,7 +26,8 @@ SUMMARY_ENTRIES = 1 << 18
 def frequent_pieces(docs: DataFrame, path: str, text: str = "text", entries: int = TABLE_ENTRIES) -> dict[str, int]:
     """Lengths of the most frequent pre-tokens of all texts; at most ``entries``, so the table is bounded.
 
-    A task counts into a summary of at most ``SUMMARY_ENTRIES``; when it is full, the lower half goes.
+    A task counts into a summary of at most ``SUMMARY_ENTRIES``; when it is full, the lower half goes. Pre-tokens of more
+    than ``PIECE_CHARS`` characters stay out, so bytes are bounded too, and the heads meet in a task before the driver.
     """
 
     def summaries(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -33,7 +35,10 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text", entries: int
         for part in parts:
             for t in part["t"]:
                 if code.plain(t):
-                    seen.update(PIECES.findall(t))
+                    pieces = PIECES.findall(t)
+                    if max(map(len, pieces), default=0) > PIECE_CHARS:
+                        pieces = [p for p in pieces if len(p) <= PIECE_CHARS]
+                    seen.update(pieces)
                     if len(seen) > SUMMARY_ENTRIES:
                         seen = Counter(dict(seen.most_common(SUMMARY_ENTRIES // 2)))
         head = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:entries]
@@ -42,7 +47,7 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text", entries: int
     heads = docs.select(whole(text).alias("t")).mapInPandas(summaries, "piece string, n long")
     top = heads.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(entries)
     code = encoder(path)
-    return {r.piece: code.length_of[r.piece] for r in top.collect()}
+    return {r.piece: code.length_of[r.piece] for r in stage(top, "frequent-pieces").collect()}
 
 
 def count_tokens(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from quantloom.llm import divergence, mixing, odd_sketch, packing, refine, snapshots, token_counts, token_store, url_rules, winnow
+from quantloom.llm.bpe import Encoder
 from quantloom.sources.stage import stage_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -140,6 +141,21 @@ def test_token_counts_equal_the_library(odd_docs, ids):
             assert r.over_limit == (r.n_tokens > 512)
 
 
+def test_long_pre_tokens_are_counted_and_not_kept(spark, ids, no_docs):
+    rng = np.random.default_rng(3)
+    runs = ["".join(rng.choice(list("abcdefgh"), 10_000)) for _ in range(40)]
+    rows = [(i, f"short words here {runs[i % 40]}  {' ' * (i + 60)}end", "x") for i in range(120)] + [(None, "a" * 65 + " " + "b" * 64, "x"), (500, "", None), (500, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")
+    table = token_counts.frequent_pieces(docs, PATH)
+    assert " words" in table and all(len(p) <= 64 for p in table)
+    got = Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, PATH).collect())
+    assert got == Counter((i, len((t or "").encode()), len(ids(t))) for i, t, _ in rows)
+    code = Encoder(PATH)
+    assert [code.count(t or "") for _, t, _ in rows] == [len(ids(t)) for _, t, _ in rows]
+    assert " words" in code.length_of and max(map(len, code.length_of)) <= 64
+    assert token_counts.count_tokens(no_docs, PATH).collect() == []
+
+
 def test_url_rules_mine_and_match(spark):
     rows = [(i, f"http://s{i % 3}.example.com/{p}/{i}?page=1") for i, p in enumerate(["de", "fr", "en", "es"] * 20)]
     rows += [(i, f"http://a.example.net/{p}/{i}") for i, p in enumerate(["de", "fr"] * 3, 100)] + [(200, None), (201, "no scheme"), (202, "HTTP://EXAMPLE.ORG")]

@@ -62,6 +62,41 @@ def test_failing_model_is_listed_and_others_go_on(spark, run):
         M.train_all(P.read_splits(spark, root), f"{root}/none", ["GONE"], [SMALL[0]], mode="per_key")
 
 
+def test_small_tables_are_fitted_in_one_task_with_a_short_lineage(spark, run):
+    seen = []
+
+    class Watched(M.GBTRegressor):
+        def _fit(self, dataset):
+            rows = dataset._jdf.queryExecution().toRdd()
+            seen.append((rows.getNumPartitions(), "FileScan" in rows.toDebugString(), dataset.count()))
+            return super()._fit(dataset)
+
+    root = run[0]
+    scaled = P.read_splits(spark, root)
+    assert scaled.filter("split = 'train'").rdd.getNumPartitions() > 1
+    spec = M.ModelSpec("boosted_trees", "row", Watched, {"maxIter": 2, "maxDepth": 2})
+    result = M.train_all(scaled, f"{root}/few", specs=[spec], mode="pooled", scaler=P.B.read_stored(spark, f"{root}/scaler"))
+    assert result.failed == [] and seen == [(1, False, 280)]
+    assert result.predictions.count() == scaled.filter("target_next_close IS NOT NULL").count()
+
+
+def test_tasks_grow_with_the_work(spark, run, monkeypatch):
+    seen = []
+
+    class Watched(M.RandomForestRegressor):
+        def _fit(self, dataset):
+            seen.append(dataset._jdf.queryExecution().toRdd().getNumPartitions())
+            return super()._fit(dataset)
+
+    root = run[0]
+    scaled = P.read_splits(spark, root).repartition(9)
+    monkeypatch.setattr(M, "TASK_VALUES", 147 * len(FEATURES))
+    for trees in (1, 3, 40):
+        spec = M.ModelSpec("random_forest", "row", Watched, {"numTrees": trees, "maxDepth": 2})
+        M.train_all(scaled, f"{root}/work{trees}", ["AAA"], [spec], mode="per_key")
+    assert seen == [1, 3, 9]
+
+
 def test_default_settings():
     forest, boosted, _seq = M.default_models()
     assert (forest.settings["numTrees"], forest.settings["maxDepth"]) == (200, 10)

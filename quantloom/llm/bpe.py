@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import cache
 
 import numpy as np
@@ -76,16 +77,23 @@ class Encoder:
                 and form["model"].get("type") == "BPE"
             )
             self.model, self.table = self.library.model, byte_alphabet()
+            self.space = self.table[ord(" ")]
         self.width = 2 if self.size <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
+        self.packed = cache(lambda n: struct.Struct(f"<{n}{'H' if self.width == 2 else 'I'}").pack)
         self.ids_of = _Pieces(self._piece_bytes, room)
         self.length_of = _Pieces(lambda p: len(self._piece(p)), room)
 
     def _piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.table))]
+        if piece.isascii() and piece.isprintable():  # of these only the space is shown as another character
+            shown = piece.replace(" ", self.space)
+        else:
+            shown = piece.encode().decode("latin-1").translate(self.table)
+        return [t.id for t in self.model.tokenize(shown)]
 
     def _piece_bytes(self, piece: str) -> bytes:
-        return np.array(self._piece(piece), dtype=self.kind).tobytes()
+        ids = self._piece(piece)
+        return self.packed(len(ids))(*ids)
 
     def plain(self, text: str) -> bool:
         return self.fast and PLAIN.fullmatch(text) is not None and not any(a in text for a in self.added)

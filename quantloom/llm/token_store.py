@@ -158,10 +158,10 @@ def write_store(
 
 
 def _starts(store: DataFrame) -> DataFrame:
-    """Ids ahead of each partition: (s_part, before), a row for each written partition."""
+    """Ids ahead of each partition: (s_part, before), a row for each written partition; handed to every task, so that no payload is shuffled."""
     sums = store.groupBy("part").agg(F.sum("n_ids").alias("n"))
     order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return sums.select(F.col("part").alias("s_part"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    return F.broadcast(sums.select(F.col("part").alias("s_part"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before")))
 
 
 class Shard:

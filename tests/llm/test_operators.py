@@ -387,3 +387,27 @@ def test_winnow_fingerprints_are_fewer_than_windows(spark):
     # two places of one document; one that overlaps itself
     same = [(1, "\n".join([word("a", 30)] * 3)), (2, f"{word('b', 50)}\nx\n\n{word('b', 50)}\ny")]
     assert {r.doc_id: r.text for r in winnow.dedup_lines(spark.createDataFrame(same, "doc_id bigint, text string")).collect()} == every_place(same, 50) == {1: word("a", 30), 2: f"{word('b', 50)}\nx\n\ny"}
+
+
+def test_printable_pre_tokens_need_no_table():
+    code = Encoder(PATH)
+    pieces = [chr(c) for c in range(256)] + [" " + chr(c) * 2 for c in range(256)] + ["   ", "\t ", " naïve", " Unglichber", "#$%" * 30]
+    assert [code._piece(p) for p in pieces] == [code.library_ids(p) for p in pieces]
+    assert [code._piece_bytes(p) for p in pieces] == [np.array(code.library_ids(p), dtype=code.kind).tobytes() for p in pieces]
+    code.table = None
+    assert code._piece(" Unglichber") == code.library_ids(" Unglichber")
+
+
+def test_reading_a_store_shuffles_no_payload(spark, odd_docs, tmp_path):
+    token_store.write_store(odd_docs, PATH, str(tmp_path / "store"), partitions=3, shard_ids=2000)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = token_store.read_documents(spark, str(tmp_path / "store"))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        starts = [(r.start, r.n_tokens) for r in rows.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    starts.sort()
+    assert len(starts) == 13 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
